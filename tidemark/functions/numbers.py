@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-__all__ = ["as_col", "cast_price", "half_up", "mean", "money_sum", "percent", "ratio", "round_robin", "share_true"]
+__all__ = ["as_col", "cast_price", "count_rows", "half_up", "mean", "money_sum", "percent", "ratio", "round_robin", "share_true"]
 
 
 def as_col(c: Column | str) -> Column:
@@ -17,6 +17,10 @@ def cast_price(c: Column | str, precision: int = 10, scale: int = 2) -> Column:
     return as_col(c).cast(DecimalType(precision, scale))
 
 
+def count_rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def half_up(c: Column, places: int = 2) -> Column:
     """Round a double half up. The floor form gives the same bits in every IEEE engine."""
     shift = float(10**places)

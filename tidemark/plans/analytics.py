@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
-    action_priority, age_group, behavioral_segment, days_between, half_up, halloween_bucket, mean, money_sum,
+    action_priority, age_group, behavioral_segment, count_rows, days_between, half_up, halloween_bucket, mean, money_sum,
     nps_segment, popularity_segment, rating_tier, ratio, recency_risk, recency_segment, recommended_action,
     share_true, spending_tier, ticket_tier, value_index, visit_time_of_day, wait_experience,
 )
@@ -14,7 +14,6 @@ from tidemark.operators.joins import fill_gaps
 from tidemark.operators.projection import as_of_day, with_overall
 from tidemark.operators.ranks import rank_rows
 
-ALL_ROWS = F.lit(1)
 
 
 def daily_revenue_mart(calendar: DataFrame, daily: DataFrame, start="2024-01-01", as_of=None) -> DataFrame:
@@ -31,7 +30,7 @@ def daily_revenue_mart(calendar: DataFrame, daily: DataFrame, start="2024-01-01"
 def customer_lifetime_value(customers: DataFrame, visits: DataFrame) -> DataFrame:
     """Visits rolled up per customer, then per tier and segment; the best segment first."""
     per_customer = visits.groupBy("customer_id").agg(
-        F.count(ALL_ROWS).alias("total_visits"),
+        count_rows().alias("total_visits"),
         money_sum("ticket_price").alias("lifetime_ticket_revenue"),
         money_sum("in_park_spend").alias("lifetime_in_park_spend"),
         money_sum("total_visit_spend").alias("lifetime_total_spend"),
@@ -58,7 +57,7 @@ def customer_lifetime_value(customers: DataFrame, visits: DataFrame) -> DataFram
 def customer_spending_profile(feedback: DataFrame) -> DataFrame:
     grouped = feedback.groupBy(F.col("customer_gender").alias("gender"), age_group("customer_age").alias("age_group"))
     return grouped.agg(
-        F.count(ALL_ROWS).alias("total_visits"),
+        count_rows().alias("total_visits"),
         mean("ticket_price").alias("avg_ticket_price"),
         money_sum("ticket_price").alias("total_spend"),
         mean("satisfaction_rating").alias("avg_satisfaction"),
@@ -69,7 +68,7 @@ def fear_vs_ratings(feedback: DataFrame) -> DataFrame:
     """Satisfaction per visitor type and fear level, with one overall row per fear level."""
     return with_overall(
         feedback, "visitor_type", ["fear_level"], "All Visitors",
-        avg_satisfaction=mean("satisfaction_rating"), total_visits=F.count(ALL_ROWS),
+        avg_satisfaction=mean("satisfaction_rating"), total_visits=count_rows(),
     )
 
 
@@ -92,7 +91,7 @@ def halloween_spending(sales: DataFrame, calendar: DataFrame, start="2023-01-01"
 def happiest_houses(feedback: DataFrame, min_rating: int = 3) -> DataFrame:
     """Low ratings are dropped before the recommendation rate is taken, as the ranking defines it."""
     happy = feedback.where(F.col("satisfaction_rating") >= min_rating).groupBy("haunted_house_name").agg(
-        F.count(ALL_ROWS).alias("total_visits"),
+        count_rows().alias("total_visits"),
         mean("satisfaction_rating").alias("avg_satisfaction"),
         share_true(F.col("would_recommend")).alias("recommendation_rate"),
         mean("satisfaction_rating", None).alias("_exact"),
@@ -104,7 +103,7 @@ def happiest_houses(feedback: DataFrame, min_rating: int = 3) -> DataFrame:
 def house_by_time(feedback: DataFrame) -> DataFrame:
     grouped = feedback.groupBy("haunted_house_name", "visit_hour", visit_time_of_day("visit_hour").alias("time_slot"))
     return grouped.agg(
-        F.count(ALL_ROWS).alias("total_visits"),
+        count_rows().alias("total_visits"),
         money_sum("ticket_price").alias("total_revenue"),
         mean("ticket_price").alias("avg_ticket_price"),
         mean("satisfaction_rating").alias("avg_satisfaction"),
@@ -133,7 +132,7 @@ def ticket_value(feedback: DataFrame) -> DataFrame:
     grouped = feedback.groupBy("haunted_house_name", tier.alias("ticket_tier")).agg(
         mean("satisfaction_rating").alias("avg_satisfaction"),
         mean("ticket_price").alias("avg_price"),
-        F.count(ALL_ROWS).alias("visit_count"),
+        count_rows().alias("visit_count"),
     )
     valued = grouped.withColumns(
         {
@@ -159,7 +158,7 @@ def vip_satisfaction(feedback: DataFrame) -> DataFrame:
 def visitor_recommendations(feedback: DataFrame) -> DataFrame:
     """Recommendation rate per visitor type. One row per type is left, so the rank is a small window."""
     rates = feedback.groupBy("visitor_type").agg(
-        share_true(F.col("would_recommend")).alias("recommendation_rate"), F.count(ALL_ROWS).alias("total_visits")
+        share_true(F.col("would_recommend")).alias("recommendation_rate"), count_rows().alias("total_visits")
     )
     rank = F.rank().over(Window.orderBy(F.desc("recommendation_rate")))
     return rates.withColumns(
@@ -170,7 +169,7 @@ def visitor_recommendations(feedback: DataFrame) -> DataFrame:
 def revenue_retention_summary(customers: DataFrame, visits: DataFrame, as_of=None) -> DataFrame:
     """One row per customer with visits: value, recency and risk. Aggregated before the join."""
     rollup = visits.groupBy("customer_id").agg(
-        F.count(ALL_ROWS).alias("total_visits"),
+        count_rows().alias("total_visits"),
         F.min("visit_date").alias("first_visit_date"),
         F.max("visit_date").alias("most_recent_visit_date"),
         money_sum("ticket_price").alias("lifetime_ticket_revenue"),

@@ -50,7 +50,7 @@ class EventLog:
         self.table = Table(spark, path, partition_by="event_date")
         self.ts, self.retention_days = ts, retention_days
 
-    def append(self, events: DataFrame, tag: str | None = None) -> None:
+    def append(self, events: DataFrame, tag: tuple[str, int] | None = None) -> None:
         self.table.append(events.withColumn("event_date", F.to_date(self.ts)), tag=tag)
 
     def expire(self, as_of: dt.date) -> None:
