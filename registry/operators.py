@@ -593,7 +593,7 @@ query("W01_row_number_id", "SELECT row_number() OVER (ORDER BY n_name) AS id, n_
 )
 query("W02_rank_nulls_last", """
 SELECT p_brand, avg_size, rank() OVER (ORDER BY avg_size DESC NULLS LAST, p_brand) AS place
-FROM (SELECT p_brand, CASE WHEN p_brand <> 'Brand#7' THEN max(p_retailprice) END AS avg_size FROM part GROUP BY ALL)
+FROM (SELECT p_brand, max(p_retailprice) FILTER (p_brand <> 'Brand#7') AS avg_size FROM part GROUP BY p_brand)
 """)(lambda s, d: ranks.rank_rows(
     table(s, d, "part").groupBy("p_brand").agg(F.max("p_retailprice").alias("m")).select(
         "p_brand", F.when(F.col("p_brand") != "Brand#7", F.col("m")).alias("avg_size")
