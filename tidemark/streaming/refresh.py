@@ -37,12 +37,23 @@ class RefreshOptions:
             raise ValueError(f"initialize must be one of {', '.join(INITIALIZE)}, not {self.initialize}")
 
 
-def event_stream(spark: SparkSession, folder: str, schema: StructType, ts: str, glob: str = "*.parquet", late: str | None = None) -> DataFrame:
+def event_stream(
+    spark: SparkSession,
+    folder: str,
+    schema: StructType,
+    ts: str,
+    glob: str = "*.parquet",
+    late: str | None = None,
+    files_per_batch: int | None = None,
+) -> DataFrame:
     """A stream of parquet files. Watermarks need a zoned timestamp, so the event time is cast (UTC).
 
     Without `late` no row is ever dropped as late; with it, state older than that can be released.
     """
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    rows = reader.parquet(folder)
     rows = rows.withColumn(ts, F.col(ts).cast("timestamp"))
     return rows.withWatermark(ts, late) if late else rows
 
