@@ -1,0 +1,179 @@
+"""Synthetic data generation. Sizes and parents come from the test tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from registry.base import query, table
+from registry.functions import unit_sql
+from tidemark import datagen
+from tidemark.datagen import Draws, Generator
+from tidemark.functions import count_rows
+from tidemark.operators.joins import multiply_rows
+
+SEED = 11
+
+
+def unit(name: str, column: str, row: str = "o_orderkey") -> str:
+    return f"({unit_sql(SEED, name, column, row)})"
+
+
+def whole(name: str, column: str, low: int, high: int, row: str = "o_orderkey") -> str:
+    return f"(CAST(floor({unit(name, column, row)} * {high - low + 1}) AS BIGINT) + {low})"
+
+
+def per_order(key: str, sql: str):
+    """A projection over orders with draws of its own."""
+    def register(make):
+        def run(spark, sf):
+            d = Draws(SEED, key[:3], "o_orderkey")
+            return make(table(spark, sf, "orders"), d)
+
+        query(key, sql)(run)
+        return make
+
+    return register
+
+
+STATUS = "CASE WHEN {u} < 0.72 THEN 'delivered' WHEN {u} < 0.82 THEN 'cancelled' WHEN {u} < 0.87 THEN 'refunded' WHEN {u} < 0.95 " \
+         "THEN 'out_for_delivery' WHEN {u} < 0.98 THEN 'preparing' ELSE 'accepted' END"
+
+
+@per_order("G01_padded_keys", "SELECT o_orderkey, 'ORD' || lpad(CAST(o_orderkey AS VARCHAR), 13, '0') AS order_id FROM orders")
+def padded_keys(rows, d):
+    return rows.select("o_orderkey", datagen.code("ORD", F.col("o_orderkey"), 13).alias("order_id"))
+
+
+@per_order("G02_uniform_pick", f"SELECT o_orderkey, ['platinum', 'gold', 'silver', 'bronze'][{whole('G02', 'tier', 1, 4)}] AS tier FROM orders")
+def uniform_pick(rows, d):
+    return rows.select("o_orderkey", d.pick("tier", datagen.TIERS).alias("tier"))
+
+
+@per_order("G03_weighted_status", f"SELECT o_orderkey, {STATUS.format(u=unit('G03', 'status'))} AS status FROM orders")
+def weighted_status(rows, d):
+    return rows.select("o_orderkey", datagen.status_of(d.unit("status")).alias("status"))
+
+
+@per_order("G04_conditional_nulls", f"""
+SELECT o_orderkey, CASE WHEN u >= 0.82 THEN {whole('G04', 'partner', 1, 5000)} END AS partner,
+  CASE WHEN u >= 0.72 AND u < 0.82 THEN 'cancelled' END AS reason FROM (SELECT *, {unit('G04', 'status')} AS u FROM orders)
+""")
+def conditional_nulls(rows, d):
+    draw = d.unit("status")
+    return rows.select(
+        "o_orderkey", F.when(draw >= 0.82, d.whole("partner", 1, 5000)).alias("partner"),
+        F.when((draw >= 0.72) & (draw < 0.82), "cancelled").alias("reason"),
+    )
+
+
+@per_order("G05_random_times", f"SELECT o_orderkey, o_orderdate + to_seconds({whole('G05', 'at', 60, 300)}) AS accepted_at FROM orders")
+def random_times(rows, d):
+    return rows.select("o_orderkey", d.seconds_after("at", F.col("o_orderdate"), 60, 300).alias("accepted_at"))
+
+
+@per_order("G06_children", f"""
+SELECT o_orderkey, k AS item, (o_orderkey - 1) * 3 + k AS item_number, {whole('G06', 'quantity', 1, 5, "o_orderkey || '/' || k")} AS quantity
+FROM orders, (SELECT CAST(unnest(range(1, 4)) AS INT) AS k)
+""")
+def children(rows, _):
+    d = Draws(SEED, "G06", F.concat_ws("/", "o_orderkey", "item"))
+    number = (F.col("o_orderkey") - 1) * 3 + F.col("item")
+    return multiply_rows(rows.select("o_orderkey"), 3, "item").select(
+        "o_orderkey", "item", number.alias("item_number"), d.whole("quantity", 1, 5).alias("quantity")
+    )
+
+
+@per_order("G07_child_by_status", """
+SELECT 'DLV' || lpad(CAST(o_orderkey AS VARCHAR), 13, '0') AS delivery_id, o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'O')
+""")
+def child_by_status(rows, d):
+    return rows.where(F.col("o_orderstatus").isin("F", "O")).select(
+        datagen.code("DLV", F.col("o_orderkey"), 13).alias("delivery_id"), "o_orderkey"
+    )
+
+
+@per_order("G08_bernoulli", f"SELECT o_orderkey FROM orders WHERE {unit('G08', 'rated')} < 0.7")
+def bernoulli(rows, d):
+    return rows.where(d.flag("rated", 0.70)).select("o_orderkey")
+
+
+@per_order("G09_normal", f"""
+SELECT o_orderkey, CAST(floor((4.0 + 0.6 * sqrt(-2.0 * ln(1.0 - {unit('G09', 'rating/r')})) * cos(6.283185307179586 * {unit('G09', 'rating/a')}))
+  * 10 + 0.5) AS BIGINT) AS rating_tenths FROM orders
+""")
+def normal(rows, d):
+    rating = d.normal("rating", 4.0, 0.6)
+    return rows.select("o_orderkey", F.floor(rating * 10 + 0.5).alias("rating_tenths"))
+
+
+@per_order("G10_money_chain", f"""
+WITH b AS (SELECT o_orderkey, CAST({whole('G10', 'subtotal', 50, 2000)} AS DECIMAL(12,2)) AS subtotal, {unit('G10', 'promo')} < 0.2 AS has,
+  CAST(floor((0.05 + {unit('G10', 'rate')} * 0.25) * 10000 + 0.5) / 10000 AS DECIMAL(6,4)) AS rate FROM orders),
+c AS (SELECT *, CASE WHEN subtotal < 150 THEN 40 WHEN subtotal < 500 THEN 30 ELSE 0 END AS fee,
+  CASE WHEN has THEN CAST(subtotal * rate AS DECIMAL(10,2)) ELSE 0 END AS promo, CAST(subtotal * 0.05 AS DECIMAL(10,2)) AS tax FROM b)
+SELECT o_orderkey, subtotal, CAST(fee AS DECIMAL(8,2)) AS fee, CAST(promo AS DECIMAL(10,2)) AS promo, tax,
+  CAST(subtotal + fee + 5 - promo + tax AS DECIMAL(12,2)) AS total FROM c
+""")
+def money_chain(rows, d):
+    subtotal = datagen.money(d.whole("subtotal", 50, 2000), 12)
+    rate = (F.floor((F.lit(0.05) + d.unit("rate") * 0.25) * 10000 + 0.5) / 10000).cast("decimal(6,4)")
+    chain = rows.select("o_orderkey", subtotal.alias("subtotal"), d.flag("promo", 0.20).alias("has"), rate.alias("rate")).withColumns(
+        {
+            "fee": datagen.delivery_fee(F.col("subtotal")),
+            "promo": datagen.money(F.when(F.col("has"), F.round(F.col("subtotal") * F.col("rate"), 2)).otherwise(F.lit(0))),
+            "tax": datagen.money(F.round(F.col("subtotal") * F.lit("0.05").cast("decimal(3,2)"), 2)),
+        }
+    )
+    total = F.col("subtotal") + F.col("fee") + 5 - F.col("promo") + F.col("tax")
+    return chain.select("o_orderkey", "subtotal", "fee", "promo", "tax", datagen.money(total, 12).alias("total"))
+
+
+# --- the whole data set, sized by the order table --------------------------------------------
+
+
+def generator(spark, sf) -> Generator:
+    """As many orders, customers and restaurants as the test tables hold orders, customers and parts."""
+    size = {n: table(spark, sf, n).count() for n in ("orders", "customer", "part", "supplier")}
+    return Generator(spark, size["orders"], SEED, customers=size["customer"], restaurants=size["part"], partners=size["supplier"])
+
+
+def generated(name: str) -> None:
+    def run(spark, sf):
+        df = generator(spark, sf).tables()[name]
+        variant = [f.name for f in df.schema if f.dataType.typeName() == "variant"]
+        return df.withColumns({c: F.to_json(c) for c in variant})
+
+    query(f"gen_{name}", None)(run)
+
+
+for _name in (
+    "areas promotions restaurants menu_items customers customer_addresses delivery_partners orders order_items deliveries payments "
+    "ratings reviews promo_redemptions support_tickets ticket_comments"
+).split():
+    generated(_name)
+
+
+@query("gen_integrity", """
+SELECT t AS child, CAST(0 AS BIGINT) AS orphans FROM (VALUES ('order_items'), ('deliveries'), ('payments'), ('ratings'), ('reviews'),
+  ('promo_redemptions'), ('support_tickets'), ('ticket_comments'), ('orders')) v(t)
+""")
+def integrity(spark, sf):
+    """Children without a parent, per table; keys of generated parents are made again, not stored."""
+    from tidemark.incremental import union_all
+    from tidemark.operators.joins import orphans
+
+    t = generator(spark, sf).tables()
+    links = [
+        ("order_items", "order_id", "orders", "order_id"), ("deliveries", "order_id", "orders", "order_id"),
+        ("payments", "order_id", "orders", "order_id"), ("ratings", "order_id", "orders", "order_id"),
+        ("reviews", "rating_id", "ratings", "rating_id"), ("promo_redemptions", "promo_id", "promotions", "promo_id"),
+        ("support_tickets", "order_id", "orders", "order_id"), ("ticket_comments", "ticket_id", "support_tickets", "ticket_id"),
+        ("orders", "customer_id", "customers", "customer_id"),
+    ]
+    counts = [
+        orphans(t[child].select(fk), fk, t[parent].select(key), key).agg(count_rows().alias("orphans")).select(
+            F.lit(child).alias("child"), "orphans"
+        )
+        for child, fk, parent, key in links
+    ]
+    return union_all(counts)

@@ -78,7 +78,7 @@ query("T05_incremental_filter_dev", ORDERS + " WHERE CAST(o_orderdate AS DATE) >
 
 def _dev_filter(spark, sf):
     target = new_table(spark, "filter")
-    target.overwrite(orders(spark, sf).limit(0))
+    target.overwrite(orders(spark, sf).where("false"))
     return incremental.incremental_filter(orders(spark, sf), target, "day", environment="dev", days=3, as_of="2001-07-10")
 
 
@@ -457,7 +457,7 @@ query("snp_visitor_feedback_changes", snapshot_sql("haunted_feedback_q", "feedba
 WITH t AS (
   SELECT 'events' AS source, max(ts) AS m, 43200 AS w, 86400 AS e FROM events
   UNION ALL SELECT 'clicks', max(ts), 30 * 86400, 60 * 86400 FROM events WHERE event_type = 'click' AND ts >= DATE '2024-01-10'
-  UNION ALL SELECT 'orders', max(o_orderdate), 7 * 86400, 100000 * 86400 FROM orders)
+  UNION ALL SELECT 'orders', max(o_orderdate), 7 * 86400, 10000 * 86400 FROM orders)
 SELECT source, m AS max_loaded_at, datediff('second', m, TIMESTAMP '{AS_OF_EVENTS}') AS age_seconds,
   CASE WHEN datediff('second', m, TIMESTAMP '{AS_OF_EVENTS}') > e THEN 'error'
        WHEN datediff('second', m, TIMESTAMP '{AS_OF_EVENTS}') > w THEN 'warn' ELSE 'pass' END AS status FROM t
@@ -470,7 +470,7 @@ def freshness(spark, sf):
     rules = [
         ("events", events, publish.Freshness("ts", day / 2, day)),
         ("clicks", events, publish.Freshness("ts", 30 * day, 60 * day, "event_type = 'click' AND ts >= TIMESTAMP_NTZ '2024-01-10 00:00:00'")),
-        ("orders", orders_, publish.Freshness("o_orderdate", 7 * day, 100000 * day)),
+        ("orders", orders_, publish.Freshness("o_orderdate", 7 * day, 10000 * day)),
         ("suppliers", table(spark, sf, "supplier"), None),
     ]
     return incremental.union_all([publish.freshness(name, df, rule, now) for name, df, rule in rules])
