@@ -139,7 +139,7 @@ def generator(spark, sf) -> Generator:
 
 def generated(name: str) -> None:
     def run(spark, sf):
-        df = generator(spark, sf).tables()[name]
+        df = generator(spark, sf).table(name)
         variant = [f.name for f in df.schema if f.dataType.typeName() == "variant"]
         return df.withColumns({c: F.to_json(c) for c in variant})
 
@@ -162,7 +162,8 @@ def integrity(spark, sf):
     from tidemark.incremental import union_all
     from tidemark.operators.joins import orphans
 
-    t = generator(spark, sf).tables()
+    made = generator(spark, sf)
+    t = {name: made.table(name) for name in made.TABLES}
     links = [
         ("order_items", "order_id", "orders", "order_id"), ("deliveries", "order_id", "orders", "order_id"),
         ("payments", "order_id", "orders", "order_id"), ("ratings", "order_id", "orders", "order_id"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from registry.base import cte, table
 
-TICKET_PRICE = "CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 0.001 AS DECIMAL(10,2))"
+TICKET_PRICE = "CAST(CAST(o_totalprice AS DECIMAL(9,2)) * 0.001 AS DECIMAL(10,2))"
 TICKET_PCT = "CAST(CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE o_orderkey % 40 END AS DECIMAL(4,0))"
 TICKET_DISCOUNT = f"CAST({TICKET_PRICE} * {TICKET_PCT} * 0.01 AS DECIMAL(12,4))"
 EVENT_PCT = "CAST(CASE WHEN event_id % 4 = 0 THEN 0 ELSE event_id % 40 END AS DECIMAL(4,0))"
@@ -14,7 +14,7 @@ EVENT_PRICE = "CAST(value AS DECIMAL(10,2))"
 EVENT_DISCOUNT = f"CAST({EVENT_PRICE} * {EVENT_PCT} * 0.01 AS DECIMAL(12,4))"
 RATING = "CAST(1 + CAST(FLOOR(value) AS BIGINT) % 5 AS INT)"
 LINE_AMOUNT = (
-    "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) * 0.01 AS DECIMAL(10,2))"
+    "CAST(CAST(l_extendedprice AS DECIMAL(8,2)) * (1 - CAST(l_discount AS DECIMAL(3,2))) * 0.01 AS DECIMAL(10,2))"
 )
 LINE_CATEGORY = (
     "CASE WHEN l_returnflag = 'A' THEN 'food' WHEN l_returnflag = 'N' THEN 'merchandise' "
@@ -27,7 +27,7 @@ LINE = {
     "category": LINE_CATEGORY,
     "item_name": "'Item ' || CAST(l_partkey AS STRING)",
     "quantity": "CAST(l_quantity AS INT)",
-    "unit_price": "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 0.001 AS DECIMAL(10,2))",
+    "unit_price": "CAST(CAST(l_extendedprice AS DECIMAL(8,2)) * 0.001 AS DECIMAL(10,2))",
     "total_amount": LINE_AMOUNT,
     "payment_method": "CASE l_linenumber % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'cash' WHEN 2 THEN 'kiosk' "
     "ELSE 'mobile' END",

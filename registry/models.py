@@ -184,8 +184,8 @@ USING (visit_date)
 """)
 cte("visits_q", f"""
 SELECT ticket_id, customer_id, visit_date, ticket_type, purchase_date, purchase_channel, is_discounted,
-  final_price AS ticket_price, {money('coalesce(spend, 0)')} AS in_park_spend,
-  {money('final_price + coalesce(spend, 0)')} AS total_visit_spend,
+  final_price AS ticket_price, CAST(coalesce(spend, 0) AS DECIMAL(14,2)) AS in_park_spend,
+  CAST(final_price + coalesce(spend, 0) AS DECIMAL(14,2)) AS total_visit_spend,
   CAST(visit_date - purchase_date AS BIGINT) AS booking_lead_days, visit_date = purchase_date AS is_same_day_visit,
   visit_date - purchase_date >= 7 AS is_advance_purchase, avg_rating,
   coalesce(reviews, 0) AS feedback_count, coalesce(reviews, 0) > 0 AS has_feedback

@@ -13,7 +13,7 @@ from registry.base import AS_OF, avg_of, hu, money, query, table
 from registry.inputs import feed, pos_with_customer
 from registry.models import dim_customers, fct_sales, orders_calendar, stg_tickets
 from tidemark.functions import (
-    cast_price, contains_any, count_rows, days_between, halloween_bucket, half_up, mean, money_sum, months_between_dates,
+    cast_price, contains_any, count_rows, days_between, halloween_bucket, half_up, mean, money_mean, money_sum, months_between_dates,
     percent, ratio, revenue_category, share_true,
 )
 from tidemark.metrics import Catalog, Metric, SemanticModel
@@ -443,7 +443,7 @@ SELECT s.user_id, event_type, avg_value, best FROM s JOIN (SELECT user_id, max(a
 ON b.user_id = s.user_id
 """)
 def join_to_baseline(spark, sf):
-    stats = events(spark, sf).groupBy("user_id", "event_type").agg(mean("amount").alias("avg_value"))
+    stats = events(spark, sf).groupBy("user_id", "event_type").agg(money_mean("amount").alias("avg_value"))
     best = stats.groupBy("user_id").agg(F.max("avg_value").alias("best"))
     return stats.join(best, "user_id")
 
@@ -473,7 +473,7 @@ query("A01_group_by", f"""
 SELECT l_returnflag, l_linestatus, count(*) AS n, {money(f'sum({LINE_PRICE})')} AS total, {avg_of(LINE_PRICE)} AS average,
   min(l_quantity) AS least, max(l_quantity) AS most FROM lineitem GROUP BY ALL
 """)(lambda s, d: lines(s, d).groupBy("l_returnflag", "l_linestatus").agg(
-    count_rows().alias("n"), money_sum("price").alias("total"), mean("price").alias("average"),
+    count_rows().alias("n"), money_sum("price").alias("total"), money_mean("price").alias("average"),
     F.min("l_quantity").alias("least"), F.max("l_quantity").alias("most"),
 ))
 query("A02_count_distinct", f"""
@@ -562,7 +562,7 @@ SELECT event_type, user_id % 5 AS band, {avg_of('CAST(value AS DECIMAL(18,2))')}
 UNION ALL SELECT 'All Events', user_id % 5, {avg_of('CAST(value AS DECIMAL(18,2))')}, count(*) FROM events GROUP BY ALL
 """)(lambda s, d: projection.with_overall(
     events(s, d).withColumn("band", F.col("user_id") % 5), "event_type", ["band"], "All Events",
-    avg_value=mean("amount"), n=count_rows(),
+    avg_value=money_mean("amount"), n=count_rows(),
 ))
 query("A14_span_and_rate", f"""
 SELECT o_custkey, max(CAST(o_orderdate AS DATE)) - min(CAST(o_orderdate AS DATE)) AS active_days,
@@ -573,7 +573,7 @@ FROM orders GROUP BY ALL
     half_up(ratio(F.sum("price"), months_between_dates(F.min("day"), F.max("day")))).alias("per_month"),
 ))
 query("A15_derived_dimension", f"SELECT o_orderpriority, CAST({avg_of(PRICE)} AS DECIMAL(10,2)) AS price FROM orders GROUP BY ALL")(
-    lambda s, d: orders(s, d).groupBy("o_orderpriority").agg(mean("price").cast("decimal(10,2)").alias("price"))
+    lambda s, d: orders(s, d).groupBy("o_orderpriority").agg(money_mean("price").cast("decimal(10,2)").alias("price"))
 )
 
 
@@ -604,7 +604,7 @@ query("W03_rank_over_aggregates", f"""
 SELECT user_id, count(*) AS n, rank() OVER (ORDER BY {avg_of('CAST(value AS DECIMAL(18,2))')} DESC, count(*) DESC) AS place
 FROM events GROUP BY ALL
 """)(lambda s, d: ranks.rank_rows(
-    events(s, d).groupBy("user_id").agg(count_rows().alias("n"), mean("amount").alias("avg_value")),
+    events(s, d).groupBy("user_id").agg(count_rows().alias("n"), money_mean("amount").alias("avg_value")),
     {"avg_value": F.desc, "n": F.desc}, "place",
 ).drop("avg_value"))
 query("W04_rank_nullable_ratio", """
@@ -803,3 +803,7 @@ FROM v FULL JOIN p USING (metric_time, loyalty_tier)
 """)(lambda s, d: catalog(s, d).query(
     ["ticket_revenue", "total_visits", "total_sales", "average_order_value"], ["metric_time", "loyalty_tier"], grain="quarter"
 ))
+query("M07_multi_fact_total", f"""
+SELECT {MONEY20.format('(SELECT sum(final_price) FROM raw_tickets)')} AS ticket_revenue,
+  {MONEY20.format('(SELECT sum(total_amount) FROM raw_pos)')} AS total_sales
+""")(lambda s, d: catalog(s, d).query(["ticket_revenue", "total_sales"]))

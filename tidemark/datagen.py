@@ -487,16 +487,19 @@ class Generator:
             self.loaded.alias("_airbyte_extracted_at"),
         )
 
-    def tables(self) -> dict[str, DataFrame]:
-        """All 18 tables, parents before children."""
-        orders = self.orders()
-        ratings, tickets = self.ratings(orders), self.support_tickets(orders)
-        return {
-            "cities": self.cities(), "areas": self.areas(), "payment_methods": self.payment_methods(),
-            "promotions": self.promotions(), "restaurants": self.restaurants(), "menu_items": self.menu_items(),
-            "customers": self.customers(), "customer_addresses": self.addresses(), "delivery_partners": self.partners(),
-            "orders": orders, "order_items": self.order_items(orders), "deliveries": self.deliveries(orders),
-            "payments": self.payments(orders), "ratings": ratings, "reviews": self.reviews(ratings),
-            "promo_redemptions": self.redemptions(orders), "support_tickets": tickets,
-            "ticket_comments": self.ticket_comments(tickets),
-        }
+    # table -> (method, parent table)
+    TABLES = {
+        "cities": ("cities", None), "areas": ("areas", None), "payment_methods": ("payment_methods", None),
+        "promotions": ("promotions", None), "restaurants": ("restaurants", None), "menu_items": ("menu_items", None),
+        "customers": ("customers", None), "customer_addresses": ("addresses", None),
+        "delivery_partners": ("partners", None), "orders": ("orders", None), "order_items": ("order_items", "orders"),
+        "deliveries": ("deliveries", "orders"), "payments": ("payments", "orders"), "ratings": ("ratings", "orders"),
+        "reviews": ("reviews", "ratings"), "promo_redemptions": ("redemptions", "orders"),
+        "support_tickets": ("support_tickets", "orders"), "ticket_comments": ("ticket_comments", "support_tickets"),
+    }
+
+    def table(self, name: str) -> DataFrame:
+        """One of the 18 tables; its parents are part of the plan and need not be stored."""
+        method, parent = self.TABLES[name]
+        make = getattr(self, method)
+        return make() if parent is None else make(self.table(parent))

@@ -128,14 +128,17 @@ def merge(
     search for matches to partitions from that value on; keys stored in older partitions raise,
     or with outside="insert" come in as second rows. Partitions without a match are not rewritten.
     """
-    _require_unique(batch, key)
     if not table.exists():
+        _require_unique(batch, key)
         return table.overwrite(batch)
     schema = _evolved(table, batch, on_schema_change)
     base = table.version()
     names = table.partitions()
     inside = names if since is None else [n for n in names if n >= table.partition_name(since)]
     batch = cut(batch)  # read several times below, so fix its rows once
+    if batch.isEmpty() and schema == table.schema():
+        return base
+    _require_unique(batch, key)
     keys = batch.select(key)
 
     if outside == "raise" and len(inside) < len(names):

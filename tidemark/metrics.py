@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import full_outer_same
+from tidemark.operators.joins import full_outer_same, with_totals
 
 GRAINS = ("day", "week", "month", "quarter", "year")
 
@@ -66,7 +66,7 @@ class Catalog:
         # Facts meet only after each is aggregated to the requested groups.
         result = parts[0]
         for part in parts[1:]:
-            result = full_outer_same(result, part, list(group_by)) if group_by else result.crossJoin(F.broadcast(part))
+            result = full_outer_same(result, part, list(group_by)) if group_by else with_totals(result, part)
         return self._derived(result, metrics).select(*group_by, *metrics)
 
     def _simple(self, names: list[str]) -> list[str]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import half_up, ratio
+from tidemark.operators.joins import with_totals
 
 
 def compare_relations(a: DataFrame, b: DataFrame, exclude: list[str] = ()) -> DataFrame:
@@ -26,10 +27,9 @@ def compare_relations(a: DataFrame, b: DataFrame, exclude: list[str] = ()) -> Da
         (F.max("_a") == 1).alias("in_a"), (F.max("_b") == 1).alias("in_b")
     )
     summary = rows.groupBy("in_a", "in_b").agg(F.count(F.lit(1)).alias("count"))
-    # At most three classes are left, so the total is a one-row aggregate over three rows.
     total = summary.agg(F.sum("count").alias("_all"))
     share = half_up(ratio(F.col("count").cast("double") * F.lit(100.0), F.col("_all")))
-    return summary.crossJoin(F.broadcast(total)).select("in_a", "in_b", "count", share.alias("percent_of_total"))
+    return with_totals(summary, total).select("in_a", "in_b", "count", share.alias("percent_of_total"))
 
 
 def differing_rows(a: DataFrame, b: DataFrame, key: list[str], exclude: list[str] = ()) -> DataFrame:

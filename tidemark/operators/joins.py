@@ -15,7 +15,7 @@ def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "le
     """Join on equally named keys with NULL equal to NULL; the left keys survive."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     on = [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys]
-    joined = left.join(renamed, reduce(lambda a, b: a & b, on), how) if keys else left.crossJoin(F.broadcast(renamed))
+    joined = left.join(renamed, reduce(lambda a, b: a & b, on), how)
     return joined.drop(*[f"_right_{k}" for k in keys])
 
 
@@ -42,8 +42,8 @@ def fill_gaps(spine: DataFrame, facts: DataFrame, key: str, zero: list[str], kee
 
 
 def with_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row."""
-    return df.crossJoin(F.broadcast(totals))
+    """Attach a one-row aggregate to every row, as scalar subqueries: computed once, no join."""
+    return df.select("*", *[totals.select(c).scalar().alias(c) for c in totals.columns])
 
 
 def multiply_rows(df: DataFrame, times: int, number: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
-    action_priority, age_group, behavioral_segment, count_rows, days_between, half_up, halloween_bucket, mean, money_sum,
+    action_priority, age_group, behavioral_segment, count_rows, days_between, half_up, halloween_bucket, mean, money_mean, money_sum,
     nps_segment, popularity_segment, rating_tier, ratio, recency_risk, recency_segment, recommended_action,
     share_true, spending_tier, ticket_tier, value_index, visit_time_of_day, wait_experience,
 )
@@ -44,9 +44,9 @@ def customer_lifetime_value(customers: DataFrame, visits: DataFrame) -> DataFram
     spend = F.sum("lifetime_total_spend")
     return joined.groupBy("loyalty_tier", "customer_value_segment").agg(
         F.count("customer_id").alias("total_customers"),
-        mean("lifetime_ticket_revenue").alias("avg_lifetime_ticket_revenue"),
-        mean("lifetime_in_park_spend").alias("avg_lifetime_in_park_spend"),
-        mean("lifetime_total_spend").alias("avg_lifetime_total_spend"),
+        money_mean("lifetime_ticket_revenue").alias("avg_lifetime_ticket_revenue"),
+        money_mean("lifetime_in_park_spend").alias("avg_lifetime_in_park_spend"),
+        money_mean("lifetime_total_spend").alias("avg_lifetime_total_spend"),
         mean("total_visits").alias("avg_visits"),
         mean("_per_visit").alias("avg_spend_per_visit"),
         spend.cast("decimal(28,2)").alias("total_segment_revenue"),
@@ -58,7 +58,7 @@ def customer_spending_profile(feedback: DataFrame) -> DataFrame:
     grouped = feedback.groupBy(F.col("customer_gender").alias("gender"), age_group("customer_age").alias("age_group"))
     return grouped.agg(
         count_rows().alias("total_visits"),
-        mean("ticket_price").alias("avg_ticket_price"),
+        money_mean("ticket_price").alias("avg_ticket_price"),
         money_sum("ticket_price").alias("total_spend"),
         mean("satisfaction_rating").alias("avg_satisfaction"),
     )
@@ -83,7 +83,7 @@ def halloween_spending(sales: DataFrame, calendar: DataFrame, start="2023-01-01"
     return bucketed.agg(
         F.count("sale_id").alias("total_tickets"),
         money_sum("ticket_price").alias("total_revenue"),
-        mean("ticket_price").alias("avg_ticket_price"),
+        money_mean("ticket_price").alias("avg_ticket_price"),
         mean("discount_percent").alias("avg_discount_pct"),
     ).withColumn("spend_tier", spending_tier("avg_ticket_price"))
 
@@ -105,7 +105,7 @@ def house_by_time(feedback: DataFrame) -> DataFrame:
     return grouped.agg(
         count_rows().alias("total_visits"),
         money_sum("ticket_price").alias("total_revenue"),
-        mean("ticket_price").alias("avg_ticket_price"),
+        money_mean("ticket_price").alias("avg_ticket_price"),
         mean("satisfaction_rating").alias("avg_satisfaction"),
         share_true(F.col("would_recommend")).alias("recommendation_rate"),
     )
@@ -131,7 +131,7 @@ def ticket_value(feedback: DataFrame) -> DataFrame:
     tier = ticket_tier(F.col("includes_vip_benefits"), F.col("includes_fast_pass"))
     grouped = feedback.groupBy("haunted_house_name", tier.alias("ticket_tier")).agg(
         mean("satisfaction_rating").alias("avg_satisfaction"),
-        mean("ticket_price").alias("avg_price"),
+        money_mean("ticket_price").alias("avg_price"),
         count_rows().alias("visit_count"),
     )
     valued = grouped.withColumns(
@@ -175,7 +175,7 @@ def revenue_retention_summary(customers: DataFrame, visits: DataFrame, as_of=Non
         money_sum("ticket_price").alias("lifetime_ticket_revenue"),
         money_sum("in_park_spend").alias("lifetime_in_park_spend"),
         money_sum("total_visit_spend").alias("lifetime_total_spend"),
-        mean("total_visit_spend").alias("avg_spend_per_visit"),
+        money_mean("total_visit_spend").alias("avg_spend_per_visit"),
         mean(half_up(F.col("avg_rating"), 6).cast("decimal(12,6)")).alias("avg_visit_rating"),
         F.sum("feedback_count").alias("feedback_submissions"),
         F.count_if("is_discounted").alias("discounted_visit_count"),

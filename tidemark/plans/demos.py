@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
-    days_between, half_up, is_deep_discount, is_high_value, ltv_segment, mask_pii, mean, money_sum,
+    days_between, half_up, is_deep_discount, is_high_value, ltv_segment, mask_pii, mean, money_mean, money_sum,
     months_between_dates, plain_key, ratio, revenue_category, spend_tier, transaction_tier, week_start,
 )
 from tidemark.operators.joins import fill_gaps
@@ -92,7 +92,7 @@ def _mean_rating() -> Column:
 def visits_by_type(visits: DataFrame) -> DataFrame:
     return visits.groupBy("ticket_type").agg(
         F.count(F.lit(1)).alias("total_visits"),
-        mean("total_visit_spend").alias("avg_spend"),
+        money_mean("total_visit_spend").alias("avg_spend"),
         _mean_rating().alias("avg_rating"),
         F.min("visit_date").alias("first_visit"),
         F.max("visit_date").alias("last_visit"),
@@ -122,7 +122,7 @@ def transaction_summary(enriched: DataFrame) -> DataFrame:
     grouped = enriched.groupBy("revenue_category", "spending_tier", "payment_method").agg(
         F.count(F.lit(1)).alias("transaction_count"),
         money_sum("total_amount").alias("total_revenue"),
-        mean("total_amount").alias("avg_transaction_value"),
+        money_mean("total_amount").alias("avg_transaction_value"),
         F.count_if("is_high_value").alias("high_value_count"),
     )
     share = half_up(ratio(high.cast("double") * F.lit(100.0), n), 1)
@@ -133,7 +133,7 @@ def sales_by_outlet(sales: DataFrame) -> DataFrame:
     return sales.groupBy("visit_date", "category", "location").agg(
         F.count(F.lit(1)).alias("transaction_count"),
         money_sum("total_amount").alias("total_revenue"),
-        mean("total_amount", None).alias("avg_transaction_value"),
+        money_mean("total_amount", None).alias("avg_transaction_value"),
         F.min("total_amount").alias("min_transaction_value"),
         F.max("total_amount").alias("max_transaction_value"),
     )
@@ -144,7 +144,7 @@ def recent_customers(visits: DataFrame, days: int = 90, as_of=None) -> DataFrame
     return look_back(visits, "visit_date", days, as_of).groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("visit_count"),
         money_sum("total_visit_spend").alias("total_spend"),
-        mean("total_visit_spend").alias("avg_spend_per_visit"),
+        money_mean("total_visit_spend").alias("avg_spend_per_visit"),
         _mean_rating().alias("avg_rating"),
         F.min("visit_date").alias("first_visit_in_window"),
         F.max("visit_date").alias("last_visit_in_window"),
@@ -199,7 +199,7 @@ def weekly_revenue(visits: DataFrame) -> DataFrame:
     ).agg(
         F.count(F.lit(1)).alias("visit_count"),
         money_sum("total_visit_spend").alias("total_revenue"),
-        mean("total_visit_spend").alias("avg_spend_per_visit"),
+        money_mean("total_visit_spend").alias("avg_spend_per_visit"),
         _mean_rating().alias("avg_rating"),
     )
     to_here = Window.partitionBy("ticket_type").orderBy("week_start").rowsBetween(Window.unboundedPreceding, 0)
@@ -221,7 +221,7 @@ def customer_ltv(visits: DataFrame, customers: DataFrame) -> DataFrame:
         last.alias("last_visit_date"),
         days_between(first, last).cast("long").alias("active_days"),
         spend.cast("decimal(28,2)").alias("lifetime_spend"),
-        mean("total_visit_spend").alias("avg_spend_per_visit"),
+        money_mean("total_visit_spend").alias("avg_spend_per_visit"),
         _mean_rating().alias("avg_satisfaction_rating"),
         half_up(ratio(spend, months_between_dates(first, last))).alias("avg_monthly_spend"),
     )

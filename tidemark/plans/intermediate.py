@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import days_between, mean, money_sum, percent, review_count_band
 from tidemark.operators.joins import full_outer_zero
 
-MONEY = "decimal(28,2)"
+MONEY = "decimal(28,2)"  # totals
+ROW_MONEY = "decimal(14,2)"  # amounts of one visit
 
 
 def daily_revenue(tickets: DataFrame, pos: DataFrame) -> DataFrame:
@@ -46,14 +47,14 @@ def customer_visits(tickets: DataFrame, pos: DataFrame, feedback: DataFrame) ->
         mean("rating", None).alias("avg_rating"), F.count(F.lit(1)).alias("feedback_count")
     )
     joined = tickets.join(spend, key, "left").join(opinion, key, "left")
-    in_park = F.coalesce(F.col("in_park_spend"), F.lit(0)).cast(MONEY)
+    in_park = F.coalesce(F.col("in_park_spend"), F.lit(0)).cast(ROW_MONEY)
     lead = days_between(F.col("purchase_date"), F.col("visit_date"))
     reviews = F.coalesce(F.col("feedback_count"), F.lit(0))
     return joined.select(
         "ticket_id", "customer_id", "visit_date", "ticket_type", "purchase_date", "purchase_channel", "is_discounted",
         F.col("final_price").alias("ticket_price"),
         in_park.alias("in_park_spend"),
-        (F.col("final_price") + in_park).cast(MONEY).alias("total_visit_spend"),
+        (F.col("final_price") + in_park).cast(ROW_MONEY).alias("total_visit_spend"),
         lead.cast("long").alias("booking_lead_days"),
         (lead == 0).alias("is_same_day_visit"),
         (lead >= 7).alias("is_advance_purchase"),

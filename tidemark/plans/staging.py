@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
-    cast_price, discount_percent, fear_level, is_vip, loyalty_points, mean, rating_category, scare_level,
+    cast_price, discount_percent, fear_level, is_vip, loyalty_points, money_mean, rating_category, scare_level,
     value_map, would_recommend, years_between,
 )
 from tidemark.operators.joins import assign_round_robin
@@ -148,7 +148,7 @@ def ticket_types(raw: DataFrame, at: Column | None = None) -> DataFrame:
     """
     kind = F.col("ticket_type")
     stamp = F.now().cast(NTZ) if at is None else at
-    types = raw.groupBy("ticket_type").agg(mean(cast_price("base_price")).cast("decimal(10,2)").alias("price"))
+    types = raw.groupBy("ticket_type").agg(money_mean(cast_price("base_price")).cast("decimal(10,2)").alias("price"))
     return types.select(
         F.row_number().over(Window.orderBy(F.asc_nulls_last("ticket_type"))).cast("long").alias("ticket_id"),
         kind.alias("ticket_type_name"),
