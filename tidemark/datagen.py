@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import as_col
+from tidemark.functions import as_col, half_up
 from tidemark.operators.joins import multiply_rows
 from tidemark.sources.readers import inline_rows
 
@@ -224,7 +224,7 @@ class Generator:
             money(d.whole("minimum", 50, 300)).alias("minimum_order_amount"),
             money(d.whole("for_two", 200, 1500)).alias("average_cost_for_two"),
             d.pick("commission", COMMISSIONS).cast("double").alias("commission_rate"),
-            F.round(d.normal("rating", 4.0, 0.6), 1).alias("overall_rating"),
+            half_up(d.normal("rating", 4.0, 0.6), 1).alias("overall_rating"),
             d.whole("ratings", 0, 50_000).cast("int").alias("total_ratings_count"),
             d.seconds_after("created", self._start("2015-01-01"), 0, 5 * YEAR).alias("created_at"),
             d.seconds_after("updated", self._start("2020-01-01"), 0, 4 * YEAR).alias("updated_at"),
@@ -289,8 +289,8 @@ class Generator:
             d.flag("verified", 0.90).alias("is_verified"),
             d.flag("active", 0.85).alias("is_active"),
             d.whole("deliveries", 0, 10_000).cast("int").alias("total_deliveries_completed"),
-            F.round(d.normal("rating", 4.1, 0.5), 2).alias("average_rating"),
-            F.round(F.lit(0.60) + d.unit("acceptance") * F.lit(0.38), 3).alias("acceptance_rate"),
+            half_up(d.normal("rating", 4.1, 0.5), 2).alias("average_rating"),
+            half_up(F.lit(0.60) + d.unit("acceptance") * F.lit(0.38), 3).alias("acceptance_rate"),
             d.seconds_after("onboarded", self._start("2015-01-01"), 0, 5 * YEAR).alias("onboarded_at"),
             d.seconds_after("updated", self._start("2020-01-01"), 0, 4 * YEAR).alias("updated_at"),
             self.loaded.alias("_fivetran_synced"),
@@ -304,7 +304,7 @@ class Generator:
                 "status_draw": d.unit("status"),
                 "has_promo": d.flag("promo", PROMO_SHARE),
                 "subtotal": money(d.whole("subtotal", 50, 2000), 12),
-                "promo_rate": (F.lit(0.05) + d.unit("promo_rate") * F.lit(0.25)).cast("decimal(6,4)"),
+                "promo_rate": half_up(F.lit(0.05) + d.unit("promo_rate") * F.lit(0.25), 4).cast("decimal(6,4)"),
                 "ordered_at": d.seconds_after("ordered", self._start("2020-01-01"), 0, 4 * YEAR),
             }
         )
@@ -387,8 +387,8 @@ class Generator:
             d.seconds_after("arrived", ordered, 600, 1800).alias("arrived_restaurant_at"),
             F.coalesce("picked_up_at", d.seconds_after("picked_up", ordered, 1200, 2400)).alias("picked_up_at"),
             F.coalesce("delivered_at", d.seconds_after("delivered", ordered, 2400, 4800)).alias("delivered_at"),
-            F.round(F.lit(1.0) + d.unit("distance") * F.lit(24.0), 2).alias("delivery_distance_km"),
-            F.round(F.lit(1.5) + d.unit("route") * F.lit(33.5), 2).alias("route_distance_km"),
+            half_up(F.lit(1.0) + d.unit("distance") * F.lit(24.0), 2).alias("delivery_distance_km"),
+            half_up(F.lit(1.5) + d.unit("route") * F.lit(33.5), 2).alias("route_distance_km"),
             d.seconds_after("updated", ordered, 3000, 90_000).alias("updated_at"),
             self.loaded.alias("_fivetran_synced"),
         )
@@ -401,7 +401,7 @@ class Generator:
             .when(status.isin("delivered", "refunded") & d.flag("returned", 0.02), F.lit("refunded"))
             .otherwise(F.lit("success"))
         )
-        fee_rate = (F.lit(0.005) + d.unit("fee") * F.lit(0.02)).cast("decimal(6,4)")
+        fee_rate = half_up(F.lit(0.005) + d.unit("fee") * F.lit(0.02), 4).cast("decimal(6,4)")
         return orders.select(
             self._child("PAY", "order_id", 13).alias("payment_id"),
             "order_id",
@@ -423,7 +423,7 @@ class Generator:
             "order_id", "customer_id", "restaurant_id", "delivery_partner_id",
             food.cast("int").alias("food_rating"),
             delivery.cast("int").alias("delivery_rating"),
-            F.round((food + delivery) / F.lit(2.0), 1).alias("overall_rating"),
+            ((food + delivery) / F.lit(2.0)).alias("overall_rating"),
             d.seconds_after("rated_at", F.col("delivered_at"), 1800, 2 * DAY).alias("rated_at"),
             self.loaded.alias("_airbyte_extracted_at"),
         )
