@@ -163,3 +163,13 @@ def test_null_partition_value(spark, rows, path):
     table.overwrite(rows(SCHEMA, (1, None, 1, 1), (2, day(1), 1, 1)))
     inc.merge(table, rows(SCHEMA, (1, None, 5, 2)), "k")
     assert sorted((r.k, r.day, r.v) for r in table.read().collect()) == [(1, None, 5), (2, day(1), 1)]
+
+
+def test_compact_merges_small_writes(start, rows):
+    table = start()
+    for i in range(3):
+        table.append(rows(SCHEMA, (100 + i, day(1), 0, 1)))
+    before = state(table)
+    table.compact()
+    assert state(table) == before
+    assert all(len(dirs) == 1 for dirs in table.commit_info()["parts"].values())

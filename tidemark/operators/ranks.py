@@ -72,20 +72,29 @@ def number_rows(df: DataFrame, order: Order, out: str, keys: list[str] | None =
     return scan_blocks(blocks, keys, order, F.lit(1).cast("long"), out).drop(BLOCK)
 
 
-def rank_rows(df: DataFrame, order: Order, out: str, keys: list[str] | None = None, dense: bool = False) -> DataFrame:
-    """rank() or dense_rank(), over all rows or per group.
+def rank_many(df: DataFrame, ranks: dict[str, Order], keys: list[str] | None = None, dense: bool = False) -> DataFrame:
+    """Several ranks over the same columns in different orders, named by `ranks`.
 
     Only the distinct (group, order) tuples are scanned, with their counts; repeats collapse
-    in the partial aggregate before the shuffle.
+    in the partial aggregate before the shuffle. The input is read once for the tuples and once
+    for the join back.
     """
     keys = keys or []
-    columns = [*keys, *order]
+    columns = list(dict.fromkeys([*keys, *[c for order in ranks.values() for c in order]]))
     tuples = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
-    blocks = into_blocks(tuples, keys, order)
     step = F.lit(1).cast("long") if dense else F.col("_rows")
-    reached = scan_blocks(blocks, keys, order, step, "_reached")
-    rank = F.col("_reached") if dense else F.col("_reached") - F.col("_rows") + 1
-    return join_same(df, reached.select(*columns, rank.alias(out)), columns)
+    for out, order in ranks.items():
+        if set(order) | set(keys) != set(columns):
+            raise ValueError("the orders must use the same columns")
+        reached = scan_blocks(into_blocks(tuples, keys, order), keys, order, step, "_reached")
+        rank = F.col("_reached") if dense else F.col("_reached") - F.col("_rows") + 1
+        tuples = reached.withColumn(out, rank).drop("_reached", BLOCK)
+    return join_same(df, tuples.drop("_rows"), columns)
+
+
+def rank_rows(df: DataFrame, order: Order, out: str, keys: list[str] | None = None, dense: bool = False) -> DataFrame:
+    """rank() or dense_rank(), over all rows or per group."""
+    return rank_many(df, {out: order}, keys, dense)
 
 
 def with_group_mean(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:

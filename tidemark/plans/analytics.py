@@ -12,7 +12,7 @@ from tidemark.functions import (
 )
 from tidemark.operators.joins import fill_gaps
 from tidemark.operators.projection import as_of_day, with_overall
-from tidemark.operators.ranks import rank_rows
+from tidemark.operators.ranks import rank_many, rank_rows
 
 
 
@@ -123,7 +123,7 @@ def ride_popularity(rides: DataFrame) -> DataFrame:
     )
     by_volume = {"total_reviews": F.desc, "avg_rating": F.desc_nulls_last}
     by_rating = {"avg_rating": F.desc_nulls_last, "total_reviews": F.desc}
-    return rank_rows(rank_rows(labelled, by_volume, "review_volume_rank"), by_rating, "rating_rank")
+    return rank_many(labelled, {"review_volume_rank": by_volume, "rating_rank": by_rating})
 
 
 def ticket_value(feedback: DataFrame) -> DataFrame:

@@ -172,9 +172,10 @@ def visit_windows(visits: DataFrame) -> DataFrame:
     )
     spend = F.col("total_visit_spend")
     running = running_total(spent, ["customer_id"], {"visit_date": F.asc, "ticket_id": F.asc}, spend, "running_total_spend")
-    ranked = rank_rows(running, {"total_visit_spend": F.desc}, "spend_rank_in_ticket_type", ["ticket_type"], dense=True)
-    compared = with_group_mean(ranked, ["ticket_type"], "total_visit_spend", "_mean")
-    return compared.select(
+    # Both steps below read the blocks stored by the first, not the visits again.
+    compared = with_group_mean(running, ["ticket_type"], "total_visit_spend", "_mean")
+    ranked = rank_rows(compared, {"total_visit_spend": F.desc}, "spend_rank_in_ticket_type", ["ticket_type"], dense=True)
+    return ranked.select(
         "ticket_id", "customer_id", "ticket_type", "visit_date", "total_visit_spend", "avg_rating",
         F.col("running_total_spend").cast("decimal(28,2)").alias("running_total_spend"),
         "spend_rank_in_ticket_type",
