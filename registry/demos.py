@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from registry.base import AS_OF, AS_OF_EVENTS, avg_of, cte, hu, money, query, steps, table
@@ -226,3 +228,99 @@ SELECT transaction_id AS sales_transaction_id, customer_id, visit_date, category
     where="transaction_id is not null",
     audit=projection.audit_columns("run-40", "sales_base", "dev", stamp()),
 ))
+
+
+# === incremental tables over the modelled facts =============================================
+
+
+@query("demo_21_incremental_merge", """
+WITH f AS (SELECT *, CAST(date_trunc('year', purchase_date) AS DATE) AS purchase_year FROM ticket_sales_q),
+late AS (SELECT * FROM f WHERE sale_id % 5 = 2 AND purchase_date >= DATE '2001-01-01')
+SELECT * REPLACE (
+  CASE WHEN sale_id % 5 = 2 AND purchase_date >= DATE '2001-01-01' THEN CAST(ticket_price + 10 AS DECIMAL(10,2)) ELSE ticket_price END AS ticket_price,
+  CASE WHEN sale_id % 5 = 1 OR (sale_id % 5 = 2 AND purchase_date >= DATE '2001-01-01') THEN TIMESTAMP '2002-02-01' ELSE updated_at END AS updated_at,
+  CASE WHEN sale_id % 5 = 1 THEN TIMESTAMP '2002-02-01' ELSE created_at END AS created_at)
+FROM f
+""")
+def demo_21(spark, sf):
+    from registry.models import ticket_sales
+
+    sales = ticket_sales(spark, sf).withColumn("purchase_year", F.trunc("purchase_date", "year"))
+    target = Table(spark, fresh_path(spark, "demo21"), "purchase_year")
+    rule = dict(key="sale_id", update_columns=["ticket_price", "discount_percent", "discount_category", "updated_at"],
+                on_schema_change="sync_all_columns")
+    incremental.merge(target, incremental.newer_rows(sales.where("sale_id % 5 <> 1"), target, "updated_at"), **rule)
+    now = F.lit("2002-02-01 00:00:00").cast("timestamp_ntz")
+    changed = (F.col("sale_id") % 5 == 2) & (F.col("purchase_date") >= F.lit("2001-01-01").cast("date"))
+    price = F.when(changed, F.col("ticket_price") + 10).otherwise(F.col("ticket_price")).cast("decimal(10,2)")
+    arrived = sales.where((F.col("sale_id") % 5 == 1) | changed).withColumns(
+        {"ticket_price": price, "created_at": now, "updated_at": now}
+    )
+    incremental.merge(target, incremental.newer_rows(arrived, target, "updated_at"), since=dt.date(2001, 1, 1), outside="raise", **rule)
+    return target.read()
+
+
+@query("demo_22_incremental_append", "FROM fct_sales_q WHERE visit_date IS NOT NULL")
+def demo_22(spark, sf):
+    target = Table(spark, fresh_path(spark, "demo22"))
+    for last in ("1999-06-30", "2005-01-01"):
+        arrived = fct_sales(spark, sf).where(F.col("visit_date") <= F.lit(last).cast("date"))
+        incremental.append(target, incremental.newer_rows(arrived, target, "visit_date", "1900-01-01"))
+    return target.read()
+
+
+DAILY_VISITS = f"""SELECT visit_date, ticket_type, count(DISTINCT customer_id) AS unique_visitors, count(*) AS total_visits,
+  {money('sum(ticket_price)')} AS total_ticket_revenue, {money('sum(in_park_spend)')} AS total_in_park_spend,
+  {money('sum(total_visit_spend)')} AS total_visit_spend, {MEAN_RATING} AS avg_satisfaction_rating,
+  min(ticket_price) AS min_ticket_price, max(ticket_price) AS max_ticket_price FROM fct_visits_q GROUP BY visit_date, ticket_type"""
+
+
+@query("demo_23_incremental_delete_insert", f"""
+SELECT * REPLACE (CASE WHEN visit_date >= DATE '2024-01-22' THEN total_visits ELSE total_visits + 50 END AS total_visits) FROM ({DAILY_VISITS})
+""")
+def demo_23(spark, sf):
+    daily = demos.daily_visit_summary(fct_visits(spark, sf))
+    target = Table(spark, fresh_path(spark, "demo23"))
+    early = daily.where("visit_date <= DATE '2024-01-25'").withColumn("total_visits", F.col("total_visits") + 50)
+    incremental.delete_insert(target, early, "visit_date")
+    incremental.delete_insert(target, incremental.look_back_rows(daily, target, "visit_date", 3), "visit_date")
+    return target.read()
+
+
+MONTHLY_REVENUE = f"""SELECT CAST(date_trunc('month', visit_date) AS DATE) AS revenue_month, category, location, payment_method,
+  {money('sum(total_amount)')} AS total_revenue, CAST(sum(quantity) AS BIGINT) AS total_units_sold,
+  count(DISTINCT transaction_id) AS total_transactions, count(DISTINCT customer_id) AS unique_customers,
+  {avg_of('total_amount')} AS avg_transaction_value, max(total_amount) AS max_transaction_value
+  FROM fct_sales_q WHERE visit_date >= DATE '2000-06-01' GROUP BY ALL"""
+
+
+@query("demo_24_incremental_insert_overwrite", f"""
+SELECT * REPLACE (CASE WHEN revenue_month >= DATE '2001-06-01' THEN total_units_sold ELSE total_units_sold + 5 END AS total_units_sold)
+FROM ({MONTHLY_REVENUE})
+""")
+def demo_24(spark, sf):
+    monthly = demos.monthly_revenue(fct_sales(spark, sf).where("visit_date >= DATE '2000-06-01'"))
+    target = Table(spark, fresh_path(spark, "demo24"), "revenue_month")
+    incremental.insert_overwrite(target, monthly.withColumn("total_units_sold", F.col("total_units_sold") + 5))
+    incremental.insert_overwrite(target, incremental.month_window(monthly, "revenue_month", as_of="2001-07-15"), "partitions")
+    return target.read()
+
+
+EVENT_SALES = """SELECT ticket_id AS sale_id, customer_id, visit_date AS purchase_date, CAST(visit_date AS TIMESTAMP) AS purchase_ts,
+  final_price AS ticket_price, purchase_channel FROM ev_tickets"""
+
+
+@query("demo_25_incremental_microbatch", f"""
+SELECT * REPLACE (if(purchase_date >= DATE '2024-01-25', 'checked', purchase_channel) AS purchase_channel) FROM ({EVENT_SALES})
+""")
+def demo_25(spark, sf):
+    sales = stg_tickets(spark, sf, "ev_tickets").select(
+        F.col("ticket_id").alias("sale_id"), "customer_id", F.col("visit_date").alias("purchase_date"),
+        F.col("visit_date").cast("timestamp_ntz").alias("purchase_ts"), F.col("final_price").alias("ticket_price"), "purchase_channel",
+    )
+    target = Table(spark, fresh_path(spark, "demo25"), "purchase_date")
+    begin, stop, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 29), dt.datetime(2024, 2, 1)
+    incremental.microbatch(target, sales, "purchase_ts", begin, stop)
+    checked = sales.withColumn("purchase_channel", F.lit("checked"))
+    incremental.microbatch(target, checked, "purchase_ts", begin, end, look_back=3)
+    return target.read()

@@ -290,10 +290,13 @@ def refreshed(spark, sf, mode: str):
     table(spark, sf, "events").repartition(2, "user_id").write.parquet(folder)
     schema = table(spark, sf, "events").schema
     stream = event_stream(spark, folder, schema, "ts", files_per_batch=1)
-    rows = stream.select(F.to_date("ts").alias("day"), "event_type", F.col("value").cast("decimal(10,2)").alias("amount"))
-    target = new_table(spark, "fresh", "day")  # an update rewrites only the days it touches
+    rows = stream.select(
+        F.trunc("ts", "week").alias("week_start"), F.to_date("ts").alias("day"), "event_type",
+        F.col("value").cast("decimal(10,2)").alias("amount"),
+    )
+    target = new_table(spark, "fresh", "week_start")  # an update rewrites only the weeks it touches
     measures = {"n": count_rows(), "total": money_sum("amount")}
-    keep_fresh(rows, ["day", "event_type"], measures, target, RefreshOptions("1 minute", mode), once=True).awaitTermination()
+    keep_fresh(rows, ["week_start", "day", "event_type"], measures, target, RefreshOptions("1 minute", mode), once=True).awaitTermination()
     return target.read().select("day", "event_type", "n", "total")
 
 

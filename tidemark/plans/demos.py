@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import (
     days_between, half_up, is_deep_discount, is_high_value, ltv_segment, mask_pii, mean, money_mean, money_sum,
-    months_between_dates, plain_key, ratio, revenue_category, spend_tier, transaction_tier, week_start,
+    month_start, months_between_dates, plain_key, ratio, revenue_category, spend_tier, transaction_tier, week_start,
 )
 from tidemark.operators.joins import fill_gaps
 from tidemark.operators.projection import dev_limit, feature_flag, look_back
@@ -99,6 +99,31 @@ def visits_by_type(visits: DataFrame) -> DataFrame:
     )
 
 
+def daily_visit_summary(visits: DataFrame) -> DataFrame:
+    return visits.groupBy("visit_date", "ticket_type").agg(
+        F.count_distinct("customer_id").alias("unique_visitors"),
+        F.count(F.lit(1)).alias("total_visits"),
+        money_sum("ticket_price").alias("total_ticket_revenue"),
+        money_sum("in_park_spend").alias("total_in_park_spend"),
+        money_sum("total_visit_spend").alias("total_visit_spend"),
+        _mean_rating().alias("avg_satisfaction_rating"),
+        F.min("ticket_price").alias("min_ticket_price"),
+        F.max("ticket_price").alias("max_ticket_price"),
+    )
+
+
+def monthly_revenue(sales: DataFrame) -> DataFrame:
+    keys = [month_start(F.col("visit_date")).alias("revenue_month"), "category", "location", "payment_method"]
+    return sales.groupBy(*keys).agg(
+        money_sum("total_amount").alias("total_revenue"),
+        F.sum("quantity").alias("total_units_sold"),
+        F.count_distinct("transaction_id").alias("total_transactions"),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        money_mean("total_amount").alias("avg_transaction_value"),
+        F.max("total_amount").alias("max_transaction_value"),
+    )
+
+
 def constrained_visits(visits: DataFrame) -> DataFrame:
     return visits.where(F.col("visit_date").isNotNull() & F.col("customer_id").isNotNull()).select(
         F.col("visit_key").alias("sale_id"), "ticket_id", "customer_id", "visit_date", "ticket_type", "ticket_price",

@@ -40,13 +40,12 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: `spark.checkpoint.dir`, or one of our own in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        current = spark.sparkContext.getCheckpointDir()
-        folder = current if current else tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
