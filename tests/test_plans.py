@@ -15,7 +15,7 @@ def plan(df) -> str:
 @pytest.mark.parametrize("name", [
     "mart_daily_revenue", "fct_sales", "fct_visits", "agg_customer_lifetime_value", "agg_ride_popularity", "demo_30_visit_windows",
     "W05_dense_rank", "W06_running_sum", "W07_group_average", "W08_global_sequence", "J06_cross_join_one_row", "U03_compare_relations",
-    "customer_revenue_retention_summary", "M07_multi_fact", "stg_haunted_tickets",
+    "customer_revenue_retention_summary", "M07_multi_fact", "stg_haunted_tickets", "stg_ticket_types", "agg_visitor_recommendations",
 ])
 def test_no_single_task_and_no_python(spark, small, name):
     text = plan(queries()[name](spark, small))
@@ -41,6 +41,32 @@ def test_calendar_is_broadcast(spark, small):
     assert "BroadcastHashJoin" in plan(queries()["J01_left_join_dimension"](spark, small))
 
 
+def test_a_hot_join_key_is_split(spark):
+    """A third of the facts share one key; without broadcast the join is split by AQE."""
+    from pyspark.sql import functions as F
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(300_000, numPartitions=8).select(
+            "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).alias("k"), F.md5(F.col("id").cast("string")).alias("text")
+        )
+        dims = spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+        joined = facts.join(dims, "k", "left").groupBy("name").agg(F.count("text"))
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
 def test_every_survey_id_is_registered():
     wanted = (
         [f"S{i:02d}" for i in range(1, 15)] + [f"P{i:02d}" for i in range(1, 21)] + [f"J{i:02d}" for i in range(1, 16)]

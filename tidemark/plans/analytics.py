@@ -156,14 +156,11 @@ def vip_satisfaction(feedback: DataFrame) -> DataFrame:
 
 
 def visitor_recommendations(feedback: DataFrame) -> DataFrame:
-    """Recommendation rate per visitor type. One row per type is left, so the rank is a small window."""
     rates = feedback.groupBy("visitor_type").agg(
         share_true(F.col("would_recommend")).alias("recommendation_rate"), count_rows().alias("total_visits")
     )
-    rank = F.rank().over(Window.orderBy(F.desc("recommendation_rate")))
-    return rates.withColumns(
-        {"nps_segment": nps_segment(F.col("recommendation_rate")), "promoter_rank": rank.cast("long")}
-    )
+    labelled = rates.withColumn("nps_segment", nps_segment(F.col("recommendation_rate")))
+    return rank_rows(labelled, {"recommendation_rate": F.desc_nulls_first}, "promoter_rank")
 
 
 def revenue_retention_summary(customers: DataFrame, visits: DataFrame, as_of=None) -> DataFrame:

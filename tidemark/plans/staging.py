@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
@@ -142,15 +142,12 @@ def physical_sales(raw: DataFrame) -> DataFrame:
 
 
 def ticket_types(raw: DataFrame, at: Column | None = None) -> DataFrame:
-    """One row per ticket type with its average base price; numbered by name.
-
-    The aggregate leaves one row per type, so the unpartitioned window is small.
-    """
+    """One row per ticket type with its average base price; numbered by name."""
     kind = F.col("ticket_type")
     stamp = F.now().cast(NTZ) if at is None else at
     types = raw.groupBy("ticket_type").agg(money_mean(cast_price("base_price")).cast("decimal(10,2)").alias("price"))
-    return types.select(
-        F.row_number().over(Window.orderBy(F.asc_nulls_last("ticket_type"))).cast("long").alias("ticket_id"),
+    return number_rows(types, {"ticket_type": F.asc_nulls_last}, "ticket_id").select(
+        "ticket_id",
         kind.alias("ticket_type_name"),
         null_of("string").alias("description"),
         "price",
