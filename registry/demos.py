@@ -10,12 +10,12 @@ from registry.base import AS_OF, AS_OF_EVENTS, avg_of, cte, hu, money, query, st
 from registry.inputs import feed, pos_with_customer
 from registry.marts import MEAN_RATING
 from registry.models import (
-    dim_customers, events_calendar, fct_sales, fct_visits, key_sql, stamp, stg_customers, stg_tickets,
+    dim_customers, events_calendar, fct_sales, fct_visits, stamp, stg_customers, stg_tickets,
 )
-from registry.tables import CHECKED, SALES, snapshot_sql, two_runs
+from registry.tables import CHECKED, snapshot_sql, two_runs
 from tidemark import history, incremental
 from tidemark.operators import projection
-from tidemark.operators.quality import Check, breaks_not_null, values_between
+from tidemark.operators.quality import Check, breaks_not_null
 from tidemark.plans import core, demos, staging
 from tidemark.publish import RunLog, write_audit_publish
 from tidemark.session import fresh_path

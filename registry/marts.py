@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from registry.base import AS_OF, AS_OF_EVENTS, avg_of, hu, money, query, steps
 from registry.inputs import feed, pos_with_customer
 from registry.models import (
-    AGE_LIMITS, DAY_PART, STAMP, daily, dim_customers, dim_rides, events_calendar, fct_sales, fct_visits, key_sql,
+    AGE_LIMITS, DAY_PART, STAMP, daily, dim_customers, dim_rides, fct_sales, fct_visits, key_sql,
     orders_calendar, ride_metrics, stamp, stg_customers, stg_tickets, ticket_sales, visits,
 )
-from tidemark.plans import analytics, core, demos, staging
-from tidemark.sources.readers import generated_rows  # noqa: F401
+from tidemark.plans import analytics, core, staging
 
 # --- staging -------------------------------------------------------------------------------
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry.base import AS_OF, AS_OF_EVENTS, avg_of, cte, hu, money, steps
+from registry.base import AS_OF, avg_of, cte, hu, money, steps
 from registry.inputs import feed, pos_with_customer
 from tidemark.operators.calendar import calendar, spine_over
 from tidemark.plans import core, intermediate, staging

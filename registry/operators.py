@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
+    DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
-from registry.base import AS_OF, avg_of, hu, money, query, table
-from registry.inputs import feed, pos_with_customer
-from registry.models import dim_customers, fct_sales, orders_calendar, stg_tickets
+from registry.base import avg_of, hu, money, query, table
+from registry.inputs import pos_with_customer
+from registry.models import dim_customers, orders_calendar, stg_tickets
 from tidemark.functions import (
     cast_price, contains_any, count_rows, days_between, halloween_bucket, half_up, mean, money_mean, money_sum, months_between_dates,
-    percent, ratio, revenue_category, share_true,
+    percent, ratio,
 )
 from tidemark.metrics import Catalog, Metric, SemanticModel
 from tidemark.operators import compare, joins, projection, ranks

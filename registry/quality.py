@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
 
-from registry.base import AS_OF, avg_of, hu, query, table
+from registry.base import AS_OF, hu, query, table
 from registry.inputs import feed
 from registry.models import dim_customers, fct_visits, stamp, stg_tickets
-from tidemark import incremental, publish
-from tidemark.functions import count_rows
+from tidemark import publish
 from tidemark.operators import compare, projection, quality as q
 from tidemark.operators.quality import Check
 from tidemark.session import fresh_path

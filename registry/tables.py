@@ -6,11 +6,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from registry.base import AS_OF, AS_OF_EVENTS, avg_of, hu, money, query, table
+from registry.base import AS_OF_EVENTS, avg_of, money, query, table
 from registry.inputs import feed
 from registry.models import calendar_sql, span_sql, stamp, stg_customers, stg_tickets, ticket_sales
 from tidemark import history, incremental, publish
-from tidemark.functions import count_rows, days_between, money_sum
+from tidemark.functions import count_rows, money_sum
 from tidemark.operators import calendar as cal
 from tidemark.operators.quality import enforce_contract
 from tidemark.plans import demos, staging
