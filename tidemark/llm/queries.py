@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, url_filter
+from tidemark.llm import bpe, toxicity, url_filter
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,18 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
     )
 
 
+def remainder(name: str = "doc_id"):
+    """crc32 of the id as text, modulo 5: the folds of the learning queries."""
+    return F.crc32(F.col(name).cast("string").cast("binary")) % 5
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    labels = table(spark, sf, "labels").where(remainder() != 0)
+    result = toxicity.scored(table(spark, sf, "documents"), labels)
+    return result.select("doc_id", (remainder() == 0).alias("held_out"), "score", "predicted", "evidence")
+
+
 @query("op4_bpe")
 def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return token_digests(table(spark, sf, "documents"), word_vocabulary())
