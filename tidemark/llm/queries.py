@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, toxicity, url_filter
+from tidemark.llm import bpe, substring_dedup, toxicity, url_filter
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,12 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return result.select("doc_id", (remainder() == 0).alias("held_out"), "score", "predicted", "evidence")
 
 
+@query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    result = substring_dedup.dedup(table(spark, sf, "documents"), window=50)
+    return result.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "spans")
+
+
 @query("op4_bpe")
 def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return token_digests(table(spark, sf, "documents"), word_vocabulary())

@@ -17,3 +17,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def parts(spark: SparkSession) -> int:
     """Partitions for explicit repartitioning: the session's shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def buckets(spark: SparkSession, size: int, each: int = 16 << 20) -> int:
+    """Number of partitions for `size` bytes of text: about 16 MB each, and no fewer than the session's."""
+    return max(parts(spark), -(-size // each))
