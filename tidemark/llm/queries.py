@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, substring_dedup, toxicity, url_filter
+from tidemark.llm import bpe, minhash_join, substring_dedup, toxicity, url_filter
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,11 @@ def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return token_digests(table(spark, sf, "documents"), word_vocabulary())
 
 
+@query("op7_minhash_join")
+def op7_minhash_join(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash_join.near_duplicates(table(spark, sf, "documents"), shingle=3, percent=85)
+
+
 # The rules of the query, (action, host, path).
 URL_RULES = [
     ("allow", "org", "/"),
