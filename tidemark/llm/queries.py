@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, minhash_join, substring_dedup, toxicity, url_filter
+from tidemark.llm import bpe, decontaminate, minhash_join, substring_dedup, toxicity, url_filter
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,11 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return result.select("doc_id", (remainder() == 0).alias("held_out"), "score", "predicted", "evidence")
 
 
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query("op3_substring_dedup")
 def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     result = substring_dedup.dedup(table(spark, sf, "documents"), window=50)
