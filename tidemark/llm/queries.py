@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, minhash_join, substring_dedup, toxicity, url_filter
+from tidemark.llm import bpe, decontaminate, hnsw, minhash_join, substring_dedup, toxicity, url_filter
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,12 @@ def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return token_digests(table(spark, sf, "documents"), word_vocabulary())
 
 
+@query("op6_hnsw")
+def op6_hnsw(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    return hnsw.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 @query("op7_minhash_join")
 def op7_minhash_join(spark: SparkSession, sf: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf, "documents"), shingle=3, percent=85)
