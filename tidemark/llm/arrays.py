@@ -88,7 +88,13 @@ class Words:
 
     def hashes(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """(hash of each word, index of the first word of each text and the end)."""
-        parts, counts = [], np.zeros(len(texts) + 1, np.int64)
+        hashes, bounds, _, _ = self.located(texts)
+        return hashes, bounds
+
+    def located(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """hashes() with the first byte of each word and the byte after it."""
+        none = np.empty(0, np.int64)
+        parts, begins, finishes, counts = [np.empty(0, np.uint64)], [none], [none], np.zeros(len(texts) + 1, np.int64)
         for first, last, starts, ends, base in self.spans(texts):
             if len(starts):
                 chunk = texts.data[base[0] : base[1]]
@@ -96,9 +102,11 @@ class Words:
                 run = np.zeros(len(chunk) + 1, np.uint64)
                 np.cumsum(self.table[chunk] * up[:-1], out=run[1:])
                 parts.append(mixed((run[ends] - run[starts]) * down[starts]))
-                at = np.searchsorted(texts.offsets[first + 1 : last + 1], starts + base[0], side="right") + first
+                begins.append(starts + base[0])
+                finishes.append(ends + base[0])
+                at = np.searchsorted(texts.offsets[first + 1 : last + 1], begins[-1], side="right") + first
                 counts[1:] += np.bincount(at, minlength=len(texts))
-        return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), np.cumsum(counts)
+        return np.concatenate(parts), np.cumsum(counts), np.concatenate(begins), np.concatenate(finishes)
 
     def spans(self, texts: Texts) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, tuple[int, int]]]:
         """Chunks of about a megabyte, cut at white space or between texts: (first text, text after the last, word
@@ -152,5 +160,48 @@ def within(bounds: np.ndarray, n: int) -> np.ndarray:
     return room >= n
 
 
+def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Whole rows with about `limit` bytes of text, so that memory does not follow the size of the batch."""
+    offsets = Texts(batch.column(column)).offsets
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+def planes(values: np.ndarray) -> bytes:
+    """The bytes of integers, lowest bytes first and together: the high ones compress to nothing."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def from_planes(blob: memoryview, kind: type, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8, n * size).reshape(size, n).T).view(kind).ravel()
+
+
+def steps(values: np.ndarray) -> np.ndarray:
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
+def pack(*columns: np.ndarray) -> bytes:
+    head = np.array([len(columns[0])], np.int64).tobytes()
+    return head + b"".join(planes(np.ascontiguousarray(c)) for c in columns)
+
+
+def unpack(blob: bytes, *kinds: type) -> list[np.ndarray]:
+    n, at, out = int(np.frombuffer(blob, np.int64, 1)[0]), 8, []
+    for kind in kinds:
+        size = n * np.dtype(kind).itemsize
+        out.append(from_planes(memoryview(blob)[at : at + size], kind, n))
+        at += size
+    return out
+
+
+def scaled(keys: np.ndarray, parts: int) -> np.ndarray:
+    """bucket << 32 | place in the bucket, in the order of the keys."""
+    return (keys >> np.uint64(32)) * np.uint64(parts)
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import Runs, Texts, Words, mixed, within
+from tidemark.llm.arrays import Runs, Texts, Words, mixed, pack, scaled, slices, steps, unpack, within
 from tidemark.llm.shipping import shipped
 from tidemark.llm.storage import buckets, stored
 
@@ -26,39 +26,7 @@ PACKED = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("kind", pa.i
 PACKED_SQL = "bucket int, batch long, kind tinyint, blob binary"
 TABLE, PROBES, HITS = 0, 1, 2
 EMPTY = np.empty(0, np.int64)
-
-
-def planes(values: np.ndarray) -> bytes:
-    """The bytes of integers, lowest bytes first and together: the high ones compress to nothing."""
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-
-
-def from_planes(blob: memoryview, kind: type, n: int) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(blob, np.uint8, n * size).reshape(size, n).T).view(kind).ravel()
-
-
-def steps(values: np.ndarray) -> np.ndarray:
-    return np.diff(values, prepend=values.dtype.type(0))
-
-
-def pack(*columns: np.ndarray) -> bytes:
-    head = np.array([len(columns[0])], np.int64).tobytes()
-    return head + b"".join(planes(np.ascontiguousarray(c)) for c in columns)
-
-
-def unpack(blob: bytes, *kinds: type) -> list[np.ndarray]:
-    n, at, out = int(np.frombuffer(blob, np.int64, 1)[0]), 8, []
-    for kind in kinds:
-        size = n * np.dtype(kind).itemsize
-        out.append(from_planes(memoryview(blob)[at : at + size], kind, n))
-        at += size
-    return out
-
-
-def scaled(keys: np.ndarray, parts: int) -> np.ndarray:
-    """bucket << 32 | place in the bucket, in the order of the keys."""
-    return (keys >> np.uint64(32)) * np.uint64(parts)
+SLICE = 8 << 20  # bytes of text whose windows are sorted together
 
 
 class Documents:
@@ -92,7 +60,7 @@ def probes(block: int, parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, runs = Words(lower=False), Runs()
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in slices(whole, 1, SLICE)):
             docs = Documents(batch, words)
             keys = runs.hashes(docs.words, block)
             places = np.flatnonzero(within(docs.bounds, block)[: len(keys)])
@@ -198,7 +166,7 @@ def windows(window: int, block: int, parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, runs, more = Words(lower=False), Runs(), Runs(seed=23)
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in slices(whole.filter(whole.column(2).is_valid()), 1, SLICE)):
             docs = Documents(batch, words)
             total = int(docs.bounds[-1])
             if total < window:
@@ -263,7 +231,7 @@ def removed(window: int):
     """Covers the words of the repeated windows and joins the rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in slices(whole, 1, SLICE)):
             out: tuple[list, list, list, list] = ([], [], [], [])
             for text, blobs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 words = (text or "").encode("utf-8", "surrogatepass").split()  # bytes split at the six white-space bytes
@@ -314,9 +282,9 @@ def dedup(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: s
         return located_rows.groupBy("id").agg(F.collect_list("places").alias("places"))
 
     hits = stored(answered(given.mapInArrow(probes(block, parts), PACKED_SQL), match_blocks), "block-hits")
-    around = given.join(hits, "id").select("id", "text", "places")
+    # Both joins are left joins of the same texts, so these are dealt by id once; rows without hits are passed over.
+    around = given.join(hits, "id", "left").select("id", "text", "places")
     repeated = answered(around.mapInArrow(windows(window, block, parts), PACKED_SQL), match_windows)
-    # The texts are dealt by id once: both joins read the same exchange.
     whole = given.join(repeated, "id", "left").select("id", "text", "places")
     schema = "id long, n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept string"
     return whole.mapInArrow(removed(window), schema).withColumnRenamed("id", id_col)
