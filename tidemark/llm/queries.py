@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, hnsw, minhash_join, substring_dedup, toxicity, url_filter
+from tidemark.llm import bpe, decontaminate, hnsw, minhash_join, ppm, substring_dedup, toxicity, url_filter
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,14 @@ def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return token_digests(table(spark, sf, "documents"), word_vocabulary())
 
 
+@query("op5_ppm")
+def op5_ppm(spark: SparkSession, sf: str) -> DataFrame:
+    result = ppm.scored(table(spark, sf, "documents"), remainder() != 1)
+    return result.select(
+        "doc_id", (remainder() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query("op6_hnsw")
 def op6_hnsw(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings")
