@@ -109,6 +109,19 @@ def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(ones), pa.array(zeros)], ["gram", "ones", "zeros"])
 
 
+def frequencies(features: int):
+    """(term, texts that hold it) of each batch of vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(features, np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=features)
+        terms = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(terms.astype(np.int32)), pa.array(total[terms])], ["term", "n"])
+
+    return run
+
+
 def chosen_grams(sample: DataFrame, features: int) -> np.ndarray:
     """The grams with the largest chi-square between the classes, among those in at least three rows."""
     totals = sample.agg(F.sum("label").alias("ones"), F.count(F.lit(1)).alias("n")).first()
@@ -287,8 +300,9 @@ def scored(
     counted = stored(vectors(given, chosen, ["id"]), "toxic-vectors")
     totals = counted.agg(F.count(F.lit(1))).first()[0]
     df = np.zeros(len(chosen))
-    for row in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
-        df[row["t"]] = row["count"]
+    seen = counted.select("terms").mapInArrow(frequencies(len(chosen)), "term int, n long")
+    for row in seen.groupBy("term").agg(F.sum("n").alias("n")).collect():
+        df[row["term"]] = row["n"]
     idf = np.log((totals + 1) / (df + 1)) + 1
     rows = vectors(sample, chosen, ["id", "label", "role"]).collect()
     index = Index.build([(r["id"], r["label"], r["terms"], r["counts"]) for r in rows if r["role"] == "example" and r["terms"]], idf)
