@@ -29,6 +29,8 @@ shipped(__name__)
 # Letters that all Unicode versions class alike: Latin, Greek, Cyrillic, general punctuation, kana, Han, Hangul and
 # the older pictographs. A text with any other letter is cut into pre-tokens by the library's own steps.
 SETTLED = "\u0000-\u0557\u1e00-\u1eff\u2000-\u2064\u20a0-\u20bf\u2100-\u214f\u2190-\u23f3\u2460-\u27bf\u3000-\u303f\u3041-\u3096\u30a0-\u30ff\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e\U0001f300-\U0001f64f\U0001f680-\U0001f6c5"
+# Fixed value: the pattern of byte-level tokenizers that state none.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHED = 400_000  # distinct pre-tokens kept per task; beyond it the memory starts anew
 
 
@@ -82,10 +84,11 @@ class Vocabulary:
             tokens[i] = token
         steps = [spec["normalizer"], *((spec["normalizer"] or {}).get("normalizers") or [])]
         kinds = {s["type"] for s in steps if s}
-        split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        cutting = [spec["pre_tokenizer"], *(spec["pre_tokenizer"].get("pretokenizers") or [])]
+        split = next((p["pattern"]["Regex"] for p in cutting if p["type"] == "Split"), BYTE_LEVEL_PATTERN)
         return Vocabulary(
             [ids[x] for x in letters], [ids[x + end] for x in letters], ranks, made, tokens, added,
-            split["pattern"]["Regex"], "Lowercase" in kinds, "NFC" in kinds, sides, text,
+            split, "Lowercase" in kinds, "NFC" in kinds, sides, text,
         )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, hnsw, minhash_join, ppm, substring_dedup, toxicity, url_filter
+from tidemark.llm import bpe, decontaminate, hnsw, licenses, minhash_join, ppm, substring_dedup, token_counts, toxicity, url_filter
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 from the operator's ids and decoded texts."""
     return bpe.decode(bpe.encode(docs, path), path).select(
@@ -124,3 +130,21 @@ FROM parts
 @query("op8_url_filter", URL_SQL)
 def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf, "pages"), URL_RULES)
+
+
+# Edits that a cleaning pass makes: (pattern, text in its place).
+REDACTIONS = [
+    (r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+", "<EMAIL>"),
+    (r"AKIA[0-9A-Z]{16}", "<KEY>"),
+    (r"([#$%&*])\1{2,}", " "),
+]
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf, "documents"), byte_vocabulary(), REDACTIONS)
+
+
+@query("op10_licenses")
+def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf, "documents"))
