@@ -44,13 +44,14 @@ def byte_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def token_digests(docs: DataFrame, path: str) -> DataFrame:
+def token_digests(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 from the operator's ids and decoded texts."""
     return bpe.decode(bpe.encode(docs, path), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["ids"] if keep_ids else []),
     )
 
 

@@ -9,10 +9,11 @@ smallest document with a window keeps it, and the union of the others is the max
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -252,16 +253,21 @@ def removed(window: int):
                 for column, value in zip(out, (count, gone, spans, b" ".join(words).decode("utf-8", "surrogatepass"))):
                     column.append(value)
             spans = pa.array(out[2], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), spans, pa.array(out[3], pa.string())],
-                ["id", "n_words", "n_removed", "spans", "kept"],
-            )
+            columns = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), spans, pa.array(out[3], pa.string())]
+            names = ["id", "n_words", "n_removed", "spans", "kept"]
+            if batch.num_columns > 3:
+                columns += [batch.column(3), pc.if_else(pc.greater(columns[1], 0), columns[3], batch.column(1).cast(pa.string()))]
+                names += ["rest", "text"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
     return run
 
 
-def dedup(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_words, n_removed, spans, kept) for every row of docs.
+def dedup(
+    docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (),
+) -> DataFrame:
+    """(id, n_words, n_removed, spans, kept) for every row of docs; with `carry`, those columns as the struct `rest`,
+    and `text`: the given text if nothing goes, else the kept words.
 
     Words are runs of anything but the six ASCII white-space characters. A word goes if a window of `window` words
     that covers it also starts in a document with a smaller id; windows are judged on the input. spans: removed
@@ -272,7 +278,8 @@ def dedup(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: s
     if window < 2:
         raise ValueError("a window needs at least two words")
     spark, block = docs.sparkSession, (window + 1) // 2
-    given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rest = [F.struct(*carry).alias("rest")] if carry else []
+    given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *rest)
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = buckets(spark, size)
 
@@ -281,10 +288,13 @@ def dedup(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: s
         located_rows = dealt.groupBy("batch").applyInArrow(located, "id long, places binary")
         return located_rows.groupBy("id").agg(F.collect_list("places").alias("places"))
 
-    hits = stored(answered(given.mapInArrow(probes(block, parts), PACKED_SQL), match_blocks), "block-hits")
+    hits = stored(answered(given.select("id", "text").mapInArrow(probes(block, parts), PACKED_SQL), match_blocks), "block-hits")
     # Both joins are left joins of the same texts, so these are dealt by id once; rows without hits are passed over.
-    around = given.join(hits, "id", "left").select("id", "text", "places")
+    names = ["id", "text", "places", *(["rest"] if carry else [])]
+    around = given.join(hits, "id", "left").select(*names)
     repeated = answered(around.mapInArrow(windows(window, block, parts), PACKED_SQL), match_windows)
-    whole = given.join(repeated, "id", "left").select("id", "text", "places")
+    whole = given.join(repeated, "id", "left").select(*names)
     schema = "id long, n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept string"
+    if carry:
+        schema += f", rest {given.schema['rest'].dataType.simpleString()}, text string"
     return whole.mapInArrow(removed(window), schema).withColumnRenamed("id", id_col)
