@@ -31,14 +31,14 @@ SLICE = 8 << 20  # bytes of text whose windows are sorted together
 
 
 class Documents:
-    """Word hashes of a batch, in the order of ids; rows with a null id are left out."""
+    """Word hashes of a batch of (id, text, mark, ...), in the order of ids; rows with a null id are left out."""
 
     def __init__(self, batch: pa.RecordBatch, words: Words):
         batch = batch.filter(batch.column(0).is_valid())
         ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.order = np.argsort(ids, kind="stable")
-        batch = batch.take(pa.array(self.order))
-        self.batch, self.ids = batch, ids[self.order]
+        order = np.argsort(ids, kind="stable")
+        batch = batch.take(pa.array(order))
+        self.batch, self.ids, self.marks = batch, ids[order], batch.column(2).to_numpy()
         self.words, self.bounds = words.hashes(Texts(batch.column(1)))
         # The same rows in another task attempt get the same name.
         seen = mixed(self.ids.astype(np.uint64)) ^ mixed(self.bounds[1:].astype(np.uint64) + np.uint64(1))
@@ -46,7 +46,7 @@ class Documents:
         self.name = int((names.sum(dtype=np.uint64) ^ self.words.sum(dtype=np.uint64)).astype(np.int64)) if len(names) else 0
 
     def table(self, parts: int) -> dict:
-        return {"bucket": self.name % parts, "batch": self.name, "kind": TABLE, "blob": pack(self.ids) + self.bounds.tobytes()}
+        return {"bucket": self.name % parts, "batch": self.name, "kind": TABLE, "blob": pack(self.ids, self.marks) + self.bounds.tobytes()}
 
     def owner(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds, places, side="right") - 1
@@ -139,21 +139,22 @@ def match_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def located(key: tuple, table: pa.Table) -> pa.Table:
-    """The hits of one batch as (id, places in the document)."""
+    """The hits of one batch as (id, mark, places in the document)."""
     given = table.to_pylist()
     head = next((r["blob"] for r in given if r["kind"] == TABLE), None)
     hits = [np.cumsum(unpack(r["blob"], np.uint32)[0], dtype=np.uint32) for r in given if r["kind"] == HITS]
-    ids, lists = [], []
+    ids, marks, lists = [], [], []
     if head is not None and hits:
-        names = unpack(head, np.int64)[0]
-        bounds = np.frombuffer(head, np.int64, offset=8 + 8 * len(names))
+        names, of_text = unpack(head, np.int64, np.int64)
+        bounds = np.frombuffer(head, np.int64, offset=8 + 16 * len(names))
         places = np.unique(np.concatenate(hits)).astype(np.int64)
         owners = np.searchsorted(bounds, places, side="right") - 1
         cuts = np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]]))
         for at, stop in zip(cuts, [*cuts[1:], len(places)]):
             ids.append(int(names[owners[at]]))
+            marks.append(int(of_text[owners[at]]))
             lists.append(pack(steps((places[at:stop] - bounds[owners[at]]).astype(np.uint32))))
-    return pa.table([pa.array(ids, pa.int64()), pa.array(lists, pa.binary())], ["id", "places"])
+    return pa.table([pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(lists, pa.binary())], ["id", "mark", "places"])
 
 
 def _places(blobs: list[bytes] | None) -> np.ndarray:
@@ -167,13 +168,13 @@ def windows(window: int, block: int, parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, runs, more = Words(lower=False), Runs(), Runs(seed=23)
-        for batch in (piece for whole in batches for piece in slices(whole.filter(whole.column(2).is_valid()), 1, SLICE)):
+        for batch in (piece for whole in batches for piece in slices(whole.filter(whole.column(3).is_valid()), 1, SLICE)):
             docs = Documents(batch, words)
             total = int(docs.bounds[-1])
             if total < window:
                 continue
             marks = np.zeros(total + 1, np.int64)  # a hit at p may lie in the windows from p - (window - block) to p
-            for i, blobs in enumerate(docs.batch.column(2).to_pylist()):
+            for i, blobs in enumerate(docs.batch.column(3).to_pylist()):
                 size = docs.bounds[i + 1] - docs.bounds[i]
                 hits = _places(blobs)
                 hits = hits[hits < size]
@@ -234,7 +235,7 @@ def removed(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for whole in batches for piece in slices(whole, 1, SLICE)):
             out: tuple[list, list, list, list] = ([], [], [], [])
-            for text, blobs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for text, blobs in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
                 words = (text or "").encode("utf-8", "surrogatepass").split()  # bytes split at the six white-space bytes
                 spans, gone = [], 0
                 starts = _places(blobs)
@@ -255,8 +256,8 @@ def removed(window: int):
             spans = pa.array(out[2], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
             columns = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), spans, pa.array(out[3], pa.string())]
             names = ["id", "n_words", "n_removed", "spans", "kept"]
-            if batch.num_columns > 3:
-                columns += [batch.column(3), pc.if_else(pc.greater(columns[1], 0), columns[3], batch.column(1).cast(pa.string()))]
+            if batch.num_columns > 4:
+                columns += [batch.column(4), pc.if_else(pc.greater(columns[1], 0), columns[3], batch.column(1).cast(pa.string()))]
                 names += ["rest", "text"]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
@@ -280,20 +281,22 @@ def dedup(
     spark, block = docs.sparkSession, (window + 1) // 2
     rest = [F.struct(*carry).alias("rest")] if carry else []
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *rest)
+    # Rows that share an id are told apart by their texts.
+    given = given.withColumn("mark", F.xxhash64("text"))
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = buckets(spark, size)
 
     def answered(packed: DataFrame, match) -> DataFrame:
         dealt = packed.mapInArrow(match, PACKED_SQL) if parts == 1 else packed.repartitionById(parts, F.col("bucket")).mapInArrow(match, PACKED_SQL)
-        located_rows = dealt.groupBy("batch").applyInArrow(located, "id long, places binary")
-        return located_rows.groupBy("id").agg(F.collect_list("places").alias("places"))
+        located_rows = dealt.groupBy("batch").applyInArrow(located, "id long, mark long, places binary")
+        return located_rows.groupBy("id", "mark").agg(F.collect_list("places").alias("places"))
 
-    hits = stored(answered(given.select("id", "text").mapInArrow(probes(block, parts), PACKED_SQL), match_blocks), "block-hits")
+    hits = stored(answered(given.select("id", "text", "mark").mapInArrow(probes(block, parts), PACKED_SQL), match_blocks), "block-hits")
     # Both joins are left joins of the same texts, so these are dealt by id once; rows without hits are passed over.
-    names = ["id", "text", "places", *(["rest"] if carry else [])]
-    around = given.join(hits, "id", "left").select(*names)
+    names = ["id", "text", "mark", "places", *(["rest"] if carry else [])]
+    around = given.join(hits, ["id", "mark"], "left").select(*names)
     repeated = answered(around.mapInArrow(windows(window, block, parts), PACKED_SQL), match_windows)
-    whole = given.join(repeated, "id", "left").select(*names)
+    whole = given.join(repeated, ["id", "mark"], "left").select(*names)
     schema = "id long, n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept string"
     if carry:
         schema += f", rest {given.schema['rest'].dataType.simpleString()}, text string"
