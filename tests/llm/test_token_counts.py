@@ -1,20 +1,21 @@
 import random
 
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, queries, token_counts
+from tidemark.llm import queries, token_counts
 
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(queries.byte_vocabulary())
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     tokenizer.encode_special_tokens = True
     return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
 
 
 def test_random_edits_equal_a_full_count(library):
-    counter = token_counts.Counter(bpe.Vocabulary.read(queries.byte_vocabulary()))
+    counter = token_counts.Counter(open(queries.byte_ranks(), "rb").read())
     draw = random.Random(2)
     letters = list("ab 's're'lld \n\t 12.#!éß漢  ") + ["'re", "'ll", "  ", "\n\n", "hello", " the"]
     text = lambda n: "".join(draw.choice(letters) for _ in range(n))
@@ -29,7 +30,7 @@ def test_random_edits_equal_a_full_count(library):
 
 
 def test_only_the_surroundings_are_encoded_again():
-    counter = token_counts.Counter(bpe.Vocabulary.read(queries.byte_vocabulary()))
+    counter = token_counts.Counter(open(queries.byte_ranks(), "rb").read())
     document = token_counts.Document("some words " * 20_000, counter)
     document.edit(100_000, 100_004, "other")
     assert document.renewed < 10
@@ -41,7 +42,7 @@ def test_counted(spark, documents, library):
     after = [r if r else "" for r in texts]
     after[2], after[3], after[5] = "mail me: <EMAIL> now", "<KEY><KEY>   x", "é" * 50_000 + " <EMAIL>"
     docs = documents([*texts, texts[2]], [*range(len(texts)), 2])
-    rows = token_counts.counted(docs, queries.byte_vocabulary(), queries.REDACTIONS).collect()
+    rows = token_counts.counted(docs, queries.byte_ranks(), queries.REDACTIONS).collect()
     assert len(rows) == 7
     for r in rows:
         assert (r.n_tokens, r.n_tokens_after) == (library(texts[r.doc_id] or ""), library(after[r.doc_id]))
@@ -55,10 +56,10 @@ def test_edits_of_a_column(spark, library):
         (2, "hello", None, "x"),
         (3, None, [(0, 0, "new text")], "x"),
     ]
-    got = token_counts.counted(spark.createDataFrame(rows, schema), queries.byte_vocabulary(), edits_col="edits")
+    got = token_counts.counted(spark.createDataFrame(rows, schema), queries.byte_ranks(), edits_col="edits")
     want = {0: "HI there", 1: "abrld!", 2: "hello", 3: "new text"}
     assert {r.doc_id: r.n_tokens_after for r in got.collect()} == {i: library(t) for i, t in want.items()}
 
 
 def test_empty_table(documents):
-    assert token_counts.counted(documents([]), queries.byte_vocabulary()).collect() == []
+    assert token_counts.counted(documents([]), queries.byte_ranks()).collect() == []

@@ -8,38 +8,43 @@ pre-tokens only, and updates the sums on the way to the root.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import base64
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import slices
-from tidemark.llm.bpe import CACHED, Vocabulary, merge_all
+from tidemark.llm.bpe import BYTE_LEVEL_PATTERN
 from tidemark.llm.shipping import shipped
 
 shipped(__name__)
 
+CACHED = 1_000_000  # distinct pre-tokens kept per task; beyond it the memory starts anew
 CONTEXT = 2  # letters behind a pre-token that can decide where it ends: the longest contraction has three
 
 
 class Counter:
     """Tokens of pre-tokens; those already met are looked up. Strings of special tokens count as plain text."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.known = vocabulary, {}
-        pattern = regex.compile(vocabulary.pattern)
+    def __init__(self, ranks: bytes):
+        pairs = map(bytes.split, ranks.splitlines())
+        table = {base64.b64decode(token): int(rank) for token, rank in pairs}
+        self.encode = tiktoken.Encoding("own", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+        self.known: dict[str, int] = {}
+        pattern = regex.compile(BYTE_LEVEL_PATTERN)
         self.cut, self.cut_from = pattern.findall, pattern.finditer
 
-    def learn(self, words: Iterator[str]) -> None:
+    def learn(self, words: Iterable[str]) -> None:
         if len(self.known) > CACHED:
             self.known = {}
-        fresh = [w for w in dict.fromkeys(words) if w not in self.known]
-        if fresh:
-            _, starts = merge_all([w.encode("utf-8", "surrogatepass") for w in fresh], self.vocabulary)
-            self.known.update(zip(fresh, np.diff(starts).tolist()))
+        for word in set(words).difference(self.known):
+            self.known[word] = len(self.encode(word))
 
     def count(self, words: Sequence[str]) -> list[int]:
         try:
@@ -95,9 +100,9 @@ class Tree:
 class Document:
     """A text with its tree, edited in place."""
 
-    def __init__(self, text: str, counter: Counter):
+    def __init__(self, text: str, counter: Counter, words: list[str] | None = None):
         self.text, self.counter, self.renewed = text, counter, 0
-        words = counter.cut(text)
+        words = counter.cut(text) if words is None else words
         self.tree = Tree([len(w) for w in words], counter.count(words))
 
     def edit(self, start: int, end: int, new: str) -> None:
@@ -164,13 +169,15 @@ def counted(
 ) -> DataFrame:
     """(id, n_tokens, n_pretokens, n_edits, n_tokens_after, n_renewed) for every row of docs.
 
-    path: a byte-level BPE tokenizer file; strings of its special tokens count as plain text. Edits are those of
+    path: the ranks of a byte-level BPE vocabulary, a line for each token in base64 and its rank; strings of special
+    tokens count as plain text. Edits are those of
     `edits_col`, an array of (start, end, text) in letters of the text, and one for each match of (pattern, text) in
     `patterns`. They all refer to the text as given; a null field counts as 0 or empty, places outside of the text as
     its ends, and an edit that starts inside another one starts where that ends. n_renewed: pre-tokens cut and
     encoded for the edits. Null texts are empty; repeated rows are counted alike; other columns are not returned.
     """
-    vocabulary = docs.sparkSession.sparkContext.broadcast(vars(Vocabulary.read(path)))
+    with open(path, "rb") as source:
+        ranks = docs.sparkSession.sparkContext.broadcast(source.read())
     edits = F.col(edits_col) if edits_col else F.lit(None)
     given = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
@@ -180,14 +187,15 @@ def counted(
     names = ["n_tokens", "n_pretokens", "n_edits", "n_tokens_after", "n_renewed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, find = Counter(Vocabulary(**vocabulary.value)), matching(patterns)
+        counter, find = Counter(ranks.value), matching(patterns)
         for batch in batches:
             for piece in slices(batch, 1):
                 rows = []
                 texts = [t or "" for t in piece.column(1).to_pylist()]
-                counter.learn(w for t in texts for w in counter.cut(t))
-                for text, edits in zip(texts, piece.column(2).to_pylist()):
-                    document = Document(text, counter)
+                cuts = [counter.cut(t) for t in texts]
+                counter.learn(chain.from_iterable(cuts))
+                for text, words, edits in zip(texts, cuts, piece.column(2).to_pylist()):
+                    document = Document(text, counter, words)
                     before, moved = document.tree.tokens, 0
                     leaves, todo = document.tree.leaves, ordered([*(edits or []), *find(text)], len(text))
                     for start, end, new in todo:
