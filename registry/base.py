@@ -75,13 +75,24 @@ def assembled(body: str) -> str:
 
 
 def hu(expr: str, places: int = 2) -> str:
-    """Half-up rounding of a double."""
-    return f"floor(CAST({expr} AS DOUBLE) * 1e{places} + 0.5) / 1e{places}"
+    """A double rounded half away from zero, by its first twelve decimals."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), {places}) AS DECIMAL(28,{places}))"
+
+
+def rd(top: str, bottom: str, places: int = 2) -> str:
+    """top / bottom rounded half away from zero: schoolbook division of 128-bit integers, NULL for a zero divisor."""
+    n, d = (f"CAST(CAST({side} AS DECIMAL(24,6)) * 1000000 AS HUGEINT)" for side in (top, bottom))
+    whole = f"(abs({n}) * {10**places}) // abs({d})"
+    rest = f"(abs({n}) * {10**places}) % abs({d})"
+    up = f"{whole} + CASE WHEN {rest} * 2 >= abs({d}) THEN 1 ELSE 0 END"
+    signed = f"CASE WHEN {d} = 0 THEN NULL WHEN ({n} < 0) = ({d} < 0) THEN {up} ELSE -({up}) END"
+    unit = f"CAST('{1 / 10**places:.{places}f}' AS DECIMAL({places + 1},{places}))"
+    return f"CAST(CAST({signed} AS DECIMAL(30,0)) * {unit} AS DECIMAL(28,{places}))"
 
 
 def avg_of(expr: str, places: int | None = 2) -> str:
     raw = f"CAST(sum({expr}) AS DOUBLE) / count({expr})"
-    return f"({raw})" if places is None else hu(raw, places)
+    return f"({raw})" if places is None else rd(f"sum({expr})", f"count({expr})", places)
 
 
 def money(expr: str) -> str:

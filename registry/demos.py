@@ -6,9 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from registry.base import AS_OF, AS_OF_EVENTS, avg_of, cte, hu, money, query, steps, table
+from registry.base import AS_OF, AS_OF_EVENTS, avg_of, cte, money, query, rd, steps, table
 from registry.inputs import feed, pos_with_customer
-from registry.marts import MEAN_RATING
+from registry.marts import MEAN_RATING, RAW_RATING
 from registry.models import (
     dim_customers, events_calendar, fct_sales, fct_visits, stamp, stg_customers, stg_tickets,
 )
@@ -83,7 +83,7 @@ def demo_07(spark, sf):
 
 query("demo_08_data_quality", f"""
 SELECT customer_id, first_name, last_name, email, phone, is_vip_member,
-  {hu("(4 + if(email LIKE '%@example.com', 3, 0) + 2 + if(phone IS NULL, 0, 1)) * 100.0 / 10", 1)} AS dq_score FROM stg_customers_q
+  {rd("(4 + if(email LIKE '%@example.com', 3, 0) + 2 + if(phone IS NULL, 0, 1)) * 100", "10", 1)} AS dq_score FROM stg_customers_q
 """)(lambda s, d: demos.scored_customers(stg_customers(s, d)))
 
 
@@ -104,7 +104,7 @@ FROM ev_tickets t LEFT JOIN raw_feedback f ON f.customer_id = t.customer_id AND
 """)(lambda s, d: demos.tickets_with_ratings(stg_tickets(s, d, "ev_tickets"), staging.feedback(feed(s, d, "raw_feedback"))))
 query("demo_12_date_spine", f"""
 SELECT date_day AS visit_date, coalesce(n, 0) AS total_visits, {money('coalesce(total, 0)')} AS total_revenue, avg_rating
-FROM events_cal LEFT JOIN (SELECT visit_date, count(*) AS n, sum(total_visit_spend) AS total, {MEAN_RATING} AS avg_rating
+FROM events_cal LEFT JOIN (SELECT visit_date, count(*) AS n, sum(total_visit_spend) AS total, {RAW_RATING} AS avg_rating
   FROM fct_visits_q GROUP BY ALL) ON visit_date = date_day
 """)(lambda s, d: demos.daily_visits(events_calendar(s, d).select(F.col("date_day").alias("visit_date")), fct_visits(s, d)))
 query("demo_13_query_tag", VISITS)(lambda s, d: summary(s, d))
@@ -152,7 +152,7 @@ WITH e AS (SELECT *, {steps('total_amount', [(100, 'high'), (40, 'mid')], 'low')
        WHEN category = 'Ticket Upgrade' THEN 'Ticket' ELSE 'Other' END AS revenue_category FROM ev_pos)
 SELECT revenue_category, spending_tier, payment_method, count(*) AS transaction_count, {money('sum(total_amount)')} AS total_revenue,
   {avg_of('total_amount')} AS avg_transaction_value, count(*) FILTER (total_amount >= 100) AS high_value_count,
-  {hu('count(*) FILTER (total_amount >= 100) * 100.0 / count(*)', 1)} AS high_value_pct FROM e GROUP BY ALL
+  {rd('count(*) FILTER (total_amount >= 100) * 100', 'count(*)', 1)} AS high_value_pct FROM e GROUP BY ALL
 """)(lambda s, d: demos.transaction_summary(demos.enriched_transactions(staging.pos_transactions(feed(s, d, "ev_pos")))))
 query("demo_27_sales_by_outlet", f"""
 SELECT visit_date, category, location, count(*) AS transaction_count, {money('sum(total_amount)')} AS total_revenue,
@@ -173,8 +173,8 @@ query("demo_30_visit_windows", f"""
 SELECT ticket_id, customer_id, ticket_type, visit_date, total_visit_spend, avg_rating,
   {money('sum(total_visit_spend) OVER (PARTITION BY customer_id ORDER BY visit_date, ticket_id ROWS UNBOUNDED PRECEDING)')} AS running_total_spend,
   dense_rank() OVER (PARTITION BY ticket_type ORDER BY total_visit_spend DESC) AS spend_rank_in_ticket_type,
-  {hu('CAST(sum(total_visit_spend) OVER w AS DOUBLE) / count(*) OVER w')} AS avg_spend_for_ticket_type,
-  {hu('CAST(total_visit_spend AS DOUBLE) - CAST(sum(total_visit_spend) OVER w AS DOUBLE) / count(*) OVER w')} AS spend_vs_ticket_avg
+  {rd('sum(total_visit_spend) OVER w', 'count(*) OVER w')} AS avg_spend_for_ticket_type,
+  {rd('total_visit_spend * (count(*) OVER w) - (sum(total_visit_spend) OVER w)', 'count(*) OVER w')} AS spend_vs_ticket_avg
 FROM fct_visits_q WINDOW w AS (PARTITION BY ticket_type)
 """)(lambda s, d: demos.visit_windows(fct_visits(s, d)))
 query("demo_31_visits_with_customers", """
@@ -192,7 +192,7 @@ SELECT customer_id, loyalty_tier, customer_value_segment, is_vip_member, registr
   min(visit_date) AS first_visit_date, max(visit_date) AS last_visit_date, max(visit_date) - min(visit_date) AS active_days,
   {money('sum(total_visit_spend)')} AS lifetime_spend, {avg_of('total_visit_spend')} AS avg_spend_per_visit,
   {MEAN_RATING} AS avg_satisfaction_rating,
-  {hu("CAST(sum(total_visit_spend) AS DOUBLE) / nullif(datediff('month', min(visit_date), max(visit_date)), 0)")} AS avg_monthly_spend,
+  {rd("sum(total_visit_spend)", "datediff('month', min(visit_date), max(visit_date))")} AS avg_monthly_spend,
   {steps('sum(total_visit_spend)', [(500, 'Platinum'), (200, 'Gold'), (50, 'Silver')], 'Bronze')} AS ltv_segment
 FROM fct_visits_q JOIN dim_customers_q USING (customer_id) GROUP BY ALL
 """)

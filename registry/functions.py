@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.base import AS_OF, AS_OF_EVENTS, hu, query, steps, table
+from registry.base import AS_OF, AS_OF_EVENTS, hu, query, rd, steps, table
 from registry.inputs import feed
 from registry.models import AGE_LIMITS, DAY_PART, SEASON, key_sql
 from tidemark import functions as f
@@ -282,6 +282,6 @@ query("F65_annual_salary", "SELECT employee_id, CAST(hourly_rate * 2080 AS DECIM
     lambda s, d: feed(s, d, "raw_employees").select("employee_id", f.estimated_annual_salary(c("hourly_rate")).alias("salary"))
 )
 projection("F66_value_index", "part", lambda: {"value": f.value_index(stars(), F.lit(1) * (c("p_size") % 10))},
-           value=hu(f"CAST({STARS} AS DOUBLE) / nullif(p_size % 10, 0) * 100", 4))
+           value=rd(f"{STARS} * 100", "nullif(p_size % 10, 0)", 4))
 projection("F67_is_deep_discount", "orders", lambda: {"deep": f.is_deep_discount(F.nullif(c("o_orderkey") % 40, F.lit(3)))},
            deep="o_orderkey % 40 >= 20")

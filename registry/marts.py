@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.base import AS_OF, AS_OF_EVENTS, avg_of, hu, money, query, steps
+from registry.base import AS_OF, AS_OF_EVENTS, avg_of, hu, money, query, rd, steps
 from registry.inputs import feed, pos_with_customer
 from registry.models import (
     AGE_LIMITS, DAY_PART, STAMP, daily, dim_customers, dim_rides, fct_sales, fct_visits, key_sql,
@@ -88,7 +88,7 @@ SELECT date_day, day_of_week, month_name, quarter, year, is_weekend,
   {money('coalesce(food_revenue, 0)')} AS food_revenue, {money('coalesce(merch_revenue, 0)')} AS merch_revenue,
   {money('coalesce(total_revenue, 0)')} AS total_revenue, coalesce(unique_visitors, 0) AS unique_visitors,
   coalesce(tickets_sold, 0) AS tickets_sold,
-  coalesce({hu('total_revenue / CAST(nullif(unique_visitors, 0) AS DOUBLE)')}, 0) AS revenue_per_visitor
+  coalesce({rd('total_revenue', 'unique_visitors')}, 0) AS revenue_per_visitor
 FROM orders_cal LEFT JOIN daily_q ON visit_date = date_day
 WHERE date_day BETWEEN DATE '1995-01-01' AND DATE '{AS_OF}'
 """)
@@ -99,7 +99,7 @@ def mart_daily_revenue(spark, sf):
 @query("agg_customer_lifetime_value", f"""
 WITH per_customer AS (
   SELECT customer_id, count(*) AS n, sum(ticket_price) AS t, sum(in_park_spend) AS p, sum(total_visit_spend) AS s,
-    CAST({hu('CAST(sum(total_visit_spend) AS DOUBLE) / count(*)', 6)} AS DECIMAL(18,6)) AS per_visit
+    CAST({rd('sum(total_visit_spend)', 'count(*)', 6)} AS DECIMAL(18,6)) AS per_visit
   FROM fct_visits_q GROUP BY ALL),
 joined AS (
   SELECT loyalty_tier, customer_value_segment, customer_id, coalesce(n, 0) AS n, coalesce(t, 0) AS t,
@@ -143,7 +143,7 @@ def agg_halloween_spending(spark, sf):
     return analytics.halloween_spending(ticket_sales(spark, sf), orders_calendar(spark, sf), "1996-01-01")
 
 
-REC_RATE = hu("count(*) FILTER (would_recommend) * 100.0 / count(*)")
+REC_RATE = rd("count(*) FILTER (would_recommend) * 100", "count(*)")
 query("agg_happiest_houses", f"""
 SELECT haunted_house_name, count(*) AS total_visits, {avg_of('satisfaction_rating')} AS avg_satisfaction,
   {REC_RATE} AS recommendation_rate,
@@ -163,7 +163,7 @@ WITH g AS (
       WHEN includes_fast_pass THEN 'Fast Pass Only' ELSE 'Standard' END AS ticket_tier,
     {avg_of('satisfaction_rating')} AS avg_satisfaction, {avg_of('ticket_price')} AS avg_price, count(*) AS visit_count
   FROM house_feedback GROUP BY ALL)
-SELECT *, {hu('avg_satisfaction / avg_price * 100.0', 4)} AS value_index,
+SELECT *, {rd('avg_satisfaction * 100', 'avg_price', 4)} AS value_index,
   rank() OVER (ORDER BY avg_satisfaction / avg_price DESC NULLS FIRST) AS value_rank FROM g
 """)(lambda s, d: analytics.ticket_value(feed(s, d, "house_feedback")))
 query("agg_vip_satisfaction", f"""
@@ -171,7 +171,7 @@ WITH g AS (SELECT haunted_house_name, includes_vip_benefits AS is_vip, {avg_of('
            FROM house_feedback GROUP BY ALL),
 b AS (SELECT haunted_house_name, max(a) FILTER (is_vip) AS v, max(a) FILTER (NOT is_vip) AS n FROM g GROUP BY ALL)
 SELECT haunted_house_name, is_vip, a AS avg_satisfaction,
-  CAST(CAST(v AS DECIMAL(6,2)) - CAST(n AS DECIMAL(6,2)) AS DOUBLE) AS satisfaction_gap
+  CAST(v - n AS DECIMAL(28,2)) AS satisfaction_gap
 FROM g JOIN b USING (haunted_house_name)
 """)(lambda s, d: analytics.vip_satisfaction(feed(s, d, "house_feedback")))
 query("agg_visitor_recommendations", f"""
@@ -180,7 +180,8 @@ SELECT *, {steps('recommendation_rate', [(70, 'Promoter'), (50, 'Passive')], 'De
 FROM (SELECT visitor_type, {REC_RATE} AS recommendation_rate, count(*) AS total_visits FROM house_feedback GROUP BY ALL)
 """)(lambda s, d: analytics.visitor_recommendations(feed(s, d, "house_feedback")))
 
-MEAN_RATING = avg_of(f"CAST({hu('avg_rating', 6)} AS DECIMAL(12,6))")
+MEAN_RATING = avg_of(hu("avg_rating", 6))
+RAW_RATING = avg_of("CAST(avg_rating AS DECIMAL(22,12))", None)
 
 
 @query("customer_revenue_retention_summary", f"""
@@ -188,7 +189,7 @@ WITH r AS (
   SELECT customer_id, count(*) AS total_visits, min(visit_date) AS first_visit_date,
     max(visit_date) AS most_recent_visit_date, {money('sum(ticket_price)')} AS lifetime_ticket_revenue,
     {money('sum(in_park_spend)')} AS lifetime_in_park_spend, {money('sum(total_visit_spend)')} AS lifetime_total_spend,
-    {avg_of('total_visit_spend')} AS avg_spend_per_visit, {MEAN_RATING} AS avg_visit_rating,
+    {avg_of('total_visit_spend', None)} AS avg_spend_per_visit, {RAW_RATING} AS avg_visit_rating,
     CAST(sum(feedback_count) AS BIGINT) AS feedback_submissions,
     count(*) FILTER (is_discounted) AS discounted_visit_count, count(*) FILTER (is_same_day_visit) AS same_day_visit_count,
     count(*) FILTER (is_advance_purchase) AS advance_purchase_visit_count,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry.base import AS_OF, avg_of, cte, hu, money, steps
+from registry.base import AS_OF, avg_of, cte, hu, money, rd, steps
 from registry.inputs import feed, pos_with_customer
 from tidemark.operators.calendar import calendar, spine_over
 from tidemark.plans import core, intermediate, staging
@@ -205,7 +205,7 @@ cte("ride_metrics_q", f"""
 SELECT ride_id, ride_name, ride_type, min_height_cm, thrill_level, zone, is_haunted, status, opened_date,
   capacity_per_hour, avg_wait_minutes, coalesce(n, 0) AS total_reviews, coalesce(avg_rating, 0) AS avg_rating,
   coalesce(pos, 0) AS positive_reviews, coalesce(mid, 0) AS neutral_reviews, coalesce(neg, 0) AS negative_reviews,
-  coalesce({hu('pos * 100.0 / n')}, 0) AS positive_review_pct, n IS NOT NULL AS has_reviews,
+  coalesce({rd('pos * 100', 'n')}, 0) AS positive_review_pct, n IS NOT NULL AS has_reviews,
   CASE WHEN n IS NULL THEN 'No Reviews' WHEN n = 1 THEN 'Single Review' WHEN n < 5 THEN 'Low Volume'
        ELSE 'Established' END AS review_count_band
 FROM stg_rides_q LEFT JOIN (

@@ -7,12 +7,12 @@ from pyspark.sql.types import (
     DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
-from registry.base import avg_of, hu, money, query, table
+from registry.base import avg_of, money, query, rd, table
 from registry.inputs import pos_with_customer
 from registry.models import dim_customers, orders_calendar, stg_tickets
 from tidemark.functions import (
-    cast_price, contains_any, count_rows, days_between, halloween_bucket, half_up, mean, money_mean, money_sum, months_between_dates,
-    percent, ratio,
+    cast_price, contains_any, count_rows, days_between, halloween_bucket, mean, money_mean, money_sum, months_between_dates,
+    percent, quotient, ratio,
 )
 from tidemark.metrics import Catalog, Metric, SemanticModel
 from tidemark.operators import compare, joins, projection, ranks
@@ -252,14 +252,14 @@ query("P13_boolean_column", "SELECT o_orderkey, o_totalprice >= 100000 AS is_lar
 
 
 @query("P14_lateral_alias", f"""
-SELECT event_type, count(*) AS n, count(*) FILTER (value > 50) AS high, {hu('count(*) FILTER (value > 50) * 1.0 / count(*)', 4)} AS high_rate
+SELECT event_type, count(*) AS n, count(*) FILTER (value > 50) AS high, {rd('count(*) FILTER (value > 50)', 'count(*)', 4)} AS high_rate
 FROM events GROUP BY ALL
 """)
 def lateral_alias(spark, sf):
     table(spark, sf, "events").createOrReplaceTempView("lateral_alias_events")
     return spark.sql("""
         SELECT event_type, count(*) AS n, count_if(value > 50) AS high,
-          CAST(floor(CAST(high AS DOUBLE) / n * 10000D + 0.5D) AS DOUBLE) / 10000D AS high_rate
+          CAST(((high * 20000 + n) DIV (2 * n)) * 0.0001 AS DECIMAL(28,4)) AS high_rate
         FROM lateral_alias_events GROUP BY event_type""")
 
 
@@ -500,23 +500,26 @@ FROM events GROUP BY ALL
     F.max(F.when(F.col("event_type") == "view", F.col("value"))).alias("top_view"),
 ))
 query("A06_guarded_ratio", f"""
-SELECT user_id, {hu("count(*) FILTER (event_type = 'purchase') * 100.0 / nullif(count(*) FILTER (event_type = 'click'), 0)")} AS per_click
+SELECT user_id, {rd("count(*) FILTER (event_type = 'purchase') * 100", "count(*) FILTER (event_type = 'click')")} AS per_click
 FROM events GROUP BY ALL
 """)(lambda s, d: table(s, d, "events").groupBy("user_id").agg(
     percent(F.count_if(F.col("event_type") == "purchase"), F.count_if(F.col("event_type") == "click")).alias("per_click")
 ))
 query("A07_ratio_or_zero", f"""
-SELECT o_custkey, coalesce({hu(f"CAST(sum({PRICE}) FILTER (o_orderstatus = 'F') AS DOUBLE) / nullif(count(*) FILTER (o_orderstatus = 'F'), 0)")}, 0) AS per_done
+SELECT o_custkey, coalesce({rd(f"sum({PRICE}) FILTER (o_orderstatus = 'F')", "count(*) FILTER (o_orderstatus = 'F')")}, 0) AS per_done
 FROM orders GROUP BY ALL
 """)(lambda s, d: orders(s, d).groupBy("o_custkey").agg(
-    half_up(ratio(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("price"))), F.count_if(F.col("o_orderstatus") == "F"), 0.0)).alias("per_done")
+    F.coalesce(
+        quotient(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("price"))), F.count_if(F.col("o_orderstatus") == "F")),
+        F.lit(0).cast("decimal(28,2)"),
+    ).alias("per_done")
 ))
 
 
 @query("A08_two_level", f"""
 WITH c AS (SELECT o_custkey, count(*) AS n, sum({PRICE}) AS total FROM orders GROUP BY ALL)
 SELECT c_mktsegment, count(c_custkey) AS customers, {avg_of('coalesce(n, 0)')} AS avg_orders,
-  {hu('CAST(sum(coalesce(total, 0)) AS DOUBLE) / count(c_custkey)')} AS avg_total
+  {rd('sum(coalesce(total, 0))', 'count(c_custkey)')} AS avg_total
 FROM customer LEFT JOIN c ON o_custkey = c_custkey GROUP BY ALL
 """)
 def two_level(spark, sf):
@@ -564,11 +567,11 @@ UNION ALL SELECT 'All Events', user_id % 5, {avg_of('CAST(value AS DECIMAL(18,2)
 ))
 query("A14_span_and_rate", f"""
 SELECT o_custkey, max(CAST(o_orderdate AS DATE)) - min(CAST(o_orderdate AS DATE)) AS active_days,
-  {hu(f"CAST(sum({PRICE}) AS DOUBLE) / nullif(datediff('month', min(o_orderdate), max(o_orderdate)), 0)")} AS per_month
+  {rd(f"sum({PRICE})", "datediff('month', min(o_orderdate), max(o_orderdate))")} AS per_month
 FROM orders GROUP BY ALL
 """)(lambda s, d: orders(s, d).groupBy("o_custkey").agg(
     days_between(F.min("day"), F.max("day")).cast("long").alias("active_days"),
-    half_up(ratio(F.sum("price"), months_between_dates(F.min("day"), F.max("day")))).alias("per_month"),
+    quotient(F.sum("price"), months_between_dates(F.min("day"), F.max("day"))).alias("per_month"),
 ))
 query("A15_derived_dimension", f"SELECT o_orderpriority, CAST({avg_of(PRICE)} AS DECIMAL(10,2)) AS price FROM orders GROUP BY ALL")(
     lambda s, d: orders(s, d).groupBy("o_orderpriority").agg(money_mean("price").cast("decimal(10,2)").alias("price"))
@@ -625,11 +628,12 @@ FROM orders
     {"day": F.asc, "o_orderkey": F.asc}, "price", "running",
 ).select("o_orderkey", F.col("running").cast("decimal(28,2)").alias("running")))
 query("W07_group_average", f"""
-SELECT o_orderkey, {hu(f'CAST(sum({PRICE}) OVER w AS DOUBLE) / count(*) OVER w')} AS group_avg,
-  {hu(f'CAST({PRICE} AS DOUBLE) - CAST(sum({PRICE}) OVER w AS DOUBLE) / count(*) OVER w')} AS delta
+SELECT o_orderkey, {rd(f'sum({PRICE}) OVER w', 'count(*) OVER w')} AS group_avg,
+  {rd(f'{PRICE} * (count(*) OVER w) - (sum({PRICE}) OVER w)', 'count(*) OVER w')} AS delta
 FROM orders WINDOW w AS (PARTITION BY o_orderpriority)
-""")(lambda s, d: ranks.with_group_mean(orders(s, d), ["o_orderpriority"], "price", "m").select(
-    "o_orderkey", half_up(F.col("m")).alias("group_avg"), half_up(F.col("price").cast("double") - F.col("m")).alias("delta")
+""")(lambda s, d: ranks.with_group_sum(orders(s, d), ["o_orderpriority"], "price", "total", "n").select(
+    "o_orderkey", quotient(F.col("total"), F.col("n")).alias("group_avg"),
+    quotient(F.col("price") * F.col("n") - F.col("total"), F.col("n")).alias("delta"),
 ))
 
 
@@ -643,7 +647,7 @@ def global_sequence(spark, sf):
 
 
 @query("W09_share_of_total", f"""
-SELECT o_orderstatus, count(*) AS n, {hu('count(*) * 100.0 / sum(count(*)) OVER ()')} AS share FROM orders GROUP BY ALL
+SELECT o_orderstatus, count(*) AS n, {rd('count(*) * 100', 'sum(count(*)) OVER ()')} AS share FROM orders GROUP BY ALL
 """)
 def share_of_total(spark, sf):
     counts = table(spark, sf, "orders").groupBy("o_orderstatus").agg(count_rows().alias("n"))
@@ -706,7 +710,7 @@ SELECT in_a, in_b, count(*) AS count FROM (
   SELECT true AS in_a, true AS in_b, t.* FROM (FROM a INTERSECT FROM b) t
   UNION ALL SELECT true, false, t.* FROM (FROM a EXCEPT FROM b) t
   UNION ALL SELECT false, true, t.* FROM (FROM b EXCEPT FROM a) t) GROUP BY ALL)
-SELECT *, {hu('count * 100.0 / (SELECT sum(count) FROM r)')} AS percent_of_total FROM r
+SELECT *, {rd('count * 100', '(SELECT sum(count) FROM r)')} AS percent_of_total FROM r
 """)(lambda s, d: compare.compare_relations(table(s, d, "orders"), changed_orders(s, d), exclude=["O_TOTALPRICE"]))
 query("U03_differing_rows", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 3 THEN 'only_a' ELSE 'changed' END AS status FROM orders WHERE o_orderkey % 10 IN (3, 4)

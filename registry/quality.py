@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
 
-from registry.base import AS_OF, hu, query, table
+from registry.base import AS_OF, query, rd, table
 from registry.inputs import feed
 from registry.models import dim_customers, fct_visits, stamp, stg_tickets
 from tidemark import publish
@@ -121,7 +121,7 @@ def store_failures(spark, sf):
 
 
 query("Q17_quality_score", f"""
-SELECT customer_id, {hu('''(4 + if(email LIKE '%@example.com', 3, 0) + 2 + if(phone IS NULL, 0, 1)) * 100.0 / 12''', 1)} AS score
+SELECT customer_id, {rd('''(4 + if(email LIKE '%@example.com', 3, 0) + 2 + if(phone IS NULL, 0, 1)) * 100''', "12", 1)} AS score
 FROM stg_customers_q
 """)(lambda s, d: _scored(s, d))
 
@@ -160,7 +160,7 @@ AMOUNT = "TRY_CAST(payment_amount_raw AS DECIMAL(12,2))"
 COUNTS = f"""count(*) AS total_events, count(*) FILTER ({AMOUNT} IS NULL) AS malformed_amount_events,
   count(*) FILTER ({AMOUNT} < 0) AS negative_amount_events"""
 QUALITY = f"""
-SELECT *, {hu('events_requiring_review * 1.0 / total_events', 4)} AS review_rate, 'safe' AS policy_mode
+SELECT *, {rd('events_requiring_review', 'total_events', 4)} AS review_rate, 'safe' AS policy_mode
 FROM (SELECT {COUNTS}, count(*) FILTER (coalesce({AMOUNT}, -1) < 0) AS events_requiring_review FROM payment_feed)
 """
 query("Q20_feed_quality", QUALITY)(lambda s, d: q.feed_quality(feed(s, d, "payment_feed"), "payment_amount_raw"))

@@ -483,7 +483,7 @@ def freshness(spark, sf):
 SELECT *, {money('sum(total_revenue) OVER (PARTITION BY ticket_type ORDER BY week_start ROWS UNBOUNDED PRECEDING)')} AS running_revenue_by_type
 FROM (SELECT CAST(date_trunc('week', visit_date) AS DATE) AS week_start, 'Mon' AS week_start_day, ticket_type,
   count(*) AS visit_count, {money('sum(final_price)')} AS total_revenue, {avg_of('final_price')} AS avg_spend_per_visit,
-  CAST(NULL AS DOUBLE) AS avg_rating FROM raw_tickets GROUP BY ALL)
+  CAST(NULL AS DECIMAL(28,2)) AS avg_rating FROM raw_tickets GROUP BY ALL)
 """)
 def weekly_running_revenue(spark, sf):
     tickets = stg_tickets(spark, sf).withColumnRenamed("final_price", "total_visit_spend")

@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -74,7 +75,7 @@ def test_whole_string_match(spark):
 
 
 def test_half_up_and_ratio(spark):
-    assert one(spark, f.half_up(F.lit(2.345))) == 2.35
+    assert one(spark, f.half_up(F.lit(2.345))) == Decimal("2.35")
     assert one(spark, f.ratio(F.lit(1), F.lit(0))) is None
     assert one(spark, f.ratio(F.lit(1), F.lit(0), 0.0)) == 0.0
 
@@ -115,3 +116,33 @@ def test_csv_with_a_bad_value_fails(spark, path):
 def test_unknown_source(spark):
     with pytest.raises(KeyError):
         readers.Sources(spark, {}).table("nope")
+
+
+@pytest.mark.parametrize(
+    ("amounts", "wanted"),
+    [(["1.00", "1.01"], "1.01"), (["-0.13", "-0.12"], "-0.13"), (["0.00", "0.01", "0.01"], "0.01"), (["99999999999999.99", "99999999999999.98"], "99999999999999.99")],
+)
+def test_averages_round_half_away_from_zero(spark, amounts, wanted):
+    df = spark.createDataFrame([(Decimal(a),) for a in amounts], "a decimal(18,2)")
+    row = df.agg(f.money_mean("a").alias("m"), f.mean("a").alias("n")).first()
+    assert (row["m"], row["n"]) == (Decimal(wanted), Decimal(wanted))
+
+
+def test_quotients_are_exact(spark):
+    df = spark.createDataFrame([(Decimal("20000000000000.000001"), 2), (Decimal("-1.000000"), 8), (Decimal("801.000000"), 200), (Decimal("1.000000"), 0)], "t decimal(26,6), b int")
+    got = [r[0] for r in df.select(f.quotient(F.col("t"), F.col("b"), 6)).collect()]
+    assert got == [Decimal("10000000000000.000001"), Decimal("-0.125000"), Decimal("4.005000"), None]
+    assert [r[0] for r in df.select(f.quotient(F.col("t"), F.col("b"))).collect()][1:3] == [Decimal("-0.13"), Decimal("4.01")]
+    ties = spark.createDataFrame([(-0.125,), (4.005,), (2.675,), (1e13 + 0.5,)], "d double")
+    assert [r[0] for r in ties.select(f.half_up(F.col("d"))).collect()] == [Decimal("-0.13"), Decimal("4.01"), Decimal("2.68"), Decimal("10000000000000.50")]
+
+
+def test_sums_keep_four_decimals(spark):
+    df = spark.createDataFrame([(Decimal("0.0050"),), (Decimal("0.0040"),)], "a decimal(12,4)")
+    assert df.agg(f.money_sum("a")).first()[0] == Decimal("0.01")
+
+
+def test_too_large_an_amount_raises(spark):
+    df = spark.createDataFrame([(Decimal(10) ** 25,)], "a decimal(38,0)")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        df.select(f.quotient(F.col("a"), F.lit(1))).collect()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import as_col, half_up, ratio
+from tidemark.functions.numbers import as_col, quotient
 from tidemark.functions.text import contains_any
 
 __all__ = [
@@ -243,4 +243,4 @@ def estimated_annual_salary(hourly: Column) -> Column:
 
 def value_index(satisfaction: Column, price: Column) -> Column:
     """Satisfaction per unit of price, times 100; NULL for a zero or missing price."""
-    return half_up(ratio(satisfaction, price) * 100.0, 4)
+    return quotient(satisfaction * F.lit(100), price, 4)

@@ -8,7 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-__all__ = ["as_col", "cast_price", "count_rows", "half_up", "mean", "money_mean", "money_sum", "percent", "ratio", "round_robin", "share_true"]
+__all__ = [
+    "as_col", "cast_price", "count_rows", "half_up", "mean", "mean_of_means", "money_mean", "money_sum", "percent",
+    "quotient", "ratio", "round_robin", "share_true",
+]
 
 
 def as_col(c: Column | str) -> Column:
@@ -24,19 +27,40 @@ def count_rows() -> Column:
 
 
 def half_up(c: Column, places: int = 2) -> Column:
-    """Round a double half up. The floor form gives the same bits in every IEEE engine."""
-    shift = float(10**places)
-    return F.floor(c.cast("double") * F.lit(shift) + F.lit(0.5)).cast("double") / F.lit(shift)
+    """Round half away from zero, as a decimal.
 
+    A double goes by its first twelve decimals, so a quotient that lies on a tie but not exactly in binary is
+    rounded like the tie. For quotients of sums use `quotient`, which does not round twice.
+    """
+    return F.round(c.cast(DecimalType(38, 12)), places).cast(DecimalType(28, places))
 
-def money_sum(c: Column | str) -> Column:
-    """Exact sum of amounts with two decimals below 10^12 each.
 
-    Cents are added as 64-bit integers, about three times as fast as a decimal buffer. An
-    overflow raises, beyond 9*10^16 units per group.
+def quotient(top: Column, bottom: Column, places: int = 2) -> Column:
+    """top / bottom rounded half away from zero, in whole numbers; NULL where the bottom is zero or NULL.
+
+    Both sides may have six decimals and twenty digits before them; more raise in ANSI mode, which `tune` sets.
     """
-    cents = (as_col(c).cast(DecimalType(14, 2)) * F.lit(100)).cast("long")
-    return (F.sum(cents).cast(DecimalType(25, 0)) * F.lit(Decimal("0.01"))).cast(DecimalType(28, 2))
+    def units(c: Column) -> Column:
+        return (c.cast(DecimalType(26, 6)) * F.lit(Decimal(10**6))).cast(DecimalType(32, 0))
+
+    n, d = units(top), units(bottom)
+    double = F.nullif(F.abs(d) * F.lit(Decimal(2)), F.lit(Decimal(0)))
+    raised = F.abs(n) * F.lit(Decimal(2 * 10**places)) + F.abs(d)
+    whole = ((raised - raised % double) / double).cast(DecimalType(36, 0))
+    signed = F.when((n < 0) == (d < 0), whole).otherwise(-whole)
+    return (signed * F.lit(Decimal(1).scaleb(-places))).cast(DecimalType(28, places))
+
+
+def _amount(c: Column | str) -> Column:
+    """Exact sum of amounts with four decimals below 10^14 each: ten-thousandths added as 64-bit integers, about three
+    times as fast as a decimal buffer. Beyond 9*10^14 for a group it raises in ANSI mode."""
+    units = (as_col(c).cast(DecimalType(18, 4)) * F.lit(10_000)).cast("long")
+    return (F.sum(units).cast(DecimalType(19, 0)) * F.lit(Decimal("0.0001"))).cast(DecimalType(23, 4))
+
+
+def money_sum(c: Column | str) -> Column:
+    """Sum of amounts with up to four decimals, rounded once to cents."""
+    return _amount(c).cast(DecimalType(28, 2))
 
 
 def ratio(top: Column, bottom: Column, otherwise: object = None) -> Column:
@@ -46,21 +70,26 @@ def ratio(top: Column, bottom: Column, otherwise: object = None) -> Column:
 
 
 def percent(top: Column, bottom: Column, places: int = 2) -> Column:
-    return half_up(ratio(top.cast("double") * F.lit(100.0), bottom), places)
+    return quotient(top * F.lit(100), bottom, places)
 
 
 def mean(c: Column | str, places: int | None = 2) -> Column:
-    """Average over the non-NULL values: exact sum, one division, one rounding."""
+    """Average over the non-NULL values: exact sum, one division, at most one rounding."""
     value = as_col(c)
-    raw = ratio(F.sum(value), F.count(value))
-    return raw if places is None else half_up(raw, places)
+    top, bottom = F.sum(value), F.count(value)
+    return ratio(top, bottom) if places is None else quotient(top, bottom, places)
 
 
 def money_mean(c: Column | str, places: int | None = 2) -> Column:
-    """Average of amounts with two decimals."""
-    value = as_col(c)
-    raw = ratio(money_sum(value), F.count(value))
-    return raw if places is None else half_up(raw, places)
+    """Average of amounts with up to four decimals."""
+    top, bottom = _amount(c), F.count(as_col(c))
+    return ratio(top, bottom) if places is None else quotient(top, bottom, places)
+
+
+def mean_of_means(c: Column | str) -> Column:
+    """Average of values that are themselves averages: they are added with twelve decimals, so the order of the rows
+    does not matter, and the result is not rounded."""
+    return mean(as_col(c).cast(DecimalType(22, 12)), None)
 
 
 def share_true(flag: Column, places: int = 2) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import half_up, ratio
+from tidemark.functions import percent
 from tidemark.operators.joins import with_totals
 
 
@@ -28,7 +28,7 @@ def compare_relations(a: DataFrame, b: DataFrame, exclude: list[str] = ()) -> Da
     )
     summary = rows.groupBy("in_a", "in_b").agg(F.count(F.lit(1)).alias("count"))
     total = summary.agg(F.sum("count").alias("_all"))
-    share = half_up(ratio(F.col("count").cast("double") * F.lit(100.0), F.col("_all")))
+    share = percent(F.col("count"), F.col("_all"))
     return with_totals(summary, total).select("in_a", "in_b", "count", share.alias("percent_of_total"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions import as_col, half_up, looks_like_email, ratio
+from tidemark.functions import as_col, looks_like_email, percent, quotient
 from tidemark.operators.joins import orphans
 from tidemark.operators.projection import duplicates
 
@@ -209,7 +209,7 @@ def quality_score(checks: list[tuple[str, str, int]]) -> Column:
     for column, kind, weight in checks:
         if kind in tests:
             earned = earned + F.when(tests[kind](column), F.lit(weight)).otherwise(F.lit(0))
-    return half_up(ratio(earned.cast("double") * F.lit(100.0), F.lit(total)), 1)
+    return percent(earned, F.lit(total), 1)
 
 
 def contract_violations(df: DataFrame, contract: StructType) -> list[str]:
@@ -292,7 +292,7 @@ def feed_quality(feed: DataFrame, raw: str, mode: str = "safe") -> DataFrame:
         F.count_if(amount < 0).alias("negative_amount_events"),
         F.count_if(amount.isNull() | (amount < 0)).alias("events_requiring_review"),
     )
-    rate = half_up(ratio(F.col("events_requiring_review"), F.col("total_events")), 4)
+    rate = quotient(F.col("events_requiring_review"), F.col("total_events"), 4)
     return counts.withColumn("review_rate", rate).withColumn("policy_mode", F.lit(mode.lower()))
 
 

@@ -97,7 +97,7 @@ def rank_rows(df: DataFrame, order: Order, out: str, keys: list[str] | None = No
     return rank_many(df, {out: order}, keys, dense)
 
 
-def with_group_mean(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """The group average on every row: a small aggregate joined back, not a window over the group."""
-    stats = df.groupBy(*keys).agg((F.sum(value).cast("double") / F.nullif(F.count(value), F.lit(0))).alias(out))
+def with_group_sum(df: DataFrame, keys: list[str], value: str, total: str, count: str) -> DataFrame:
+    """Sum and number of a group's values on every row: a small aggregate joined back, not a window over the group."""
+    stats = df.groupBy(*keys).agg(F.sum(value).alias(total), F.count(value).alias(count))
     return join_same(df, stats, keys)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
-    action_priority, age_group, behavioral_segment, count_rows, days_between, half_up, halloween_bucket, mean, money_mean, money_sum,
-    nps_segment, popularity_segment, rating_tier, ratio, recency_risk, recency_segment, recommended_action,
+    action_priority, age_group, behavioral_segment, count_rows, days_between, halloween_bucket, mean, mean_of_means,
+    money_mean, money_sum,
+    nps_segment, popularity_segment, quotient, rating_tier, ratio, recency_risk, recency_segment, recommended_action,
     share_true, spending_tier, ticket_tier, value_index, visit_time_of_day, wait_experience,
 )
 from tidemark.operators.joins import fill_gaps
@@ -23,7 +24,7 @@ def daily_revenue_mart(calendar: DataFrame, daily: DataFrame, start="2024-01-01"
     )
     measures = [c for c in daily.columns if c != "visit_date"]
     filled = fill_gaps(days, daily.withColumnRenamed("visit_date", "date_day"), "date_day", zero=measures)
-    per_visitor = half_up(ratio(F.col("total_revenue"), F.col("unique_visitors"), otherwise=0.0))
+    per_visitor = F.coalesce(quotient(F.col("total_revenue"), F.col("unique_visitors")), F.lit(0).cast("decimal(28,2)"))
     return filled.withColumn("revenue_per_visitor", per_visitor)
 
 
@@ -39,8 +40,8 @@ def customer_lifetime_value(customers: DataFrame, visits: DataFrame) -> DataFram
         per_customer, "customer_id", "left"
     ).fillna(0)
     # Six digits per customer make the sum of averages exact and independent of the row order.
-    spend_per_visit = F.coalesce(ratio(F.col("lifetime_total_spend"), F.col("total_visits")), F.lit(0.0))
-    joined = joined.withColumn("_per_visit", half_up(spend_per_visit, 6).cast("decimal(18,6)"))
+    spend_per_visit = quotient(F.col("lifetime_total_spend"), F.col("total_visits"), 6)
+    joined = joined.withColumn("_per_visit", F.coalesce(spend_per_visit, F.lit(0)).cast("decimal(18,6)"))
     spend = F.sum("lifetime_total_spend")
     return joined.groupBy("loyalty_tier", "customer_value_segment").agg(
         F.count("customer_id").alias("total_customers"),
@@ -50,7 +51,7 @@ def customer_lifetime_value(customers: DataFrame, visits: DataFrame) -> DataFram
         mean("total_visits").alias("avg_visits"),
         mean("_per_visit").alias("avg_spend_per_visit"),
         spend.cast("decimal(28,2)").alias("total_segment_revenue"),
-        half_up(ratio(spend, F.count("customer_id"))).alias("clv"),
+        quotient(spend, F.count("customer_id")).alias("clv"),
     ).orderBy(F.desc("clv"), "loyalty_tier", "customer_value_segment")
 
 
@@ -151,8 +152,7 @@ def vip_satisfaction(feedback: DataFrame) -> DataFrame:
     house = Window.partitionBy("haunted_house_name")
     with_vip = F.max(F.when(F.col("is_vip"), F.col("avg_satisfaction"))).over(house)
     without = F.max(F.when(~F.col("is_vip"), F.col("avg_satisfaction"))).over(house)
-    gap = (with_vip.cast("decimal(6,2)") - without.cast("decimal(6,2)")).cast("double")
-    return stats.withColumn("satisfaction_gap", gap)
+    return stats.withColumn("satisfaction_gap", (with_vip - without).cast("decimal(28,2)"))
 
 
 def visitor_recommendations(feedback: DataFrame) -> DataFrame:
@@ -172,8 +172,8 @@ def revenue_retention_summary(customers: DataFrame, visits: DataFrame, as_of=Non
         money_sum("ticket_price").alias("lifetime_ticket_revenue"),
         money_sum("in_park_spend").alias("lifetime_in_park_spend"),
         money_sum("total_visit_spend").alias("lifetime_total_spend"),
-        money_mean("total_visit_spend").alias("avg_spend_per_visit"),
-        mean(half_up(F.col("avg_rating"), 6).cast("decimal(12,6)")).alias("avg_visit_rating"),
+        money_mean("total_visit_spend", None).alias("avg_spend_per_visit"),
+        mean_of_means("avg_rating").alias("avg_visit_rating"),
         F.sum("feedback_count").alias("feedback_submissions"),
         F.count_if("is_discounted").alias("discounted_visit_count"),
         F.count_if("is_same_day_visit").alias("same_day_visit_count"),

@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
-    days_between, half_up, is_deep_discount, is_high_value, ltv_segment, mask_pii, mean, money_mean, money_sum,
-    month_start, months_between_dates, plain_key, ratio, revenue_category, spend_tier, transaction_tier, week_start,
+    days_between, half_up, is_deep_discount, is_high_value, ltv_segment, mask_pii, mean, mean_of_means, money_mean,
+    money_sum, month_start, months_between_dates, percent, plain_key, quotient, revenue_category, spend_tier, transaction_tier, week_start,
 )
 from tidemark.operators.joins import fill_gaps
 from tidemark.operators.projection import dev_limit, feature_flag, look_back
 from tidemark.operators.quality import parse_amount, quality_score
-from tidemark.operators.ranks import rank_rows, running_total, with_group_mean
+from tidemark.operators.ranks import rank_rows, running_total, with_group_sum
 
 VISIT_COLUMNS = ["ticket_id", "customer_id", "visit_date", "ticket_type", "total_visit_spend", "avg_rating"]
 SALE_COLUMNS = [
@@ -80,13 +80,14 @@ def daily_visits(spine: DataFrame, visits: DataFrame) -> DataFrame:
     daily = visits.groupBy("visit_date").agg(
         F.count(F.lit(1)).alias("total_visits"),
         money_sum("total_visit_spend").alias("total_revenue"),
-        mean(half_up(F.col("avg_rating"), 6).cast("decimal(12,6)")).alias("avg_rating"),
+        mean_of_means("avg_rating").alias("avg_rating"),
     )
     return fill_gaps(spine, daily, "visit_date", zero=["total_visits", "total_revenue"], keep=["avg_rating"])
 
 
 def _mean_rating() -> Column:
-    return mean(half_up(F.col("avg_rating"), 6).cast("decimal(12,6)"))
+    """Averages of a few ratings each, so six decimals of them are exact enough for two."""
+    return mean(half_up(F.col("avg_rating"), 6))
 
 
 def visits_by_type(visits: DataFrame) -> DataFrame:
@@ -150,7 +151,7 @@ def transaction_summary(enriched: DataFrame) -> DataFrame:
         money_mean("total_amount").alias("avg_transaction_value"),
         F.count_if("is_high_value").alias("high_value_count"),
     )
-    share = half_up(ratio(high.cast("double") * F.lit(100.0), n), 1)
+    share = percent(high, n, 1)
     return grouped.withColumn("high_value_pct", share).orderBy("revenue_category", F.desc("total_revenue"))
 
 
@@ -198,14 +199,14 @@ def visit_windows(visits: DataFrame) -> DataFrame:
     spend = F.col("total_visit_spend")
     running = running_total(spent, ["customer_id"], {"visit_date": F.asc, "ticket_id": F.asc}, spend, "running_total_spend")
     # Both steps below read the blocks stored by the first, not the visits again.
-    compared = with_group_mean(running, ["ticket_type"], "total_visit_spend", "_mean")
+    compared = with_group_sum(running, ["ticket_type"], "total_visit_spend", "_sum", "_n")
     ranked = rank_rows(compared, {"total_visit_spend": F.desc}, "spend_rank_in_ticket_type", ["ticket_type"], dense=True)
     return ranked.select(
         "ticket_id", "customer_id", "ticket_type", "visit_date", "total_visit_spend", "avg_rating",
         F.col("running_total_spend").cast("decimal(28,2)").alias("running_total_spend"),
         "spend_rank_in_ticket_type",
-        half_up(F.col("_mean")).alias("avg_spend_for_ticket_type"),
-        half_up(spend.cast("double") - F.col("_mean")).alias("spend_vs_ticket_avg"),
+        quotient(F.col("_sum"), F.col("_n")).alias("avg_spend_for_ticket_type"),
+        quotient(spend * F.col("_n") - F.col("_sum"), F.col("_n")).alias("spend_vs_ticket_avg"),
     )
 
 
@@ -249,7 +250,7 @@ def customer_ltv(visits: DataFrame, customers: DataFrame) -> DataFrame:
         spend.cast("decimal(28,2)").alias("lifetime_spend"),
         money_mean("total_visit_spend").alias("avg_spend_per_visit"),
         _mean_rating().alias("avg_satisfaction_rating"),
-        half_up(ratio(spend, months_between_dates(first, last))).alias("avg_monthly_spend"),
+        quotient(spend, months_between_dates(first, last)).alias("avg_monthly_spend"),
     )
     who = customers.select(
         "customer_id", "loyalty_tier", "customer_value_segment", "is_vip_member", "registration_date"

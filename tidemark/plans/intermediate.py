@@ -80,7 +80,7 @@ def ride_metrics(rides: DataFrame, feedback: DataFrame) -> DataFrame:
     return joined.select(
         "ride_id", "ride_name", "ride_type", "min_height_cm", "thrill_level", "zone", "is_haunted", "status",
         "opened_date", "capacity_per_hour", "avg_wait_minutes", *counts,
-        F.coalesce(percent(F.col("positive_reviews"), n), F.lit(0.0)).alias("positive_review_pct"),
+        F.coalesce(percent(F.col("positive_reviews"), n), F.lit(0).cast("decimal(28,2)")).alias("positive_review_pct"),
         (n > 0).alias("has_reviews"),
         review_count_band(n).alias("review_count_band"),
     )
