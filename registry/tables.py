@@ -129,6 +129,24 @@ def merge_window(spark, sf):
     return target.read()
 
 
+@query("T06_merge_text_partition", f"""
+SELECT o_orderkey, o_orderstatus, CAST(price + CASE WHEN o_orderkey % 7 = 1 THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS price, bucket FROM (
+  SELECT *, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderstatus || ':' || (o_orderkey % 4) || '/%' END AS bucket FROM ({ORDERS}))
+""")
+def merge_text_partition(spark, sf):
+    """Partition values with characters that directory names cannot hold."""
+    key = F.col("o_orderkey")
+    text = F.concat("o_orderstatus", F.lit(":"), (key % 4).cast("string"), F.lit("/%"))
+    rows = orders(spark, sf).select("o_orderkey", "o_orderstatus", "price", F.when(key % 10 != 0, text).alias("bucket"))
+    target = new_table(spark, "merge", "bucket")
+    incremental.merge(target, rows.where("o_orderkey % 7 <> 2"), "o_orderkey")
+    later = rows.where("o_orderkey % 7 IN (1, 2)")
+    raised = F.when(key % 7 == 1, F.col("price") + 1).otherwise(F.col("price")).cast("decimal(18,2)")
+    for _ in range(2):
+        incremental.merge(target, later.withColumn("price", raised), "o_orderkey")
+    return target.read()
+
+
 @query("T07_merge_all_columns", f"""
 SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM ({ORDERS})
 """)
@@ -215,6 +233,20 @@ def microbatch(spark, sf):
     return target.read()
 
 
+@query("T11_microbatch_hour", f"""
+SELECT * REPLACE (CASE WHEN ts >= (SELECT date_trunc('hour', max(ts)) - INTERVAL 2 HOUR FROM events WHERE ts < TIMESTAMP '2024-01-20 07:00:00')
+  THEN value + 1 ELSE value END AS value) FROM ({EVENT_DAYS}) WHERE ts < TIMESTAMP '2024-01-20 12:00:00'
+""")
+def microbatch_hour(spark, sf):
+    """Hours of a table that is partitioned by day: the last two loaded hours are taken in again."""
+    target = new_table(spark, "batches", "event_date")
+    begin, first_end, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 20, 7), dt.datetime(2024, 1, 20, 12)
+    incremental.microbatch(target, event_days(spark, sf), "ts", begin, first_end, size="hour")
+    corrected = event_days(spark, sf).withColumn("value", F.col("value") + 1)
+    incremental.microbatch(target, corrected, "ts", begin, end, look_back=2, size="hour")
+    return target.read()
+
+
 @query("T11_microbatch_stream", "SELECT event_id, event_type, CAST(ts AS DATE) AS event_date FROM events")
 def microbatch_stream(spark, sf):
     schema = table(spark, sf, "events").schema

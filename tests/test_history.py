@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import history
+from tidemark.sources.table import CommitConflict
 
 SCHEMA = "k int, a string, b int"
 
@@ -57,9 +58,44 @@ def test_timestamp_strategy_ignores_older_stamps(spark, rows, path):
 
 def test_closed_rows_are_not_rewritten(spark, rows, path):
     kept = run(spark, path, [rows(SCHEMA, (1, "x", 1)), rows(SCHEMA, (1, "y", 1))], check_columns=["a"])
-    before = kept.table.commit_info()["parts"]["is_open=0"]
+    before = kept.table.commit_info()["parts"]["slot=0"]
     kept.take(rows(SCHEMA, (1, "z", 1)), "2024-02-01 00:00:00")
-    assert kept.table.commit_info()["parts"]["is_open=0"][: len(before)] == before
+    assert kept.table.commit_info()["parts"]["slot=0"][: len(before)] == before
+
+
+def test_unchanged_open_rows_stay_where_they_are(spark, path):
+    source = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("b"))
+    kept = run(spark, path, [source], check_columns=["b"])
+    before = kept.table.commit_info()["parts"]
+    kept.take(source.withColumn("b", F.when(F.col("k") == 5, 99).otherwise(F.col("b"))), "2024-02-01 00:00:00")
+    after = kept.table.commit_info()["parts"]
+    assert sum(before[n] != after[n] for n in before) == 1 and set(after) - set(before) == {"slot=0"}
+    version = kept.table.version()
+    assert kept.take(source.withColumn("b", F.when(F.col("k") == 5, 99).otherwise(F.col("b"))), "2024-03-01 00:00:00") == version
+
+
+def test_keys_must_be_there_once(spark, rows, path):
+    for bad in ([(1, "x", 1), (1, "y", 1)], [(None, "x", 1)]):
+        kept = run(spark, path, [rows(SCHEMA, (1, "x", 1))], check_columns=["a"])
+        with pytest.raises(ValueError):
+            kept.take(rows(SCHEMA, *bad), "2024-02-01 00:00:00")
+        assert kept.read().count() == 1
+
+
+def test_an_overtaken_run_is_refused(spark, rows, path, monkeypatch):
+    kept = run(spark, path, [rows(SCHEMA, (1, "x", 1))], check_columns=["a"])
+    stage = kept.table.stage
+
+    def overtaken(df):
+        staged = stage(df)
+        monkeypatch.undo()
+        kept.take(rows(SCHEMA, (1, "other", 1)), "2024-02-01 00:00:00")
+        return staged
+
+    monkeypatch.setattr(kept.table, "stage", overtaken)
+    with pytest.raises(CommitConflict):
+        kept.take(rows(SCHEMA, (1, "late", 1)), "2024-02-02 00:00:00")
+    assert [r.a for r in kept.current().collect()] == ["other"]
 
 
 def test_missing_columns_are_named(rows):

@@ -173,3 +173,71 @@ def test_compact_merges_small_writes(start, rows):
     table.compact()
     assert state(table) == before
     assert all(len(dirs) == 1 for dirs in table.commit_info()["parts"].values())
+
+
+@pytest.mark.parametrize(
+    ("kind", "values"),
+    [
+        ("string", ["x:1", "a/b", "100%", "plain", None]),
+        ("boolean", ["true", "false", None]),
+        ("int", ["9", "10", "-3", None]),
+        ("timestamp", ["2024-01-01 10:30:00", "2024-01-02 00:00:00.5", None]),
+        ("timestamp_ntz", ["2024-01-01 10:30:00", "2024-01-02 00:00:00", None]),
+        ("date", ["2024-01-01", "2024-01-31", None]),
+        ("decimal(5,2)", ["1.50", "10.00", None]),
+    ],
+)
+def test_merge_finds_rows_in_partitions_of_any_type(spark, rows, path, kind, values):
+    data = rows("k int, p string, v int", *[(i, p, 0) for i, p in enumerate(values * 2)])
+    table = Table(spark, path(), "p")
+    inc.merge(table, data.withColumn("p", F.col("p").cast(kind)), "k")
+    inc.merge(table, data.withColumn("p", F.col("p").cast(kind)).withColumn("v", F.lit(1)), "k")
+    assert sorted((r.k, r.v) for r in table.read().collect()) == [(i, 1) for i in range(2 * len(values))]
+
+
+def test_since_is_compared_in_the_type_of_the_column(spark, rows, path):
+    table = Table(spark, path(), "p")
+    inc.merge(table, rows("k int, p int", (1, 9), (2, 10)), "k")
+    inc.merge(table, rows("k int, p int", (2, 11)), "k", since=9)
+    assert sorted(map(tuple, table.read().select("k", "p").collect())) == [(1, 9), (2, 11)]
+
+
+def test_partitions_that_cannot_be_named_are_refused(spark, rows, path):
+    with pytest.raises(ValueError):
+        Table(spark, path(), "p").overwrite(rows("k int, p double", (1, 0.5)))
+    with pytest.raises(Exception, match="empty text"):
+        Table(spark, path(), "p").overwrite(rows("k int, p string", (1, "")))
+
+
+def test_merge_refuses_rows_without_a_key(start, rows):
+    with pytest.raises(inc.NullKeys):
+        inc.merge(start(), rows(SCHEMA, (None, day(1), 1, 2)), "k")
+
+
+def test_watermark_does_not_depend_on_the_zone_of_the_driver(spark, rows, path, monkeypatch):
+    import time
+
+    stamps = rows("k int, t string", (1, "2024-01-01 00:00:00"), (2, "2024-01-01 06:00:00")).withColumn("t", F.col("t").cast("timestamp"))
+    for zone in ("America/New_York", "Asia/Tokyo"):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        try:
+            table = Table(spark, path())
+            table.overwrite(stamps.where("k = 1"))
+            assert [r.k for r in inc.newer_rows(stamps, table, "t").collect()] == [2]
+        finally:
+            monkeypatch.undo()
+            time.tzset()
+
+
+def test_microbatch_sizes(spark, rows, path):
+    hours = spark.range(24 * 40).select(
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("ts"), F.lit(0).alias("v")
+    ).withColumn("day", F.to_date("ts"))
+    begin, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 10)
+    for size, look_back, renewed in (("hour", 3, 4), ("day", 1, 48), ("month", 0, 24 * 9), ("month", 1, 24 * 40), ("year", 0, 24 * 40)):
+        table = Table(spark, path(), "day")
+        inc.microbatch(table, hours, "ts", begin, end, size=size)
+        inc.microbatch(table, hours.withColumn("v", F.lit(1)), "ts", begin, end, look_back=look_back, size=size)
+        assert (table.read().count(), table.read().where("v = 1").count()) == (24 * 40, renewed), size
+    assert inc.microbatch(Table(spark, path(), "day"), hours, "ts", end, begin) == []

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.incremental import require_keys
+from tidemark.session import cut
 from tidemark.sources.table import Table
 
 SCD_COLUMNS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
@@ -29,6 +31,16 @@ def _opened(source: DataFrame, key: str, stamp: Column) -> DataFrame:
     )
 
 
+def _fresh(source: DataFrame, key: str, as_of, check_columns: list[str] | None, updated_at: str | None) -> DataFrame:
+    """The source as newly opened rows."""
+    if (check_columns is None) == (updated_at is None):
+        raise ValueError("give either check_columns or updated_at")
+    missing = [c for c in [key, *(check_columns or [updated_at])] if c not in source.columns]
+    if missing:
+        raise ValueError(f"columns not in the source: {missing}")
+    return _opened(source, key, _stamp(as_of) if updated_at is None else F.col(updated_at).cast(STAMP))
+
+
 def snapshot(
     current: DataFrame | None,
     source: DataFrame,
@@ -40,27 +52,26 @@ def snapshot(
 ) -> DataFrame:
     """New state of the open rows after reading `source` at `as_of`: unchanged, closed and opened rows.
 
+    Every row of the source needs a key of its own (`History` checks that).
+
     Give `check_columns` to compare values, or `updated_at` to compare change stamps (a stamp
     not newer than the stored one is ignored). `current` holds only open rows; closed ones are
     final and need not be read. One full outer join on the key, NULL-safe comparison.
     """
-    if (check_columns is None) == (updated_at is None):
-        raise ValueError("give either check_columns or updated_at")
-    missing = [c for c in [key, *(check_columns or [updated_at])] if c not in source.columns]
-    if missing:
-        raise ValueError(f"columns not in the source: {missing}")
-    now = _stamp(as_of)
-    stamp = now if updated_at is None else F.col(updated_at).cast(STAMP)
-    fresh = _opened(source, key, stamp)
-    if current is None:
-        return fresh
+    now, fresh = _stamp(as_of), _fresh(source, key, as_of, check_columns, updated_at)
+    return fresh if current is None else _compared(current, fresh, key, now, check_columns, hard_deletes, True)
 
+
+def _compared(
+    current: DataFrame, fresh: DataFrame, key: str, now: Column, check_columns: list[str] | None, hard_deletes: bool, unchanged: bool
+) -> DataFrame:
+    """Closed and opened rows, with the unchanged ones if asked for."""
     columns = fresh.columns
     old = current.select(F.struct(*columns).alias("old"), F.col(key).alias("_old_key"))
     new = fresh.select(F.struct(*columns).alias("new"), F.col(key).alias("_new_key"))
     both = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer")
 
-    if updated_at is None:
+    if check_columns is not None:
         differs = [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in check_columns]
         changed = reduce(lambda a, b: a | b, differs)
     else:
@@ -70,11 +81,12 @@ def snapshot(
     def closed(at: Column) -> Column:
         return F.col("old").withField("dbt_valid_to", at)
 
+    kept = F.array("old") if unchanged else F.slice(F.array("old"), 1, 0)
     rows = (
         F.when(is_new, F.array("new"))
-        .when(is_gone, F.array(closed(now)) if hard_deletes else F.array("old"))
+        .when(is_gone, F.array(closed(now)) if hard_deletes else kept)
         .when(changed, F.array(closed(F.col("new.dbt_valid_from")), F.col("new")))
-        .otherwise(F.array("old"))
+        .otherwise(kept)
     )
     return both.select(F.inline(rows))
 
@@ -89,26 +101,47 @@ def scd_columns(history: DataFrame, *columns: str) -> DataFrame:
 
 
 class History:
-    """A stored history. Closed rows lie in their own partition and are never rewritten."""
+    """A stored history. Closed rows lie in slot 0 and are never rewritten; open rows lie in slots by a hash of their
+    key, and a run rewrites only the slots that hold a changed key."""
+
+    CLOSED = 0
+
+    def __init__(self, spark, path: str, key: str, slots: int = 64, **rule):
+        self.table = Table(spark, path, partition_by="slot")
+        self.key, self.slots, self.rule = key, slots, rule
 
-    OPEN, CLOSED = 1, 0
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        own = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.slots)).cast("int") + 1
+        return rows.withColumn("slot", F.when(F.col("dbt_valid_to").isNull(), own).otherwise(self.CLOSED))
 
-    def __init__(self, spark, path: str, key: str, **rule):
-        self.table = Table(spark, path, partition_by="is_open")
-        self.key, self.rule = key, rule
+    def _open_slots(self) -> list[str]:
+        return [n for n in self.table.partitions() if n != self.table.partition_name(self.CLOSED)]
 
     def take(self, source: DataFrame, as_of) -> int:
-        open_part = self.table.partition_name(self.OPEN)
-        stored = self.table.exists()
-        current = self.table.read(only=[open_part]).drop("is_open") if stored else None
-        state = snapshot(current, source, self.key, as_of, **self.rule)
-        flagged = state.withColumn("is_open", F.when(F.col("dbt_valid_to").isNull(), self.OPEN).otherwise(self.CLOSED))
-        staged = self.table.stage(flagged)
-        return self.table.publish(staged, replaced=[open_part])
+        """Bring the history up to `source`. A key twice, or a row without one, is an error; so is a run that another
+        run has overtaken, as it would undo what that one wrote."""
+        base = self.table.version()
+        source = cut(source)  # read by the test of the keys and by the comparison
+        require_keys(source, self.key)
+        fresh = _fresh(source, self.key, as_of, self.rule.get("check_columns"), self.rule.get("updated_at"))
+        if not base:
+            return self.table.publish(self.table.stage(self._placed(fresh)), base=base)
+        stored = self.table.read(only=self._open_slots(), version=base).drop("slot")
+        changes = cut(_compared(
+            stored, fresh, self.key, _stamp(as_of), self.rule.get("check_columns"), self.rule.get("hard_deletes", False), False
+        ))
+        slot = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.slots)).cast("int") + 1
+        touched = [self.table.partition_name(r[0]) for r in changes.select(slot).distinct().collect()]  # as many as slots
+        if not touched:
+            return base
+        present = set(touched) & set(self.table.partitions(base))
+        kept = self.table.read(only=present, version=base).drop("slot").join(changes.select(self.key).distinct(), self.key, "left_anti")
+        rows = self._placed(kept.select(*changes.columns).unionByName(changes))
+        return self.table.publish(self.table.stage(rows), replaced=present, base=base)
 
     def read(self) -> DataFrame:
-        return self.table.read().drop("is_open")
+        return self.table.read().drop("slot")
 
     def current(self) -> DataFrame:
-        """Open rows; only their partition is read."""
-        return self.table.read(only=[self.table.partition_name(self.OPEN)]).drop("is_open")
+        """Open rows; only their partitions are read."""
+        return self.table.read(only=self._open_slots()).drop("slot")

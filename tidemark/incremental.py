@@ -22,6 +22,10 @@ class DuplicateKeys(ValueError):
     """A batch holds a key twice, so the row to keep is undefined."""
 
 
+class NullKeys(ValueError):
+    """A batch holds rows without a key; they would match nothing and be added by every run."""
+
+
 class OutsideWindow(ValueError):
     """A batch holds keys whose stored row lies outside the merge window."""
 
@@ -29,9 +33,12 @@ class OutsideWindow(ValueError):
 # --- choosing the rows to load -------------------------------------------------------------
 
 
-def high_water_mark(table: Table, column: str, default=None):
-    """Largest stored value: one row to the driver, so the filter becomes a literal that scans can use."""
-    top = table.read().agg(F.max(column)).first()[0] if table.exists() else None
+def high_water_mark(table: Table, column: str, default=None) -> str | None:
+    """Largest stored value as Spark's text: one row to the driver, so the filter becomes a literal that scans can use.
+
+    Text goes out and comes back in the session's time zone; that of the driver's machine plays no part.
+    """
+    top = table.read().agg(F.max(column).cast("string")).first()[0] if table.exists() else None
     return default if top is None else top
 
 
@@ -41,7 +48,8 @@ def newer_rows(source: DataFrame, table: Table, column: str, default=None, inclu
     mark = high_water_mark(table, column, default)
     if mark is None:
         return source
-    limit = F.lit(str(mark)).cast(source.schema[column].dataType)
+    kind = table.schema()[column].dataType if table.exists() else source.schema[column].dataType
+    limit = F.lit(str(mark)).cast(kind).cast(source.schema[column].dataType)
     return source.where(F.col(column) >= limit if inclusive else F.col(column) > limit)
 
 
@@ -61,7 +69,7 @@ def look_back_rows(source: DataFrame, table: Table, column: str, days: int = 3,
     if not table.exists():
         return source
     mark = high_water_mark(table, column)
-    start = as_of_day(as_of) if mark is None else F.lit(str(mark)).cast("date")
+    start = as_of_day(as_of) if mark is None else F.lit(mark).cast("timestamp_ntz").cast("date")
     return source.where(F.col(column) >= F.date_sub(start, days))
 
 
@@ -100,10 +108,18 @@ def _conform(df: DataFrame, schema: StructType) -> DataFrame:
 # --- strategies ----------------------------------------------------------------------------
 
 
-def _require_unique(batch: DataFrame, key: str) -> None:
-    double = batch.groupBy(key).count().where("count > 1").select(key).head(3)
-    if double:
-        raise DuplicateKeys(f"{key} occurs more than once, e.g. {[r[0] for r in double]}")
+def require_keys(batch: DataFrame, key: str) -> int:
+    """Number of rows of a batch, if each has a key of its own; one job."""
+    counts = batch.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    double = F.when(F.col("key").isNotNull() & (F.col("n") > 1), F.col("key"))
+    found = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.min(double).alias("double"), F.count_if(F.col("key").isNull()).alias("nulls")
+    ).first()
+    if found["nulls"]:
+        raise NullKeys(f"rows without {key}")
+    if found["double"] is not None:
+        raise DuplicateKeys(f"{key} occurs more than once, e.g. {found['double']}")
+    return found["n"]
 
 
 def latest_per_key(batch: DataFrame, key: str, stamp: str) -> DataFrame:
@@ -129,16 +145,15 @@ def merge(
     or with outside="insert" come in as second rows. Partitions without a match are not rewritten.
     """
     if not table.exists():
-        _require_unique(batch, key)
+        require_keys(batch, key)
         return table.overwrite(batch)
     schema = _evolved(table, batch, on_schema_change)
     base = table.version()
     names = table.partitions()
-    inside = names if since is None else [n for n in names if n >= table.partition_name(since)]
+    inside = names if since is None else table.partitions_from(since)
     batch = cut(batch)  # read several times below, so fix its rows once
-    if batch.isEmpty() and schema == table.schema():
+    if not require_keys(batch, key) and schema == table.schema():
         return base
-    _require_unique(batch, key)
     keys = batch.select(key)
 
     if outside == "raise" and len(inside) < len(names):
@@ -150,9 +165,11 @@ def merge(
         touched = names
     else:
         hit = table.read(only=inside).select(table.partition_by, key).join(keys, key, "left_semi")
-        # At most one value per partition of the table.
-        values = [r[0] for r in hit.select(table.partition_by).distinct().collect()]
+        # At most one value per partition of the table, as the text that names it.
+        values = [r[0] for r in hit.select(F.col(table.partition_by).cast("string")).distinct().collect()]
         touched = [table.partition_name(v) for v in values]
+        if unknown := set(touched) - set(inside):
+            raise ValueError(f"no directory for the partitions {sorted(unknown)}")
 
     stored = _conform(table.read(only=touched), schema)
     incoming = _conform(batch, schema)
@@ -226,15 +243,7 @@ def batch_windows(begin: dt.datetime, end: dt.datetime, size: str = "day") -> It
         month = 0 if size == "year" else t.month % 12
         return t.replace(year=t.year + (1 if month == 0 else 0), month=month + 1)
 
-    if size not in ("hour", "day", "month", "year"):
-        raise ValueError(f"unknown batch size {size}")
-    start = begin.replace(minute=0, second=0, microsecond=0)
-    if size != "hour":
-        start = start.replace(hour=0)
-    if size in ("month", "year"):
-        start = start.replace(day=1)
-    if size == "year":
-        start = start.replace(month=1)
+    start = floor_of(begin, size)
     while start < end:
         stop = step(start)
         yield start, stop
@@ -242,34 +251,62 @@ def batch_windows(begin: dt.datetime, end: dt.datetime, size: str = "day") -> It
 
 
 def load_window(table: Table, source: DataFrame, ts: str, start: dt.datetime, stop: dt.datetime) -> int:
-    """Replace the day partitions of [start, stop) by what the source holds now; safe to repeat.
+    """Replace what the table holds of [start, stop) by what the source holds now; safe to repeat.
 
-    Consecutive windows may share one call: a backfill of many days is one Spark job.
+    The table is partitioned by day. Whole days are replaced as they are; of a day that the window cuts, the stored
+    rows outside of it are written again. Consecutive windows may share one call: a backfill of many days is one
+    Spark job.
     """
-    if start.time() != dt.time() or stop.time() != dt.time():
-        raise ValueError("windows must start and stop at midnight, as the table holds whole days")
-    days = [table.partition_name((start + dt.timedelta(days=i)).date()) for i in range((stop - start).days)]
     rows = event_window(source, ts, start, stop)
     if not table.exists():
         return table.overwrite(rows)
-    return table.replace_partitions(rows, replaced=days)
+    base, first = table.version(), start.date()
+    last = (stop - dt.timedelta(microseconds=1)).date()
+    days = [table.partition_name(first + dt.timedelta(days=i)) for i in range((last - first).days + 1)]
+    if start.time() == dt.time() and stop.time() == dt.time():
+        return table.replace_partitions(rows, replaced=days)
+    stored = table.read(only=set(days) & set(table.partitions()))
+    low, high = (F.lit(str(t)).cast(stored.schema[ts].dataType) for t in (start, stop))
+    outside = stored.where((F.col(ts) < low) | (F.col(ts) >= high))
+    return table.publish(table.stage(outside.unionByName(align(rows, table.schema()))), replaced=days, base=base)
+
+
+def floor_of(moment: dt.datetime, size: str) -> dt.datetime:
+    """Start of the batch that holds a moment."""
+    if size not in ("hour", "day", "month", "year"):
+        raise ValueError(f"unknown batch size {size}")
+    start = moment.replace(minute=0, second=0, microsecond=0)
+    if size != "hour":
+        start = start.replace(hour=0)
+    if size in ("month", "year"):
+        start = start.replace(day=1)
+    return start.replace(month=1) if size == "year" else start
+
+
+def batches_before(start: dt.datetime, n: int, size: str) -> dt.datetime:
+    """Start of the n-th batch before the one that begins at `start`."""
+    if size in ("hour", "day"):
+        return start - dt.timedelta(**{f"{size}s": n})
+    months = start.year * 12 + start.month - 1 - n * (12 if size == "year" else 1)
+    return start.replace(year=months // 12, month=months % 12 + 1)
 
 
 def microbatch(
     table: Table, source: DataFrame, ts: str, begin: dt.datetime, end: dt.datetime, look_back: int = 0, size: str = "day"
 ) -> list[tuple[dt.datetime, dt.datetime]]:
-    """Load every window from `begin`, or from `look_back` days before the last loaded day.
+    """Load every window from `begin`, or from `look_back` batches before the last one that has rows.
 
     The first load takes all windows in one job. Later ones commit window by window, so a
-    failed window can be repeated alone with `load_window`.
+    failed window can be repeated alone with `load_window`. An empty range loads nothing.
     """
     mark = high_water_mark(table, ts)
     if mark is None:
         windows = list(batch_windows(begin, end, size))
-        load_window(table, source, ts, windows[0][0], windows[-1][1])
+        if windows:
+            load_window(table, source, ts, windows[0][0], windows[-1][1])
         return windows
-    start = max(begin, mark.replace(hour=0, minute=0, second=0, microsecond=0) - dt.timedelta(days=look_back))
-    windows = list(batch_windows(start, end, size))
+    reached = floor_of(dt.datetime.fromisoformat(mark), size)
+    windows = list(batch_windows(max(begin, batches_before(reached, look_back, size)), end, size))
     for lo, hi in windows:
         load_window(table, source, ts, lo, hi)
     return windows

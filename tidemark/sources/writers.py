@@ -58,8 +58,8 @@ class EventLog:
         if self.retention_days is None:
             return
         oldest = as_of - dt.timedelta(days=self.retention_days)
-        limit = self.table.partition_name(oldest)
-        old = [p for p in self.table.partitions() if p < limit and not p.endswith("__")]
+        kept = {*self.table.partitions_from(oldest), self.table.partition_name(None)}
+        old = [p for p in self.table.partitions() if p not in kept]
         if old:
             self.table.drop_partitions(old)
 
