@@ -24,7 +24,7 @@ Q = 8
 RATE = 0.1  # edits for each letter of an item
 ITEM_BYTES = 8 << 20  # items are shipped in groups of about this size, however many there are
 FILTER_BITS = 22
-REGIONS = 2048  # regions aligned at a time
+REGIONS = 128  # regions aligned at a time, of similar length
 
 
 def folding() -> np.ndarray:
@@ -90,8 +90,8 @@ class Items:
         self.filter[self.keys >> np.uint64(64 - FILTER_BITS)] = True
         self.short = [i for i, n in enumerate(sizes) if 0 < n < q]
 
-    def shared(self, letters: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, item, diagonal) of every shared q-gram in pairs of a text and an item that share enough."""
+    def shared(self, letters: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, item, diagonal, place in the item) of every shared q-gram in pairs of a text and an item that share enough."""
         keys = grams(letters, self.q)
         hits = np.flatnonzero(self.filter[keys >> np.uint64(64 - FILTER_BITS)])
         at = np.searchsorted(self.keys, keys[hits])
@@ -109,17 +109,21 @@ class Items:
         counts = np.bincount(cell, minlength=(len(bounds) - 1) * len(self.sizes))
         enough = np.flatnonzero(counts[cell] >= self.bound[item])
         source = np.repeat(hits, many)[enough]
-        return np.repeat(owner, many)[enough], item[enough], source - self.place[posting[enough]]
+        place = self.place[posting[enough]]
+        return np.repeat(owner, many)[enough], item[enough], source - place, place
 
     def regions(self, letters: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, item, first diagonal) of the bands that reach the bound; diagonals count from the first letter of all."""
-        text, item, diagonal = self.shared(letters, bounds)
+        text, item, diagonal, place = self.shared(letters, bounds)
         step = self.budget[item] + 1
         shifted = diagonal - bounds[text] + self.sizes[item]  # from 1 on
         band = shifted // step
         wide = int(band.max()) + 2 if len(band) else 1
         cell = (text * len(self.sizes) + item) * wide
-        keys, counts = np.unique(np.concatenate([cell + band, cell + np.maximum(band - 1, 0)]), return_counts=True)
+        # A place of the item counts once in a band, however often the text repeats its q-gram there.
+        span = int(self.sizes.max()) + 1 if len(self.sizes) else 1
+        both = np.concatenate([(cell + band) * span + place, (cell + np.maximum(band - 1, 0)) * span + place])
+        keys, counts = np.unique(np.unique(both) // span, return_counts=True)
         item, band = keys // wide % max(len(self.sizes), 1), keys % wide
         text = keys // wide // max(len(self.sizes), 1)
         full = counts >= self.bound[item]
@@ -127,57 +131,78 @@ class Items:
         return text, item, band * (self.budget[item] + 1) - self.sizes[item] + bounds[text]
 
 
-def aligned(item: np.ndarray, letters: np.ndarray, low: np.ndarray, width: int, first: np.ndarray, end: np.ndarray, free: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Edits of the best alignment of the whole item in each region, and where it ends in the letters.
+def aligned(
+    item: np.ndarray, sizes: np.ndarray, letters: np.ndarray, low: np.ndarray, width: int, first: np.ndarray, end: np.ndarray,
+    free: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Edits of the best alignment of each whole item in its region, and where it ends in the letters.
 
-    A region allows the diagonals low ... low + width - 1 and the letters first ... end - 1. The alignment may start on
-    any diagonal, or only on that of `free` if it is given.
+    item: one row of letters for each region, `sizes` of them, descending. A region allows the diagonals low ... low +
+    width - 1 and the letters first ... end - 1. The alignment may start on any diagonal, or only on that of `free`.
     """
     far = np.int32(1 << 20)
     drift = np.arange(width, dtype=np.int32)
-    starts = low[:, None] + drift
-    costs = np.where((starts >= first[:, None]) & (starts <= end[:, None]), 0, far).astype(np.int32)
+    place = low[:, None] + drift  # the letter that the diagonal step reads
+    first, end = first[:, None], end[:, None]
+    costs = np.where((place >= first) & (place <= end), np.int32(0), far)
     if free is not None:
-        costs = np.where(starts == free[:, None], costs, far).astype(np.int32)
+        costs = np.where(place == free[:, None], costs, far)
         costs = np.minimum.accumulate(costs - drift, axis=1) + drift
-    for i, letter in enumerate(item):
-        place = starts + i  # the letter that the diagonal step reads
-        known = (place >= first[:, None]) & (place < end[:, None])
-        same = known & (letters[np.clip(place, 0, len(letters) - 1)] == letter)
-        step = np.where(known, costs + np.where(same, 0, 1), far)
-        skip = np.concatenate([costs[:, 1:], np.full((len(costs), 1), far, np.int32)], axis=1) + 1
-        costs = np.minimum(step, skip).astype(np.int32)
-        costs[(place + 1 < first[:, None]) | (place + 1 > end[:, None])] = far
-        costs = np.minimum(np.minimum.accumulate(costs - drift, axis=1) + drift, far).astype(np.int32)
-        costs[place + 1 > end[:, None]] = far
-    best = np.argmin(costs, axis=1)
-    return costs[np.arange(len(costs)), best], low + best + len(item)
+    out, stop = np.zeros(len(low), np.int32), np.zeros(len(low), np.int64)
+    active, top = len(low), len(letters) - 1
+    for i in range(int(sizes[0]) if len(sizes) else 0):
+        done = int(np.searchsorted(-sizes, -i, side="left"))  # rows from here on have no letter i
+        if done < active:
+            _finish(costs, low, sizes, out, stop, done, active)
+            active, costs, place, first, end = done, costs[:done], place[:done], first[:done], end[:done]
+        known = (place >= first) & (place < end)
+        same = letters[np.clip(place, 0, top)] == item[:active, i : i + 1]
+        step = np.where(known, costs + ~same, far)
+        skip = np.full_like(costs, far)
+        skip[:, :-1] = costs[:, 1:] + 1
+        costs = np.minimum(step, skip)
+        place = place + 1
+        outside = (place < first) | (place > end)
+        costs[outside] = far
+        costs = np.minimum(np.minimum.accumulate(costs - drift, axis=1) + drift, far)
+        costs[outside] = far
+    _finish(costs, low, sizes, out, stop, 0, active)
+    return out, stop
+
+
+def _finish(costs: np.ndarray, low: np.ndarray, sizes: np.ndarray, out: np.ndarray, stop: np.ndarray, begin: int, end: int) -> None:
+    best = np.argmin(costs[begin:end], axis=1)
+    out[begin:end] = costs[begin:end][np.arange(end - begin), best]
+    stop[begin:end] = low[begin:end] + best + sizes[begin:end]
 
 
 def leaks(items: Items, letters: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(text, item, start, end, edits) of all verified regions, places counted in the text's letters."""
     found = set()
     texts, names, diagonals = items.regions(letters, bounds)
-    for i in np.unique(names):
-        own = np.flatnonzero(names == i)
-        k, m, item = int(items.budget[i]), int(items.sizes[i]), items.letters[i]
-        for at in range(0, len(own), REGIONS):
-            rows = own[at : at + REGIONS]
-            first, end = bounds[texts[rows]], bounds[texts[rows] + 1]
-            width = 2 * (k + 1) + 2 * k
-            edits, stop = aligned(item, letters, diagonals[rows] - k, width, first, end)
-            good = edits <= k
-            rows, first, end, edits, stop = rows[good], first[good], end[good], edits[good], stop[good]
-            if not len(rows):
-                continue
-            # The start: the same alignment from the end backwards, in the mirrored letters.
-            total = len(letters)
-            _, back = aligned(
-                item[::-1], letters[::-1], total - stop - k, 2 * k + 1, total - end, total - first, free=total - stop
-            )
-            start = total - back
-            for text, s, e, cost, base in zip(texts[rows], start, stop, edits, first):
-                found.add((int(text), int(i), int(s - base), int(e - base), int(cost)))
+    order = np.argsort(-items.sizes[names], kind="stable") if len(names) else names
+    texts, names, diagonals = texts[order], names[order], diagonals[order]
+    total = len(letters)
+    for at in range(0, len(names), REGIONS):
+        own = slice(at, at + REGIONS)
+        text, name = texts[own], names[own]
+        sizes, budget = items.sizes[name], items.budget[name]
+        most, k = int(sizes[0]), int(budget.max())
+        rows = np.zeros((len(name), most), np.uint32)
+        mirrored = np.zeros((len(name), most), np.uint32)
+        for i in np.unique(name):
+            rows[name == i, : items.sizes[i]] = items.letters[i]
+            mirrored[name == i, : items.sizes[i]] = items.letters[i][::-1]
+        first, end = bounds[text], bounds[text + 1]
+        edits, stop = aligned(rows, sizes, letters, diagonals[own] - k, 2 * (k + 1) + 2 * k, first, end)
+        good = np.flatnonzero(edits <= budget)
+        if not len(good):
+            continue
+        text, name, sizes, first, end, edits, stop = (x[good] for x in (text, name, sizes, first, end, edits, stop))
+        # The start: the same alignment from the end backwards, in the mirrored letters.
+        _, back = aligned(mirrored[good], sizes, letters[::-1], total - stop - k, 2 * k + 1, total - end, total - first, free=total - stop)
+        for t, i, s, e, cost, base in zip(text, name, total - back, stop, edits, first):
+            found.add((int(t), int(i), int(s - base), int(e - base), int(cost)))
     for i in items.short:
         m = len(items.letters[i])
         same = np.ones(max(len(letters) - m + 1, 0), bool)
