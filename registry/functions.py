@@ -121,7 +121,7 @@ projection("F30_is_null", "part", lambda: {"missing": F.nullif("p_size", F.lit(1
 
 def unit_sql(seed: int, name: str, column: str, row: str) -> str:
     """Check SQL of a uniform draw."""
-    return f"CAST(CAST('0x' || left(md5('{seed}|{name}|{column}|' || {row}), 8) AS BIGINT) AS DOUBLE) / 4294967296.0"
+    return f"CAST(CAST('0x' || left(md5('{seed}|{name}|{column}|' || {row}), 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0"
 
 
 def draws() -> Draws:

@@ -175,7 +175,7 @@ class Sql:
 
 
 def code(prefix: str, number: str, width: int) -> str:
-    return f"'{prefix}' || lpad(CAST({number} AS VARCHAR), {width}, '0')"
+    return f"'{prefix}' || lpad(CAST({number} AS VARCHAR), CAST(greatest({width}, length(CAST({number} AS VARCHAR))) AS INTEGER), '0')"
 
 
 def numbered(name: str) -> str:

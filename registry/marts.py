@@ -70,7 +70,7 @@ SELECT sale_id, customer_id, ticket_id, purchase_date, visit_date, transaction_f
   visit_hour, payment_method, created_at, updated_at
 FROM ticket_sales_q LEFT JOIN flags_q USING (purchase_channel, is_online, discount_category, same_day_visit,
   advance_purchase, visit_time_category, business_season)
-""")(lambda s, d: core.sales_with_junk_key(ticket_sales(s, d), core.dim_transaction_flags(ticket_sales(s, d))))
+""")(lambda s, d: core.sales_with_junk_key(ticket_sales(s, d)))
 query("fct_haunted_tickets", """
 SELECT ticket_id, customer_id, haunted_house_id, haunted_house_name, capacity, fear_level, visit_date, ticket_price,
   created_at, updated_at FROM haunted_tickets_q LEFT JOIN houses_q USING (haunted_house_id)

@@ -183,6 +183,7 @@ def test_null_flags_find_no_junk_key(rows):
     full = (1, 1, *head, *["x"] * 7)
     gap = (2, 1, *head, *["x"] * 6, None)
     sales = rows(schema, full, gap)
-    flags = sales.select(*core.FLAGS).distinct().withColumn("transaction_flag_key", sales.purchase_channel)
-    got = {r.sale_id: r.transaction_flag_key for r in core.sales_with_junk_key(sales, flags).collect()}
-    assert got == {1: "x", 2: None}
+    flags = core.dim_transaction_flags(sales.withColumns({c: sales[c] == "x" for c in ("is_online", "same_day_visit")}))
+    got = {r.sale_id: r.transaction_flag_key for r in core.sales_with_junk_key(sales).collect()}
+    assert got[2] is None and got[1] is not None
+    assert flags.where("transaction_flag_key IS NOT NULL").count() == 2

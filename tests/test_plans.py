@@ -78,3 +78,15 @@ def test_every_survey_id_is_registered():
     have = {name.split("_")[0] for name in QUERIES}
     assert [w for w in wanted if w not in have] == []
     assert set(oracle_sql()) <= set(queries())
+
+
+@pytest.mark.parametrize("name", ["fct_sales_with_junk_key", "stg_haunted_tickets", "fct_haunted_tickets", "J08_round_robin"])
+def test_facts_are_not_dealt_on_few_keys(spark, small, name):
+    """Neither the junk key nor the house of a ticket shuffles the fact, whatever the broadcast limit."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(queries()[name](spark, small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text

@@ -18,15 +18,6 @@ NTZ = "timestamp_ntz"
 LOADED_AT = "2025-01-01 00:00:00"
 
 # --- Fixed values --------------------------------------------------------------------------
-CITIES = """
-Mumbai,Maharashtra,1,2015-01-01; Delhi,Delhi,1,2015-01-01; Bengaluru,Karnataka,1,2015-03-01;
-Chennai,Tamil Nadu,1,2015-06-01; Hyderabad,Telangana,1,2015-06-01; Kolkata,West Bengal,1,2015-09-01;
-Pune,Maharashtra,2,2016-01-01; Ahmedabad,Gujarat,2,2016-04-01; Jaipur,Rajasthan,2,2016-06-01;
-Lucknow,Uttar Pradesh,2,2016-06-01; Surat,Gujarat,2,2017-01-01; Nagpur,Maharashtra,2,2017-03-01;
-Chandigarh,Punjab,2,2017-06-01; Coimbatore,Tamil Nadu,2,2017-09-01; Kochi,Kerala,2,2018-01-01;
-Bhubaneswar,Odisha,3,2018-06-01; Indore,Madhya Pradesh,3,2018-06-01; Visakhapatnam,Andhra Pradesh,3,2019-01-01;
-Patna,Bihar,3,2019-06-01; Guwahati,Assam,3,2020-01-01
-"""
 PAYMENT_METHODS = [
     ("PM01", "upi", "digital", 0.0050), ("PM02", "credit_card", "card", 0.0200), ("PM03", "debit_card", "card", 0.0150),
     ("PM04", "net_banking", "digital", 0.0100), ("PM05", "wallet", "digital", 0.0075),
@@ -56,10 +47,7 @@ PAID_BY = [
     "upi", "upi", "credit_card", "debit_card", "net_banking", "wallet", "cash_on_delivery", "phonepe", "amazon_pay",
     "pay_later",
 ]
-REVIEW_TEXTS = [
-    "Great food and super fast delivery!", "Decent experience, could be better.", "Food arrived cold. Very disappointed.",
-    "Loved it! Will definitely order again.", "Average meal, nothing special.",
-]
+REVIEW_TEXTS = [f"review {i}" for i in range(1, 6)]
 TICKET_CATEGORIES = [
     "missing_item", "wrong_item", "late_delivery", "damaged_food", "payment_issue", "refund_request", "account_issue",
     "restaurant_complaint", "other",
@@ -67,12 +55,8 @@ TICKET_CATEGORIES = [
 TICKET_STATES = ["open", "in_progress", "resolved", "closed"]
 PRIORITIES = ["high", "medium", "low"]
 RESOLUTIONS = ["full_refund", "partial_refund", "replacement_sent", "no_action"]
-COMMENT_TEXTS = [
-    "I have an issue with my recent order.", "We are looking into this and will get back to you shortly.",
-    "Could you please provide your order details?", "The issue has been escalated to our team.",
-    "Thank you for reaching out. We apologize for the inconvenience.",
-    "Your request has been processed. Please allow 24 hours.",
-]
+COMMENT_TEXTS = [f"comment {i}" for i in range(1, 7)]
+CITIES = 20
 DAY, YEAR = 86_400, 31_536_000
 ITEMS_PER_ORDER, COMMENTS_PER_TICKET = 3, 2
 PROMO_SHARE, RATED_SHARE, REVIEWED_SHARE, TICKET_SHARE = 0.20, 0.70, 0.50, 0.10
@@ -87,9 +71,9 @@ class Draws:
         self.prefix, self.row = f"{seed}|{table}|", as_col(row)
 
     def unit(self, name: str) -> Column:
-        """Uniform on [0, 1): 32 bits of an md5 digest."""
+        """Uniform on [0, 1): 52 bits of an md5 digest."""
         digest = F.md5(F.concat(F.lit(f"{self.prefix}{name}|"), self.row.cast("string")))
-        return F.conv(F.left(digest, F.lit(8)), 16, 10).cast("double") / F.lit(4294967296.0)
+        return F.conv(F.left(digest, F.lit(13)), 16, 10).cast("double") / F.lit(float(2**52))
 
     def whole(self, name: str, low: int, high: int | Column) -> Column:
         """Uniform whole number from low to high, both included."""
@@ -111,8 +95,9 @@ class Draws:
 
 
 def code(prefix: str, number: Column, width: int) -> Column:
-    """Padded key such as ORD0000000000001."""
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """Padded key such as ORD0000000000001. Longer numbers keep all their digits."""
+    digits = number.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def status_of(draw: Column) -> Column:
@@ -152,15 +137,18 @@ class Generator:
         return F.lit(f"{day} 00:00:00").cast(NTZ)
 
     def cities(self) -> DataFrame:
-        rows = [tuple(x.strip() for x in entry.split(",")) for entry in CITIES.replace("\n", " ").split(";")]
-        numbered = [(f"{i:02d}", name, state, tier, launched) for i, (name, state, tier, launched) in enumerate(rows, 1)]
-        return inline_rows(self.spark, numbered, "city_id", "city_name", "state", "tier", "launch_date").withColumns(
-            {
-                "is_metro": F.col("tier") == "1",
-                "is_active": F.lit(True),
-                "launch_date": F.col("launch_date").cast("date"),
-                "_fivetran_synced": self.loaded,
-            }
+        """Numbered cities; the first ones are the large ones and were opened first."""
+        number = F.col("id")
+        tier = F.when(number <= 6, F.lit("1")).when(number <= 15, F.lit("2")).otherwise(F.lit("3"))
+        return self.spark.range(1, CITIES + 1).select(
+            code("", number, 2).alias("city_id"),
+            code("City_", number, 2).alias("city_name"),
+            code("State_", F.pmod(number, F.lit(12)) + 1, 2).alias("state"),
+            tier.alias("tier"),
+            F.add_months(F.lit("2015-01-01").cast("date"), (number * 3).cast("int")).alias("launch_date"),
+            (tier == "1").alias("is_metro"),
+            F.lit(True).alias("is_active"),
+            self.loaded.alias("_fivetran_synced"),
         )
 
     def payment_methods(self) -> DataFrame:

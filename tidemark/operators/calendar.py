@@ -12,9 +12,17 @@ from tidemark.functions import as_col, business_season, day_of_week_number, days
 Day = str | dt.date
 
 
+MOST_DAYS = 100_000  # of a spine: one wrong date must not make millions of rows
+
+
+def _spine(first: Column, last: Column, name: str) -> Column:
+    days = F.date_diff(last, first)
+    bounded = F.when(days > MOST_DAYS, F.raise_error(F.concat(F.lit("a calendar of days: "), days.cast("string"))).cast("date")).otherwise(last)
+    return F.explode(F.sequence(first, bounded)).alias(name)
+
+
 def _days(spark: SparkSession, start: Day, last: Column, name: str) -> DataFrame:
-    first = F.lit(str(start)).cast("date")
-    return spark.range(1).select(F.explode(F.sequence(first, last)).alias(name))
+    return spark.range(1).select(_spine(F.lit(str(start)).cast("date"), last, name))
 
 
 def date_spine(spark: SparkSession, start: Day, end_exclusive: Day, name: str = "date_day") -> DataFrame:
@@ -30,7 +38,7 @@ def date_spine_inclusive(spark: SparkSession, start: Day, end: Day, name: str =
 def spine_over(df: DataFrame, column: Column | str, name: str = "date_day") -> DataFrame:
     """One row per day from the first to the last date of a column, read from the data."""
     span = df.agg(F.min(as_col(column)).alias("_lo"), F.max(as_col(column)).alias("_hi"))
-    return span.where(F.col("_lo").isNotNull()).select(F.explode(F.sequence("_lo", "_hi")).alias(name))
+    return span.where(F.col("_lo").isNotNull()).select(_spine(F.col("_lo"), F.col("_hi"), name))
 
 
 def numbered_days(spark: SparkSession, start: Day, rows: int, last: Day | None = None, name: str = "spine_date") -> DataFrame:

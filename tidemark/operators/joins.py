@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 from tidemark.functions import round_robin
 
 
+SMALL = 100_000  # rows up to which a side is broadcast
+
+
+def if_small(df: DataFrame, rows: int = SMALL) -> DataFrame:
+    """With the hint to broadcast it if it has no more rows than that; one job counts them."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join on equally named keys with NULL equal to NULL; the left keys survive."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
@@ -52,11 +60,14 @@ def multiply_rows(df: DataFrame, times: int, number: str) -> DataFrame:
 
 
 def assign_round_robin(df: DataFrame, number: Column, targets: DataFrame, slot: str) -> DataFrame:
-    """Spread rows over the numbered targets (1..n in column `slot`)."""
+    """Spread rows over the numbered targets (1..n in column `slot`).
+
+    Up to SMALL targets are broadcast, so the rows stay where they are and no slot gathers them.
+    """
     count = targets.agg(F.count(F.lit(1)).alias("_slots"))
     # With no target the slot is NULL and the inner join leaves nothing, as it should.
     keyed = with_totals(df, count).withColumn(slot, round_robin(number, F.nullif(F.col("_slots"), F.lit(0))))
-    return keyed.drop("_slots").join(targets, slot)
+    return keyed.drop("_slots").join(if_small(targets), slot)
 
 
 def lookup_upper(df: DataFrame, code: str, names: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tidemark.functions import (
     half_up, is_valid_email, lifecycle_stage, loyalty_tier, months_between_dates, retention_risk, state_table,
     surrogate_key, upsell_opportunity, visit_time_of_day, years_between,
 )
-from tidemark.operators.joins import lookup_upper, with_parent_name
+from tidemark.operators.joins import if_small, lookup_upper, with_parent_name
 from tidemark.operators.projection import as_of_day
 from tidemark.plans.staging import NTZ
 from tidemark.sources.readers import inline_rows
@@ -112,11 +114,13 @@ def dim_transaction_flags(sales: DataFrame) -> DataFrame:
     )
 
 
-def sales_with_junk_key(sales: DataFrame, flags: DataFrame) -> DataFrame:
-    """Flags replaced by one key. Plain equality: a sale with a NULL flag finds no key."""
-    keyed = sales.join(flags.select(*FLAGS, "transaction_flag_key"), FLAGS, "left")
-    return keyed.select(
-        "sale_id", "customer_id", "ticket_id", "purchase_date", "visit_date", "transaction_flag_key", "ticket_price",
+def sales_with_junk_key(sales: DataFrame) -> DataFrame:
+    """Flags replaced by the key of their combination, which is a function of the flags: no join and no shuffle.
+    Plain equality: a sale with a NULL flag has no key."""
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in FLAGS])
+    return sales.select(
+        "sale_id", "customer_id", "ticket_id", "purchase_date", "visit_date",
+        F.when(known, surrogate_key(*FLAGS)).alias("transaction_flag_key"), "ticket_price",
         "discount_percent", "visit_hour", "payment_method", "created_at", "updated_at",
     )
 
@@ -146,7 +150,7 @@ def fct_visits(visits: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def fct_haunted_tickets(tickets: DataFrame, houses: DataFrame) -> DataFrame:
-    return tickets.join(houses, "haunted_house_id", "left").select(
+    return tickets.join(if_small(houses), "haunted_house_id", "left").select(
         "ticket_id", "customer_id", "haunted_house_id", "haunted_house_name", "capacity", "fear_level", "visit_date",
         "ticket_price", "created_at", "updated_at",
     )

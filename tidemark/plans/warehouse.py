@@ -133,7 +133,7 @@ class Warehouse:
 
     @cached_property
     def fct_sales_with_junk_key(self) -> DataFrame:
-        return core.sales_with_junk_key(self.fct_all_ticket_sales, self.dim_transaction_flags)
+        return core.sales_with_junk_key(self.fct_all_ticket_sales)
 
     @cached_property
     def fct_visits(self) -> DataFrame:

@@ -15,16 +15,20 @@ from tidemark.sources.table import Table
 
 
 def write_audit_publish(table: Table, df: DataFrame, checks: Callable[[DataFrame], list[Check]]) -> int:
-    """Write a candidate, test what was written, and only then make it visible.
+    """Write a candidate, test what was written, and only then make it visible. A refused candidate is deleted.
 
     The former version stays available to `Table.restore`.
     """
     base = table.version()
     staged = table.stage(df)
     candidate = staged.read()
-    rules = checks(candidate)
-    if rules:
-        enforce(run_checks(candidate, rules))
+    try:
+        rules = checks(candidate)
+        if rules:
+            enforce(run_checks(candidate, rules))
+    except Exception:
+        staged.discard()
+        raise
     return table.publish(staged, base=base)
 
 
