@@ -253,7 +253,7 @@ def microbatch_stream(spark, sf):
     stream = event_stream(spark, sf, schema, "ts", glob="events.parquet")
     rows = stream.select("event_id", "event_type", F.to_date("ts").alias("event_date"))
     target = new_table(spark, "stream", "event_date")
-    stream_into(rows, target).awaitTermination()
+    stream_into(rows, target, fresh_path(spark, "state")).awaitTermination()
     return target.read()
 
 
@@ -328,7 +328,7 @@ def refreshed(spark, sf, mode: str):
     )
     target = new_table(spark, "fresh", "week_start")  # an update rewrites only the weeks it touches
     measures = {"n": count_rows(), "total": money_sum("amount")}
-    keep_fresh(rows, ["week_start", "day", "event_type"], measures, target, RefreshOptions("1 minute", mode), once=True).awaitTermination()
+    keep_fresh(rows, ["week_start", "day", "event_type"], measures, target, RefreshOptions("1 minute", mode), fresh_path(spark, "state"), once=True).awaitTermination()
     return target.read().select("day", "event_type", "n", "total")
 
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import count_rows
 from tidemark.sources.table import Table
-from tidemark.streaming.refresh import RefreshOptions, event_stream, keep_fresh, stream_into
+from tidemark.streaming.refresh import RefreshOptions, event_day, event_stream, keep_fresh, stream_into
 
 
 @pytest.fixture
@@ -54,4 +54,18 @@ def test_options():
 def test_on_schedule_waits(spark, path, feed):
     make, folder = feed
     stream = event_stream(spark, folder, make(0, 1).schema, "ts")
-    assert keep_fresh(stream, ["ts"], {"n": count_rows()}, Table(spark, path()), RefreshOptions("1 day", "AUTO", "ON_SCHEDULE")) is None
+    assert keep_fresh(stream, ["ts"], {"n": count_rows()}, Table(spark, path()), RefreshOptions("1 day", "AUTO", "ON_SCHEDULE"), path("state")) is None
+
+
+def test_a_watermark_releases_state(spark, path, feed):
+    make, folder = feed
+    for lo in (60, 200, 400):
+        make(lo, lo + 40).write.mode("append").parquet(folder)
+    target, checkpoint = Table(spark, path()), path("state")
+    stream = event_stream(spark, folder, make(0, 1).schema, "ts", late="1 day", files_per_batch=1)
+    query = keep_fresh(stream, {"day": event_day("ts")}, {"n": count_rows()}, target, RefreshOptions("DOWNSTREAM"), checkpoint, once=True)
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    days = target.read().count()
+    assert held[-1] < days and held[-1] < max(held)
+    assert sum(r.n for r in target.read().collect()) == 180

@@ -12,7 +12,6 @@ from pyspark.sql.types import StructType
 
 from tidemark import incremental
 from tidemark.functions import surrogate_key
-from tidemark.session import fresh_path
 from tidemark.sources.table import Table
 
 REFRESH_MODES = ("AUTO", "FULL", "INCREMENTAL")
@@ -48,7 +47,8 @@ def event_stream(
 ) -> DataFrame:
     """A stream of parquet files. Watermarks need a zoned timestamp, so the event time is cast (UTC).
 
-    Without `late` no row is ever dropped as late; with it, state older than that can be released.
+    Without `late` no row is ever dropped as late. With it, the state of groups is released if one of their keys is
+    an event-time window (`event_day`); a date made from the event time carries no watermark.
     """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_batch:
@@ -58,6 +58,11 @@ def event_stream(
     return rows.withWatermark(ts, late) if late else rows
 
 
+def event_day(ts: str) -> Column:
+    """The day of an event as a window, so that a watermark can close it."""
+    return F.window(ts, "1 day")
+
+
 def _write(stream: DataFrame, sink, mode: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     return (
         stream.writeStream.outputMode(mode)
@@ -70,14 +75,16 @@ def _write(stream: DataFrame, sink, mode: str, checkpoint: str, trigger: dict) -
 
 def keep_fresh(
     stream: DataFrame,
-    keys: list[str],
+    keys: dict[str, Column] | list[str],
     measures: dict[str, Column],
     target: Table,
     options: RefreshOptions,
-    checkpoint: str | None = None,
+    checkpoint: str,
     once: bool = False,
 ) -> StreamingQuery | None:
-    """Maintain `groupBy(keys).agg(measures)` in `target`.
+    """Maintain `groupBy(keys).agg(measures)` in `target`. A key that is a window is stored as its first day.
+
+    `checkpoint` belongs to the target: a restarted process goes on where the last one stopped.
 
     INCREMENTAL (and AUTO) keeps the aggregate as streaming state and upserts only the groups a
     batch changed. FULL writes the complete result on each trigger. ON_SCHEDULE leaves the first
@@ -86,26 +93,27 @@ def keep_fresh(
     if options.initialize.upper() == "ON_SCHEDULE" and not once:
         return None
     full = options.refresh_mode.upper() == "FULL"
-    grouped = stream.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
+    named = {k: F.col(k) for k in keys} if isinstance(keys, list) else keys
+    grouped = stream.groupBy(*[c.alias(k) for k, c in named.items()]).agg(*[m.alias(n) for n, m in measures.items()])
+    windows = [f.name for f in grouped.schema if f.name in named and isinstance(f.dataType, StructType)]
+    grouped = grouped.withColumns({w: F.col(f"{w}.start").cast("date") for w in windows})
 
     def write(batch: DataFrame, epoch: int) -> None:
         if full:
             target.overwrite(batch)
             return
         # Groups are matched by a hash of their keys, NULL counted as a value.
-        incremental.merge(target, batch.withColumn("group_key", surrogate_key(*keys)), "group_key")
+        incremental.merge(target, batch.withColumn("group_key", surrogate_key(*named)), "group_key")
 
     trigger = {"availableNow": True} if once or options.target_lag == "DOWNSTREAM" else {"processingTime": options.target_lag}
-    folder = checkpoint or fresh_path(stream.sparkSession, "refresh")
-    return _write(grouped, write, "complete" if full else "update", folder, trigger)
-
+    return _write(grouped, write, "complete" if full else "update", checkpoint, trigger)
 
-def stream_into(stream: DataFrame, target: Table, checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Append a stream to a table. Each epoch commits with its number, so a replayed epoch is skipped."""
-    folder = checkpoint or fresh_path(stream.sparkSession, "stream")
 
+def stream_into(stream: DataFrame, target: Table, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append a stream to a table. Each epoch commits with its number and the checkpoint's folder, so an epoch that is
+    replayed after a restart is skipped."""
     def write(batch: DataFrame, epoch: int) -> None:
-        if epoch > target.last_tag(folder):
-            target.append(batch, tag=(folder, epoch))
+        if epoch > target.last_tag(checkpoint):
+            target.append(batch, tag=(checkpoint, epoch))
 
-    return _write(stream, write, "append", folder, trigger or {"availableNow": True})
+    return _write(stream, write, "append", checkpoint, trigger or {"availableNow": True})
