@@ -90,3 +90,10 @@ def test_facts_are_not_dealt_on_few_keys(spark, small, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+
+
+def test_metrics_are_added_up_before_dimensions_are_joined(spark, small):
+    text = plan(queries()["M07_multi_fact"](spark, small))
+    joins = [i for i, line in enumerate(text.splitlines()) if "Join" in line and "LeftOuter" in line]
+    sums = [i for i, line in enumerate(text.splitlines()) if "partial_sum" in line]
+    assert joins and any(i > min(joins) for i in sums)

@@ -102,35 +102,57 @@ class Catalog:
                 raise ValueError(f"grain must be one of {', '.join(GRAINS)}, not {grain}")
             if not model.times:
                 raise ValueError(f"{model.name} has no time axis")
-        rows = self._joined(model, [g for g in group_by if g != "metric_time"], where)
+        named = [g for g in group_by if g != "metric_time"]
+        rows = model.df
         if "metric_time" in group_by:
             rows = rows.withColumn("metric_time", F.date_trunc(grain, F.col(model.times[0])).cast("date"))
-        if where:
-            rows = rows.where(where)
-
-        def measure(metric: Metric) -> Column:
-            value = F.expr(metric.expr)
-            return F.count_distinct(value) if metric.agg == "count_distinct" else F.sum(value)
-
-        return rows.groupBy(*group_by).agg(*[measure(m).alias(m.name) for m in metrics])
-
-    def _joined(self, model: SemanticModel, wanted: list[str], where: str | None) -> DataFrame:
-        """The fact with the dimensions it lacks, each fetched over a shared entity."""
-        rows, own = model.df, set(model.dimensions) | set(model.times)
-        foreign_dims = [d for m in self.models.values() if m.name != model.name for d in m.dimensions]
-        asked = [d for d in wanted if d not in own]
-        asked += [d for d in dict.fromkeys(foreign_dims) if where and re.search(rf"\b{d}\b", where) and d not in own and d not in asked]
+        own = set(model.dimensions) | set(model.times)
+        used = [d for d in self._dimensions() if d in self._names(where)]
+        fetched = [d for d in dict.fromkeys([*named, *used]) if d not in own]
+        if not fetched:
+            rows = rows.where(where) if where else rows
+            return rows.groupBy(*group_by).agg(*[_measure(m).alias(m.name) for m in metrics])
+        plan = self._parents(model, fetched)
+        if all(_adds_up(m, model) for m in metrics):
+            # What the fact has is added up for each foreign key first: dimensions meet one row for each key and group.
+            keys = [key for key, _, _, _ in plan]
+            kept = [c for c in dict.fromkeys([*group_by, *used]) if c in own or c == "metric_time"]
+            kinds = dict(rows.agg(*[_measure(m).alias(m.name) for m in metrics]).dtypes)
+            rows = rows.groupBy(*dict.fromkeys([*kept, *keys])).agg(*[_measure(m).alias(m.name) for m in metrics])
+            measures = [F.sum(m.name).cast(kinds[m.name]).alias(m.name) for m in metrics]
+        else:
+            measures = [_measure(m).alias(m.name) for m in metrics]
+        for key, parent, entity, columns in plan:
+            dims = parent.df.select(F.col(parent.primary[entity]).alias("_entity"), *columns)
+            rows = rows.join(dims, F.col(key) == F.col("_entity"), "left").drop("_entity")
+        return (rows.where(where) if where else rows).groupBy(*group_by).agg(*measures)
+
+    def _dimensions(self) -> list[str]:
+        return list(dict.fromkeys(d for m in self.models.values() for d in (*m.dimensions, *m.times)))
+
+    def _names(self, where: str | None) -> set[str]:
+        """Words of a condition outside of its string literals."""
+        return set(re.findall(r"\w+", re.sub(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"", " ", where or "")))
+
+    def _parents(self, model: SemanticModel, wanted: list[str]) -> list[tuple[str, SemanticModel, str, list[str]]]:
+        """(foreign key, model, entity, dimensions) for the dimensions that the model lacks."""
+        plan, left = [], list(wanted)
         for entity, key in model.foreign.items():
             parent = next((m for m in self.models.values() if entity in m.primary), None)
-            if parent is None:
-                continue
-            columns = [d for d in asked if d in parent.dimensions]
+            columns = [d for d in left if parent is not None and d in parent.dimensions]
             if columns:
-                dims = parent.df.select(F.col(parent.primary[entity]).alias("_entity"), *columns)
-                rows = rows.join(dims, F.col(key) == F.col("_entity"), "left").drop("_entity")
-                asked = [d for d in asked if d not in columns]
-        missing = [d for d in asked if d in wanted]
-        if missing:
-            raise KeyError(f"{model.name} cannot be grouped by {missing}")
-        return rows
+                plan.append((key, parent, entity, columns))
+                left = [d for d in left if d not in columns]
+        if left:
+            raise KeyError(f"{model.name} can be neither grouped nor filtered by {left}")
+        return plan
+
+
+def _measure(metric: Metric) -> Column:
+    value = F.expr(metric.expr)
+    return F.count_distinct(value) if metric.agg == "count_distinct" else F.sum(value)
+
 
+def _adds_up(metric: Metric, model: SemanticModel) -> bool:
+    """Parts of the metric add up to the whole: sums, and distinct counts of the model's own key."""
+    return metric.agg == "sum" or metric.expr in model.primary.values()
