@@ -60,3 +60,40 @@ def test_schemas_and_names(spark):
     for ddl in [*RAW.values(), *SAMPLES.values()]:
         assert spark.createDataFrame([], ddl).columns
     assert set(LOGICAL.values()) <= set(RAW)
+
+
+def test_every_parameter_changes_a_result(house, spark, rows):
+    from tidemark.operators.quality import QualityError
+    from tidemark.plans.params import DEFAULTS
+
+    def other(**params):
+        return Warehouse(spark, type("S", (), {"table": staticmethod(house.source)})(), {**house.params, **params}, house.numeric_ticket)
+
+    assert "is_deep_discount" in other(drift_mode="add_new_column").drifting_sales.columns
+    assert "is_deep_discount" not in house.drifting_sales.columns
+    assert other(drift_mode="add_new_column").contracted_sales.where("is_deep_discount IS NOT NULL").count() > 0
+    assert house.contracted_sales.where("is_deep_discount IS NOT NULL").count() == 0
+    assert (house.recent_sales.count(), other(dev_lookback_days=10).recent_sales.count(), other(environment="prod").recent_sales.count()) == (0, 1, 1)
+    plans = [w.clustered_visits._jdf.queryExecution().optimizedPlan().toString() for w in (house, other(cluster_columns=["ticket_id"]))]
+    assert "RepartitionByExpression [visit_date" in plans[0] and "RepartitionByExpression [ticket_id" in plans[1]
+    feed = rows(
+        "event_id string, customer_id string, payment_amount_raw string, currency string, payment_status string, event_timestamp string",
+        ("1", "c", "10.00", "EUR", "ok", "2024-01-01 00:00:00"), ("2", "c", "oops", "EUR", "ok", "2024-01-01 00:00:00"),
+    ).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+    assert house.payments(feed).where("payment_amount IS NULL").count() == 1
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        other(strict_validation=True).payments(feed).collect()
+    assert house.payment_review_queue(feed).count() == 1
+    assert house.payment_quality(feed).first().policy_mode == "safe"
+    with pytest.raises(QualityError):
+        other(exception_mode="error").payment_quality(feed)
+    assert set(house.params) == set(DEFAULTS)
+
+
+def test_histories_of_the_warehouse(house, path):
+    folder = path("histories")
+    house.take_histories(folder, "2024-06-05 00:00:00")
+    house.take_histories(folder, "2024-06-06 00:00:00")
+    kept = house.histories(folder)
+    assert kept["customers"].read().count() == house.stg_customers.count()
+    assert kept["rides"].table.version() == 1

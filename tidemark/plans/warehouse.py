@@ -7,15 +7,19 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.calendar import calendar, date_spine, numbered_days
-from tidemark.operators.projection import dev_limit
+from tidemark.history import History
+from tidemark.operators.calendar import calendar, date_spine, date_spine_inclusive
+from tidemark.operators.projection import dev_limit, look_back
+from tidemark.operators.quality import apply_policy, feed_quality, quarantine
 from tidemark.plans import analytics, core, demos, intermediate, staging
 from tidemark.plans.params import with_defaults
 from tidemark.sources.readers import Sources
+from tidemark.sources.writers import clustered
 
 
 class Warehouse:
-    """Lazy tables: `Warehouse(...).agg_daily_revenue` is a DataFrame, nothing is stored.
+    """Lazy tables: `Warehouse(...).agg_daily_revenue` is a DataFrame. Ranked tables store blocks in the
+    shared folder; nothing else is stored.
 
     A table used by several others is planned once per use; Spark shares equal exchanges.
     """
@@ -213,7 +217,7 @@ class Warehouse:
     def daily_visits(self) -> DataFrame:
         """Days of the year in which the Halloween analysis starts."""
         start = self.params["halloween_analysis_start_date"]
-        spine = numbered_days(self.spark, start, 400, f"{start[:4]}-12-31", name="visit_date")
+        spine = date_spine_inclusive(self.spark, start, f"{start[:4]}-12-31", name="visit_date")
         return demos.daily_visits(spine, self.fct_visits)
 
     @cached_property
@@ -241,6 +245,55 @@ class Warehouse:
     def customer_ltv(self) -> DataFrame:
         return demos.customer_ltv(self.fct_visits, self.dim_customers)
 
+    @cached_property
+    def drifting_sales(self) -> DataFrame:
+        return demos.drifting_sales(self.fct_all_ticket_sales, self.params["drift_mode"])
+
+    @cached_property
+    def contracted_sales(self) -> DataFrame:
+        return demos.contracted_sales(self.fct_all_ticket_sales, self.params["drift_mode"])
+
+    @cached_property
+    def clustered_visits(self) -> DataFrame:
+        return clustered(self.fct_visits, *self.params["cluster_columns"])
+
+    @cached_property
+    def recent_sales(self) -> DataFrame:
+        """All sales; in development the last few days before the run day."""
+        if self.params["environment"] != "dev":
+            return self.fct_sales
+        return look_back(self.fct_sales, "visit_date", self.params["dev_lookback_days"], self.as_of)
+
+    # -- payment feed
+
+    def payments(self, feed: DataFrame) -> DataFrame:
+        """Typed payments; with `strict_validation` an unreadable amount is an error at run time."""
+        return demos.validated_payments(feed, strict=self.params["strict_validation"])
+
+    def payment_review_queue(self, feed: DataFrame) -> DataFrame:
+        return quarantine(feed, "payment_amount_raw")[1]
+
+    def payment_quality(self, feed: DataFrame) -> DataFrame:
+        """Counts of the feed; `exception_mode` decides whether events to review pass, warn or raise."""
+        mode = self.params["exception_mode"]
+        return apply_policy(feed_quality(feed, "payment_amount_raw", mode), mode)
+
+    # -- histories
+
+    def histories(self, folder: str) -> dict[str, History]:
+        """Stored histories of the tables that are tracked, below `folder`."""
+        rules = {
+            "customers": ("customer_id", dict(check_columns=["email", "phone", "is_vip_member", "loyalty_points"], hard_deletes=True)),
+            "rides": ("ride_id", dict(updated_at="updated_at")),
+            "employees": ("employee_id", dict(updated_at="updated_at", hard_deletes=True)),
+        }
+        return {name: History(self.spark, f"{folder}/{name}", key, **rule) for name, (key, rule) in rules.items()}
+
+    def take_histories(self, folder: str, as_of) -> None:
+        """Bring all histories up to the staged tables."""
+        for name, kept in self.histories(folder).items():
+            kept.take(getattr(self, f"stg_{name}"), as_of)
+
     @classmethod
     def names(cls) -> list[str]:
         return [n for n, v in vars(cls).items() if isinstance(v, cached_property)]
