@@ -14,11 +14,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings of this subpackage: whole texts are long, so fewer of them go into a batch."""
+    tune(spark)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "256")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return spark
+
+
 def query(key: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            tune(spark)
-            return fn(spark, sf_dir)
+            return fn(prepared(spark), sf_dir)
 
         QUERIES[key] = run
         if sql is not None:
@@ -38,10 +45,10 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def byte_vocabulary() -> str:
+def byte_ranks() -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def token_digests(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
@@ -135,7 +142,7 @@ def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 # Edits that a cleaning pass makes: (pattern, text in its place).
 REDACTIONS = [
-    (r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+", "<EMAIL>"),
+    (r"(?<![\w.+-])[\w.+-]++@[\w-]+(?:\.[\w-]+)+", "<EMAIL>"),
     (r"AKIA[0-9A-Z]{16}", "<KEY>"),
     (r"([#$%&*])\1{2,}", " "),
 ]
@@ -143,7 +150,7 @@ REDACTIONS = [
 
 @query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return token_counts.counted(table(spark, sf, "documents"), byte_vocabulary(), REDACTIONS)
+    return token_counts.counted(table(spark, sf, "documents"), byte_ranks(), REDACTIONS)
 
 
 @query("op10_licenses")

@@ -7,11 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.session import fresh_path
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write the rows below spark.checkpoint.dir and read them back; later jobs survive lost executors."""
+def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write the rows below spark.checkpoint.dir and read them back; later jobs survive lost executors.
+
+    With `by`, rows of one value of that column lie together, and a filter on it reads only those.
+    """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def parts(spark: SparkSession) -> int:
