@@ -71,6 +71,12 @@ def assembled(body: str) -> str:
     return f"WITH {heads},\n{body[4:]}" if body.upper().startswith("WITH ") else f"WITH {heads}\n{body}"
 
 
+# Membership and thrill level to their numbers, as check SQL.
+SCARE_SQL = "CASE membership_type WHEN 'platinum' THEN 3 WHEN 'gold' THEN 2 ELSE 1 END"
+POINTS_SQL = "CASE membership_type WHEN 'platinum' THEN 1000 WHEN 'gold' THEN 500 WHEN 'silver' THEN 250 ELSE 100 END"
+FEAR_SQL = "CASE thrill_level WHEN 'extreme' THEN 5 WHEN 'high' THEN 4 WHEN 'medium' THEN 3 WHEN 'low' THEN 2 ELSE 3 END"
+
+
 # --- SQL building blocks -------------------------------------------------------------------
 
 

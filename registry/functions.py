@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.base import AS_OF, AS_OF_EVENTS, hu, query, rd, steps, table
+from registry.base import AS_OF, AS_OF_EVENTS, FEAR_SQL, POINTS_SQL, SCARE_SQL, hu, query, rd, steps, table
 from registry.inputs import feed
 from registry.models import AGE_LIMITS, DAY_PART, SEASON, key_sql
 from tidemark import functions as f
@@ -197,18 +197,14 @@ projection("F51_upsell_opportunity", "customer",
            lambda: {"offer": f.upsell_opportunity(vip(), c("c_acctbal"), c("c_nationkey") % 2 == 0)},
            offer="CASE WHEN c_custkey % 3 = 0 THEN 'None' WHEN c_acctbal >= 400 THEN 'VIP Upgrade' "
                  "WHEN c_nationkey % 2 = 0 THEN 'Premium Pass' ELSE 'None' END")
-query("F52_membership", """
-SELECT customer_id, coalesce(membership_type IN ('platinum', 'gold'), false) AS vip,
-  CASE membership_type WHEN 'gold' THEN 2 WHEN 'platinum' THEN 3 ELSE 1 END AS scare,
-  CASE membership_type WHEN 'silver' THEN 250 WHEN 'gold' THEN 500 WHEN 'platinum' THEN 1000 ELSE 100 END AS points
+query("F52_membership", f"""
+SELECT customer_id, coalesce(membership_type IN ('platinum', 'gold'), false) AS vip, {SCARE_SQL} AS scare, {POINTS_SQL} AS points
 FROM raw_customers
 """)(lambda s, d: feed(s, d, "raw_customers").select(
     "customer_id", f.is_vip("membership_type").alias("vip"), f.scare_level("membership_type").alias("scare"),
     f.loyalty_points("membership_type").alias("points"),
 ))
-query("F53_fear_level", """
-SELECT ride_id, CASE thrill_level WHEN 'low' THEN 2 WHEN 'high' THEN 4 WHEN 'extreme' THEN 5 ELSE 3 END AS fear FROM raw_rides
-""")(lambda s, d: feed(s, d, "raw_rides").select("ride_id", f.fear_level("thrill_level").alias("fear")))
+query("F53_fear_level", f"SELECT ride_id, {FEAR_SQL} AS fear FROM raw_rides")(lambda s, d: feed(s, d, "raw_rides").select("ride_id", f.fear_level("thrill_level").alias("fear")))
 query("F54_rating_category", """
 SELECT feedback_id, CASE WHEN rating < 3 THEN 'negative' WHEN rating < 4 THEN 'neutral' ELSE 'positive' END AS mood,
   rating > 3 AS recommends FROM raw_feedback

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry.base import AS_OF, avg_of, cte, hu, money, rd, steps
+from registry.base import AS_OF, FEAR_SQL, POINTS_SQL, SCARE_SQL, avg_of, cte, hu, money, rd, steps
 from registry.inputs import feed, pos_with_customer
 from tidemark.operators.calendar import calendar, spine_over
 from tidemark.plans import core, intermediate, staging
@@ -126,8 +126,8 @@ SELECT customer_id, first_name, last_name, lower(email) AS email, phone,
   CAST(NULL AS VARCHAR) AS zip_code, CAST(datediff('year', date_of_birth, DATE '{AS_OF}') AS INT) AS age,
   CAST(NULL AS VARCHAR) AS gender,
   coalesce(membership_type IN ('gold', 'platinum'), false) AS is_vip_member, false AS marketing_opt_in,
-  CASE membership_type WHEN 'platinum' THEN 3 WHEN 'gold' THEN 2 ELSE 1 END AS preferred_scare_level,
-  CASE membership_type WHEN 'platinum' THEN 1000 WHEN 'gold' THEN 500 WHEN 'silver' THEN 250 ELSE 100 END AS loyalty_points,
+  {SCARE_SQL} AS preferred_scare_level,
+  {POINTS_SQL} AS loyalty_points,
   CAST(created_at AS DATE) AS registration_date, created_at, created_at AS updated_at
 FROM raw_customers
 """)
@@ -249,9 +249,9 @@ SELECT {key_sql('transaction_id')} AS sales_key, transaction_id, customer_id, vi
   quarter, year, is_weekend, category, item_name, quantity, unit_price, total_amount, payment_method, location
 FROM raw_pos LEFT JOIN orders_cal ON visit_date = date_day
 """)
-cte("houses_q", """
+cte("houses_q", f"""
 SELECT ride_id AS haunted_house_id, ride_name AS haunted_house_name, CAST(capacity_per_hour AS INT) AS capacity,
-  CASE thrill_level WHEN 'extreme' THEN 5 WHEN 'high' THEN 4 WHEN 'low' THEN 2 ELSE 3 END AS fear_level
+  {FEAR_SQL} AS fear_level
 FROM raw_rides WHERE is_haunted
 """)
 cte("haunted_tickets_q", """

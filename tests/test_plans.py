@@ -97,3 +97,9 @@ def test_metrics_are_added_up_before_dimensions_are_joined(spark, small):
     joins = [i for i, line in enumerate(text.splitlines()) if "Join" in line and "LeftOuter" in line]
     sums = [i for i, line in enumerate(text.splitlines()) if "partial_sum" in line]
     assert joins and any(i > min(joins) for i in sums)
+
+
+@pytest.mark.parametrize("name", sorted(k for k in QUERIES if not k.startswith(STATEFUL)))
+def test_no_plan_pairs_all_rows(spark, small, name):
+    text = plan(QUERIES[name](spark, small))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

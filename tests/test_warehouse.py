@@ -97,3 +97,29 @@ def test_histories_of_the_warehouse(house, path):
     kept = house.histories(folder)
     assert kept["customers"].read().count() == house.stg_customers.count()
     assert kept["rides"].table.version() == 1
+
+
+def test_rules_of_the_tables(house):
+    from tidemark.operators.quality import QualityError
+    from tidemark.plans.rules import MODELS
+
+    for name in MODELS:
+        assert house.report(name).where("status = 'error'").count() == 0, name
+    assert house.tested("fct_visits").count() == house.fct_visits.count()
+    contract = house.fct_visits.schema
+    assert house.contracted("fct_visits", contract).schema == contract
+    with pytest.raises(ValueError):
+        house.contracted("fct_visits", house.stg_tickets.schema)
+    broken = Warehouse.__new__(Warehouse)
+    broken.__dict__.update(house.__dict__, stg_rides=house.stg_rides.unionByName(house.stg_rides))
+    with pytest.raises(QualityError, match="ride_id unique"):
+        broken.tested("stg_rides")
+
+
+def test_findings_are_stored_by_option(rows, spark, path):
+    from tidemark.operators import quality as q
+
+    folder = path("findings")
+    df = rows("k int, v int", (1, None), (2, 5))
+    report = q.run_checks(df, [q.Check("v not null", breaks=q.breaks_not_null("v"), store=folder)])
+    assert report.first().failures == 1 and spark.read.parquet(folder).count() == 1

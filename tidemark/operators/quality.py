@@ -127,7 +127,8 @@ class Check:
     """A named rule with its options.
 
     `breaks` is a row condition; `rows` a DataFrame of findings for rules that need grouping
-    or a join. `warn_if` and `error_if` are limits on the number of findings.
+    or a join. `warn_if` and `error_if` are limits on the number of findings. With `store`, a path, the findings are
+    written there when the checks run.
     """
 
     name: str
@@ -137,6 +138,11 @@ class Check:
     where: str | None = None
     warn_if: int = 1
     error_if: int = 1
+    store: str | None = None
+
+    def findings(self, df: DataFrame) -> DataFrame:
+        found = self.rows if self.breaks is None else df.where(self.breaks)
+        return found if self.where is None else found.where(self.where)
 
 
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
@@ -156,6 +162,9 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     def entry(check: Check, counts: DataFrame) -> DataFrame:
         return counts.select(F.lit(check.name).alias("check_name"), "failures").withColumn("status", status(check))
 
+    for check in checks:
+        if check.store is not None:
+            store_failures(check.findings(df), check.store)
     row_checks = [c for c in checks if c.breaks is not None]
     results = []
     if row_checks:
@@ -171,8 +180,7 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
         results.append(counts.withColumn("status", picked).drop("_i"))
     for check in checks:
         if check.rows is not None:
-            findings = check.rows if check.where is None else check.rows.where(check.where)
-            results.append(entry(check, findings.agg(F.count(F.lit(1)).alias("failures"))))
+            results.append(entry(check, check.findings(df).agg(F.count(F.lit(1)).alias("failures"))))
     report = results[0]
     for more in results[1:]:
         report = report.unionByName(more)

@@ -6,13 +6,15 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.history import History
 from tidemark.operators.calendar import calendar, date_spine, date_spine_inclusive
 from tidemark.operators.projection import dev_limit, look_back
-from tidemark.operators.quality import apply_policy, feed_quality, quarantine
+from tidemark.operators.quality import apply_policy, enforce, enforce_contract, feed_quality, quarantine, run_checks
 from tidemark.plans import analytics, core, demos, intermediate, staging
 from tidemark.plans.params import with_defaults
+from tidemark.plans.rules import MODELS
 from tidemark.sources.readers import Sources
 from tidemark.sources.writers import clustered
 
@@ -264,6 +266,22 @@ class Warehouse:
             return self.fct_sales
         return look_back(self.fct_sales, "visit_date", self.params["dev_lookback_days"], self.as_of)
 
+    # -- tests and contracts
+
+    def report(self, name: str) -> DataFrame:
+        """(check_name, failures, status) of the rules of a table."""
+        df = getattr(self, name)
+        return run_checks(df, MODELS[name].checks(df, lambda other: getattr(self, other)))
+
+    def tested(self, name: str) -> DataFrame:
+        """The table, if its rules hold; broken rules of severity error raise."""
+        enforce(self.report(name))
+        return getattr(self, name)
+
+    def contracted(self, name: str, contract: StructType) -> DataFrame:
+        """The table in the declared columns and types; a difference raises."""
+        return enforce_contract(getattr(self, name), contract)
+
     # -- payment feed
 
     def payments(self, feed: DataFrame) -> DataFrame:
