@@ -168,6 +168,7 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator
         stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         yield batch.slice(at, stop - at)
         at = stop
+    pa.default_memory_pool().release_unused()  # idle workers keep less
 
 
 def planes(values: np.ndarray) -> bytes:

@@ -13,7 +13,8 @@ def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     With `by`, rows of one value of that column lie together, and a filter on it reads only those.
     """
     path = fresh_path(df.sparkSession, label)
-    writer = df.write.partitionBy(by) if by else df.write
+    writer = df.write.option("compression", "zstd")
+    writer = writer.partitionBy(by) if by else writer
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
