@@ -18,7 +18,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     """The session with the settings of this subpackage: whole texts are long, so fewer of them go into a batch."""
     tune(spark)
     spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "256")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark
 
 

@@ -27,7 +27,7 @@ PACKED = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("kind", pa.i
 PACKED_SQL = "bucket int, batch long, kind tinyint, blob binary"
 TABLE, PROBES, HITS = 0, 1, 2
 EMPTY = np.empty(0, np.int64)
-SLICE = 8 << 20  # bytes of text whose windows are sorted together
+SLICE = 4 << 20  # bytes of text whose windows are sorted together
 
 
 class Documents:
