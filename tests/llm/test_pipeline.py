@@ -3,14 +3,15 @@
 import random
 
 import pytest
-from test_decontaminate import edits
-from test_minhash_join import brute as near
-from test_substring_dedup import brute as passages
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemark.llm import queries, toxicity
 
+from .test_decontaminate import edits
+from .test_minhash_join import brute as near
+from .test_substring_dedup import brute as passages
+
 
 @pytest.fixture
 def folder(spark, tmp_path):
