@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, hnsw, licenses, minhash_join, ppm, substring_dedup, token_counts, toxicity, url_filter
+from tidemark.llm import (
+    bpe, conversations, decontaminate, hnsw, licenses, minhash_join, mixing, ppm, resampling, substring_dedup, token_counts,
+    toxicity, url_filter,
+)
+from tidemark.operators.joins import join_same
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +160,39 @@ def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_licenses")
 def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scanned(table(spark, sf, "documents"))
+
+
+@query("op11_mixing")
+def op11_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    result = mixing.mixed(table(spark, sf, "documents"), weights=(5, 2, 1), most=3)
+    return result.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Faults by the remainder of crc32 of `conv_id:turn`: a row is dropped, emptied, robbed of its sentence ends,
+    repeated, or given to the user. Nulls count as one space."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    fault = F.crc32(F.concat_ws(":", *shown[:2]).cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", shown[2].alias("role"), shown[3].alias("text"), fault.alias("fault")).where("fault <> 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    copies = F.sequence(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+@query("op12_conversations")
+def op12_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    turns = table(spark, sf, "conversations")
+    result = conversations.repaired(damaged(turns)).withColumnRenamed("conv", "conv_id")
+    all_ids = turns.select("conv_id").distinct()
+    counts = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return join_same(all_ids, result, ["conv_id"]).select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+@query("op13_resampling")
+def op13_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    result = resampling.resampled(table(spark, sf, "documents"), table(spark, sf, "benchmark"), percent=5, least_words=20, seed=42)
+    return result.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
