@@ -240,11 +240,22 @@ def _exits(ends: dict):
     return run
 
 
-def _edited(known: dict):
-    """The edits of all conversations. known: (part, conv) -> (entry state, costs behind, closes, initial before)."""
+def _edited(known: dict, crossing: bool | None = None):
+    """The edits of all conversations, or of those that do or do not cross partitions alone.
+
+    known: (part, conv) -> (entry state, costs behind, closes, initial before), for those that do.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(table, starts, first, last):
+            if crossing is not None:
+                parts, convs = table["part"].combine_chunks(), table["conv"].combine_chunks()
+                sizes = np.diff(np.append(starts, table.num_rows))
+                wanted = np.array([((parts[h].as_py(), convs[h].as_py()) in known) == crossing for h in starts.tolist()])
+                table = table.filter(pa.array(np.repeat(wanted, sizes)))
+                starts = (np.cumsum(sizes * wanted) - sizes)[wanted]
+                if not len(starts):
+                    return
             rows, kinds, counts, faults = _units(table)
             bounds = np.searchsorted(rows, np.append(starts, table.num_rows))
             parts, convs = table["part"].combine_chunks(), table["conv"].combine_chunks()
@@ -314,6 +325,71 @@ def _chained(rows) -> list[list]:
     return [c for c in chains if len(c) > 1]
 
 
+class _Placed:
+    """The rows of all conversations in order, with their faults, and what the segments of conversations that cross
+    partitions need to know of each other."""
+
+    def __init__(self, turns: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str):
+        given = turns.select(
+            F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"),
+            F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
+            F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        )
+        self.rows = cut(self._sorted(given))  # the same rows in the same partitions for all passes
+        self.conv = f"conv {self.rows.schema['conv'].dataType.simpleString()}"
+        self.known = self._crossing()
+
+    @staticmethod
+    def _sorted(given: DataFrame) -> DataFrame:
+        """Rows that say the same as others of their conversation are found by digests; these rows alone are counted."""
+        digest = F.unhex(F.sha2("text", 256))
+        same = given.select("conv", "role", digest.alias("digest"), "turn").groupBy("conv", "role", "digest")
+        repeats = same.agg(F.count("*").alias("times"), F.min(F.struct("turn")).alias("earliest")).where("times > 1")
+        repeats = stored(repeats.drop("times"), "repeats")
+        marked = join_same(given.withColumn("digest", digest), repeats, ["conv", "role", "digest"]).drop("digest")
+        once = marked.where("earliest IS NULL").withColumn("n", F.lit(1).cast("long"))
+        more = marked.where("earliest IS NOT NULL").groupBy("conv", "turn", "role", "text", "earliest").agg(F.count("*").alias("n"))
+        stripped = F.rtrim(F.col("text"), F.lit(SPACE))
+        initial = F.substring("role", 1, 1)
+        number = F.lit(len(ROLES))
+        for code, letter in enumerate(ROLES):
+            number = F.when(initial == letter, code).otherwise(number)
+        seen = F.col("earliest").isNotNull() & ~F.col("turn").eqNullSafe(F.col("earliest.turn"))
+        fault = (
+            F.when(stripped == "", BLANK).when(seen, DUPLICATE)
+            .when(F.substring(stripped, -1, 1).isin(".", "!", "?"), NONE).otherwise(TRUNCATED)
+        )
+        rows = once.unionByName(more).select(
+            "conv", "turn", "role", "text", "n", fault.cast("int").alias("fault"), number.cast("int").alias("initial")
+        )
+        keys = [F.asc_nulls_first("conv"), F.asc_nulls_first("turn"), F.asc("role")]
+        rows = rows.repartitionByRange(*keys, F.substring("text", 1, 256)).sortWithinPartitions(*keys, F.asc("text"))
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        return rows.select("*", F.spark_partition_id().alias("part"), place.alias("place"))
+
+    def _crossing(self) -> dict:
+        """(part, conv) -> (entry state, costs behind, whether the conversation ends there, initial before), at most
+        two for each partition."""
+        slim = self.rows.select("conv", "part", "fault", "initial", "n")
+        found = slim.mapInArrow(_borders, f"part int, {self.conv}, first boolean, last boolean, tail long, costs array<long>").collect()
+        chains, ends, known = _chained(found), {}, {}
+        for chain in chains:
+            end = END
+            for at in range(len(chain) - 1, -1, -1):
+                row = chain[at]
+                ends[row.part, row.conv] = end, at == len(chain) - 1
+                end = tuple(min(row.costs[4 * s + out] + end[out] for out in range(4)) for s in range(4))
+        if chains:
+            exits = slim.mapInArrow(_exits(ends), f"part int, {self.conv}, exits array<long>").collect()
+            left = {(r.part, r.conv): r.exits for r in exits}
+            for chain in chains:
+                state, before = START, -1
+                for row in chain:
+                    known[row.part, row.conv] = (state, *ends[row.part, row.conv], before)
+                    state, before = left[row.part, row.conv][state], row.tail
+        return known
+
+
 def edits(
     turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
 ) -> DataFrame:
@@ -332,90 +408,67 @@ def edits(
     conversation nor a repeated row is collected in one task; memory holds one conversation's part of a partition. No
     rows give no edits; other columns are not returned.
     """
-    given = turns.select(
-        F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"),
-        F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    )
-    entries = given.groupBy("conv", "turn", "role", "text").agg(F.count("*").alias("n")).withColumn("digest", F.sha2("text", 256))
-    entries = stored(entries, "turns")
-    firsts = entries.groupBy("conv", "role", "digest").agg(F.min(F.struct("turn")).alias("earliest"))
-    stripped = F.rtrim(F.col("text"), F.lit(SPACE))
-    initial = F.substring("role", 1, 1)
-    number = F.lit(len(ROLES))
-    for code, letter in enumerate(ROLES):
-        number = F.when(initial == letter, code).otherwise(number)
-    fault = (
-        F.when(stripped == "", BLANK).when(~F.col("turn").eqNullSafe(F.col("earliest.turn")), DUPLICATE)
-        .when(F.substring(stripped, -1, 1).isin(".", "!", "?"), NONE).otherwise(TRUNCATED)
-    )
-    marked = join_same(entries, firsts, ["conv", "role", "digest"]).select(
-        "conv", "turn", "role", "text", "n", fault.cast("int").alias("fault"), number.cast("int").alias("initial")
-    )
-    keys = [F.asc_nulls_first("conv"), F.asc_nulls_first("turn"), F.asc("role")]
-    rows = marked.repartitionByRange(*keys, F.substring("text", 1, 256)).sortWithinPartitions(*keys, F.asc("text"))
-    rows = rows.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
-    rows = cut(rows)  # the same rows in the same partitions for all passes
-
-    conv = f"conv {rows.schema['conv'].dataType.simpleString()}"
-    slim = rows.select("conv", "part", "fault", "initial", "n")
-    found = slim.mapInArrow(_borders, f"part int, {conv}, first boolean, last boolean, tail long, costs array<long>").collect()
-    chains = _chained(found)
-    ends, known = {}, {}
-    for chain in chains:
-        end = END
-        for at in range(len(chain) - 1, -1, -1):
-            row = chain[at]
-            ends[row.part, row.conv] = end, at == len(chain) - 1
-            end = tuple(min(row.costs[4 * s + out] + end[out] for out in range(4)) for s in range(4))
-    if chains:
-        left = {(r.part, r.conv): r.exits for r in slim.mapInArrow(_exits(ends), f"part int, {conv}, exits array<long>").collect()}
-        for chain in chains:
-            state, before = START, -1
-            for row in chain:
-                known[row.part, row.conv] = (state, *ends[row.part, row.conv], before)
-                state, before = left[row.part, row.conv][state], row.tail
-    return rows.mapInArrow(_edited(known), f"{conv}, {EDITS}")
+    placed = _Placed(turns, conv_col, turn_col, role_col, text_col)
+    return placed.rows.mapInArrow(_edited(placed.known), f"{placed.conv}, {EDITS}")
+
+
+SUMS = "blank", "duplicate", "truncated", "illegal", "cost"
+SUMMARY = ", ".join(f"{c} long" for c in SUMS) + ", audit string, repaired_sha256 string"
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted edits -> (conv, audit, digest of the repaired rows), one conversation at a time."""
-    held, none = None, object()
-    conv, letters, digest, started = none, [], None, False
+    """Sorted edits -> (conv, sums, audit, digest of the repaired rows), one conversation at a time."""
+    none = object()
+    conv, sums, letters, digest, started, done = none, [], [], None, False, []
 
-    def closed():
-        return pa.RecordBatch.from_arrays(
-            [pa.array([conv], held), pa.array(["".join(letters)]), pa.array([digest.hexdigest()])], ["conv", "audit", "repaired_sha256"]
-        )
+    def written(kind):
+        columns = list(zip(*done))
+        arrays = [pa.array(columns[0], kind), *(pa.array(c, pa.int64()) for c in columns[1:6]), *(pa.array(c, pa.string()) for c in columns[6:])]
+        return pa.RecordBatch.from_arrays(arrays, ["conv", *SUMS, "audit", "repaired_sha256"])
 
     for batch in batches:
-        held = batch.schema.field("conv").type
-        for name, edit, n, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv", "edit", "n", "role", "text"))):
+        kind = batch.schema.field("conv").type
+        counted = zip(*(batch.column(c).to_pylist() for c in SUMS))
+        for name, edit, n, role, text, own in zip(*(batch.column(c).to_pylist() for c in ("conv", "edit", "n", "role", "text")), counted):
             if name != conv:
                 if conv is not none:
-                    yield closed()
-                conv, letters, digest, started = name, [], hashlib.sha256(), False
+                    done.append((conv, *sums, "".join(letters), digest.hexdigest()))
+                conv, sums, letters, digest, started = name, [0] * len(SUMS), [], hashlib.sha256(), False
+            sums = [a + b for a, b in zip(sums, own)]
             letters.append(edit * n)
             if edit != "D":
                 digest.update(("\n" if started else "").encode() + f"{role}:{text}".encode("utf-8", "surrogatepass"))
                 started = True
+        if done:
+            yield written(kind)
+            done = []
     if conv is not none:
-        yield closed()
+        done.append((conv, *sums, "".join(letters), digest.hexdigest()))
+        yield written(kind)
 
 
-def repaired(turns: DataFrame, **columns: str) -> DataFrame:
+def _finished(known: dict):
+    """Edits and summary at once, of the conversations that lie in one partition."""
+    solved = _edited(known, crossing=False)
+    return lambda batches: _digested(solved(batches))
+
+
+def repaired(
+    turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
+) -> DataFrame:
     """One row for each conversation of `turns`: (conv, gaps, blank, duplicate, truncated, illegal, cost, audit,
     repaired_sha256). gaps: missing numbers between the smallest and the largest turn, nulls left aside. audit: the
     edits' letters in order. The digest is that of the repaired `role:text`, joined by line feeds; it is taken while
-    the rows stream by, in bounded memory. See `edits` for the rest."""
-    found = stored(edits(turns, **columns), "edits")
-    turn, conv = F.col(columns.get("turn_col", "turn")).cast("long"), F.col(columns.get("conv_col", "conv_id"))
+    the rows stream by, in bounded memory. Only conversations that cross partitions are shuffled for it. See `edits`
+    for the rest."""
+    placed = _Placed(turns, conv_col, turn_col, role_col, text_col)
+    summary = f"{placed.conv}, {SUMMARY}"
+    result = placed.rows.mapInArrow(_finished(placed.known), summary)
+    if placed.known:
+        kept: Column = F.when(F.col("edit") != "D", F.col("text"))
+        lines = placed.rows.mapInArrow(_edited(placed.known, crossing=True), f"{placed.conv}, {EDITS}").withColumn("text", kept)
+        lines = lines.repartition("conv").sortWithinPartitions("conv", "part", "step")
+        result = result.unionByName(lines.mapInArrow(_digested, summary))
     span = F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn")
-    gaps = turns.select(conv.alias("conv"), turn.alias("turn")).groupBy("conv").agg(F.coalesce(span, F.lit(0)).alias("gaps"))
-    sums = found.groupBy("conv").agg(*(F.sum(c).alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")))
-    conv_type = found.schema["conv"].dataType.simpleString()
-    kept: Column = F.when(F.col("edit") != "D", F.col("text"))
-    lines = found.select("conv", "part", "step", "edit", "n", "role", kept.alias("text"))
-    lines = lines.repartition("conv").sortWithinPartitions("conv", "part", "step")
-    digests = lines.mapInArrow(_digested, f"conv {conv_type}, audit string, repaired_sha256 string")
-    return join_same(join_same(sums, gaps, ["conv"]), digests, ["conv"])
+    gaps = placed.rows.groupBy("conv").agg(F.coalesce(span, F.lit(0)).alias("gaps"))
+    return join_same(result, gaps, ["conv"])
