@@ -168,6 +168,18 @@ def op11_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return result.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+# CRC-32 of a text in SQL: the table of its 256 bytes, then one step for each byte.
+CRC_TABLE = """crc_table AS MATERIALIZED (SELECT list(v ORDER BY i) AS steps FROM (
+  SELECT i, list_reduce(list_prepend(i::UBIGINT, [0,0,0,0,0,0,0,0]::UBIGINT[]), lambda c, z: xor(c >> 1, (c & 1) * 3988292384)) AS v
+  FROM range(256) r(i)))"""
+
+
+def crc_sql(text: str, steps: str = "steps") -> str:
+    byte = f"list_transform(range(1, strlen({text}) + 1), lambda i: ('0x' || substr(hex({text}), CAST(2 * i - 1 AS INT), 2))::UBIGINT)"
+    return f"""CAST(xor(list_reduce(list_prepend(4294967295::UBIGINT, {byte}),
+      lambda c, b: xor(c >> 8, {steps}[CAST((xor(c, b) & 255) + 1 AS INT)])), 4294967295) AS BIGINT)"""
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Faults by the remainder of crc32 of `conv_id:turn`: a row is dropped, emptied, robbed of its sentence ends,
     repeated, or given to the user. Nulls count as one space."""
@@ -180,7 +192,71 @@ def damaged(turns: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
 
 
-@query("op12_conversations")
+def repair_sql() -> str:
+    """The cheapest edits row by row: for each state the least (cost, audit) with the repaired lines so far."""
+    def step(k: str, cost: int | str, letter: str, line: str = "''") -> str:
+        return f"CASE WHEN {k} IS NOT NULL THEN {{'c': {k}.c + {cost}, 'a': {k}.a || '{letter}', 't': {k}.t || {line}}} END"
+
+    def least(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    added = {name: f"chr(10) || '{name}:'" for name in ("user", "assistant")}
+    given = {name: f"{line} || text" for name, line in added.items()}
+    more, keep = "(CASE WHEN cut THEN 3 ELSE 0 END)", "chr(10) || role || ':' || text"
+
+    def stays(*ways: str) -> list[str]:
+        return [f"CASE WHEN NOT gone THEN {w} END" for w in ways]
+
+    def kept(initial: str, *ks: str) -> list[str]:
+        return [f"CASE WHEN NOT gone AND left(role, 1) = '{initial}' THEN {step(k, more, 'K', keep)} END" for k in ks]
+
+    def reroled(name: str, *ks: str) -> list[str]:
+        return stays(*(step(k, f"3 + {more}", "R", given[name]) for k in ks))
+
+    def insertions(rows: str, columns: str) -> str:
+        user = least("k2", *(step(k, 3, "I", added["user"]) for k in ("k0", "k1", "k3")))
+        once = f"SELECT {columns}, k0, k1, {user} AS k2, k3 FROM ({rows})"
+        twice = f"SELECT {columns}, k0, k1, k2, {least('k3', step('k2', 3, 'I', added['assistant']))} AS k3 FROM ({once})"
+        return f"SELECT {columns}, k0, k1, {least('k2', step('k3', 3, 'I', added['user']))} AS k2, k3 FROM ({twice})"
+
+    moved = f"""SELECT o.conv_id, o.i, {step('k0', 4, 'D')} AS k0, {least(step('k1', 4, 'D'), *kept('s', 'k0'))} AS k1,
+      {least(step('k2', 4, 'D'), *kept('u', 'k0', 'k1', 'k3'), *reroled('user', 'k0', 'k1', 'k3'))} AS k2,
+      {least(step('k3', 4, 'D'), *kept('a', 'k2'), *reroled('assistant', 'k2'))} AS k3
+      FROM paths p JOIN rows_in_order o ON o.conv_id IS NOT DISTINCT FROM p.conv_id AND o.i = p.i + 1"""
+    kind = "STRUCT(c BIGINT, a VARCHAR, t VARCHAR)"
+    none = ", ".join(f"CAST(NULL AS {kind}) AS k{s}" for s in (1, 2, 3))
+    begin = f"SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 't': ''}}::{kind} AS k0, {none} FROM rows_in_order"
+    show = "coalesce({0}::VARCHAR, ' ')"
+    return f"""
+WITH RECURSIVE {CRC_TABLE},
+shown AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {show.format('conv_id')} || ':' || {show.format('turn')} AS name FROM conversations),
+faulty AS (SELECT *, {crc_sql('name')} % 20 AS f FROM shown, crc_table),
+damaged AS (SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM faulty, range(2) copies(k) WHERE f <> 0 AND (k = 0 OR f = 3)),
+numbered AS (SELECT *, row_number() OVER w AS i, left(lag(role) OVER w, 1) || left(role, 1) AS pair,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS rest
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+marked AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen FROM numbered),
+rows_in_order AS MATERIALIZED (SELECT conv_id, turn, role, text, i, rest = '' AS empty, rest <> '' AND seen AS again,
+  rest <> '' AND NOT seen AND right(rest, 1) NOT IN ('.', '!', '?') AS cut, rest = '' OR seen AS gone,
+  pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au') AS odd FROM marked),
+paths AS ({insertions(begin, "conv_id, i")} UNION ALL {insertions(moved, "conv_id, i")}),
+best AS (SELECT conv_id, {least('k0', 'k3')} AS k FROM paths p
+  WHERE i = (SELECT max(i) FROM rows_in_order o WHERE o.conv_id IS NOT DISTINCT FROM p.conv_id)),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(empty) AS blank,
+  count_if(again) AS duplicate, count_if(cut) AS truncated, count_if(odd) AS illegal FROM rows_in_order GROUP BY conv_id)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, coalesce(k.c, 0) AS cost, coalesce(k.a, '') AS audit,
+  sha256(coalesce(substr(k.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
+@query("op12_conversations", repair_sql())
 def op12_conversations(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations")
     result = conversations.repaired(damaged(turns)).withColumnRenamed("conv", "conv_id")
@@ -192,7 +268,32 @@ def op12_conversations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("op13_resampling")
+def features_sql(name: str) -> str:
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""{name}_words AS (SELECT *, row_number() OVER () AS nr, regexp_extract_all({low}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {name}),
+{name}_features AS (SELECT nr, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+  list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM {name}_words)"""
+
+
+RESAMPLING_SQL = f"""
+WITH {CRC_TABLE}, {features_sql("documents")}, {features_sql("benchmark")},
+hashed AS (SELECT f, {crc_sql("f")} % 10000 AS b FROM (SELECT f FROM documents_features UNION SELECT f FROM benchmark_features), crc_table),
+own AS (SELECT nr, b, count(*) AS n FROM documents_features JOIN hashed USING (f) GROUP BY ALL),
+corpus AS (SELECT b, sum(n) AS s FROM own GROUP BY b),
+target AS (SELECT b, count(*) AS t FROM benchmark_features JOIN hashed USING (f) GROUP BY b),
+gains AS (SELECT b, CAST(floor(1000 * ln(((coalesce(t, 0) + 1) * ((SELECT sum(s) FROM corpus) + 10000))::DOUBLE
+  / ((s + 1) * (coalesce((SELECT sum(t) FROM target), 0) + 10000))::DOUBLE)) AS BIGINT) AS gain FROM corpus LEFT JOIN target USING (b)),
+weights AS (SELECT nr, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight FROM own JOIN gains USING (b) GROUP BY nr),
+scores AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM documents_words LEFT JOIN weights USING (nr)),
+places AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id, n_features) AS place FROM scores)
+SELECT doc_id, n_features, weight, score, n_words,
+  CASE WHEN n_words >= 20 AND place <= 5 * (SELECT count(*) FROM scores WHERE n_words >= 20) // 100 THEN place END AS rank FROM places
+"""
+
+
+@query("op13_resampling", RESAMPLING_SQL)
 def op13_resampling(spark: SparkSession, sf: str) -> DataFrame:
     result = resampling.resampled(table(spark, sf, "documents"), table(spark, sf, "benchmark"), percent=5, least_words=20, seed=42)
     return result.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
