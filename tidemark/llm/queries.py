@@ -270,7 +270,7 @@ def op12_conversations(spark: SparkSession, sf: str) -> DataFrame:
 
 def features_sql(name: str) -> str:
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    return f"""{name}_words AS (SELECT *, row_number() OVER () AS nr, regexp_extract_all({low}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {name}),
+    return f"""{name}_words AS MATERIALIZED (SELECT *, row_number() OVER () AS nr, regexp_extract_all({low}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {name}),
 {name}_features AS (SELECT nr, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
   list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM {name}_words)"""
 
