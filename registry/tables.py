@@ -412,6 +412,21 @@ def scd2_timestamp(spark, sf):
 query("T19_hard_deletes", snapshot_sql("customer", *CUSTOMER_RULE, **CUSTOMER_SQL, hard=True))(
     lambda s, d: customer_history(s, d, True).read()
 )
+
+
+GROWN_SQL = snapshot_sql("(SELECT *, CAST(NULL AS VARCHAR) AS c_grade FROM customer)", *CUSTOMER_RULE,
+                         CUSTOMER_SQL["change"] | {"c_grade": "CASE WHEN c_acctbal > 5000 THEN 'high' ELSE 'low' END"},
+                         CUSTOMER_SQL["compared"], False)
+
+
+@query("T17_scd2_new_column", GROWN_SQL)
+def scd2_new_column(spark, sf):
+    """The second run's source has a column more: NULL in the rows of the first."""
+    grade = F.when(F.col("c_acctbal") > 5000, "high").otherwise("low")
+    change = {"c_grade": grade, "c_acctbal": F.when(F.col("c_custkey") % 4 != 0, F.col("c_acctbal"))}
+    return two_runs(spark, table(spark, sf, "customer"), *CUSTOMER_RULE, change, check_columns=CUSTOMER_SQL["compared"]).read()
+
+
 query("T20_current_rows", "SELECT * FROM (" + snapshot_sql("customer", *CUSTOMER_RULE, **CUSTOMER_SQL, hard=True) + ") WHERE dbt_valid_to IS NULL")(
     lambda s, d: history.current_rows(customer_history(s, d, True).read())
 )

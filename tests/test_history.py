@@ -103,3 +103,42 @@ def test_missing_columns_are_named(rows):
         history.snapshot(None, rows(SCHEMA, (1, "x", 1)), "k", "2024-01-01 00:00:00", check_columns=["nope"])
     with pytest.raises(ValueError):
         history.snapshot(None, rows(SCHEMA, (1, "x", 1)), "k", "2024-01-01 00:00:00")
+
+
+def test_columns_come_and_go(spark, rows, path):
+    kept = run(spark, path, [
+        rows("k int, a string", (1, "x"), (2, "x")),
+        rows("k int, extra int, a string", (1, 7, "y"), (2, 8, "x"), (3, 9, "z")),
+        rows("a string, k int", ("w", 1), ("x", 2), ("z", 3)),
+    ], check_columns=["a"], slots=4)
+    got = sorted((r.k, r.a, r.extra, r.dbt_valid_from.day, r.dbt_valid_to.day if r.dbt_valid_to else None) for r in kept.read().collect())
+    assert got == [(1, "w", None, 3, None), (1, "x", None, 1, 2), (1, "y", 7, 2, 3), (2, "x", None, 1, None), (3, "z", 9, 2, None)]
+    kept.take(rows("k long, a string, more date", (1, "w", None), (2, "x", None), (3, "z", None)), "2024-01-04 00:00:00")
+    assert kept.read().schema["k"].dataType.simpleString() == "int" and "more" in kept.read().columns
+
+
+@pytest.mark.parametrize("slots", [8, 16])
+def test_the_stored_side_is_not_moved(spark, path, slots):
+    source = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("b"))
+    kept = history.History(spark, path(), "k", slots=slots, check_columns=["b"])
+    kept.take(source, "2024-01-01 00:00:00")
+    table, version = kept.table, kept.table.version()
+    with table.bucketed(kept._open_slots(version), version) as stored:
+        fresh = history._fresh(source, "k", "2024-02-01 00:00:00", ["b"], None)
+        stored = stored.drop("slot")
+        plan = kept._changes(stored, fresh, stored.schema, F.lit("2024-02-01").cast("timestamp_ntz"), slots)
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    join = text[text.index("SortMergeJoin"):]
+    stored_side = join[: join.index("FileScan")]
+    assert "Exchange" not in stored_side and "Bucketed: true" in join
+    assert join.count("Exchange") == 1  # the source, once
+
+
+def test_slots_follow_the_rows(spark, path, monkeypatch):
+    monkeypatch.setattr(history.History, "ROWS_IN_SLOT", 100)
+    source = spark.range(950).select(F.col("id").cast("string").alias("k"), (F.col("id") % 7).alias("b"))
+    kept = history.History(spark, path(), "k", check_columns=["b"])
+    kept.take(source, "2024-01-01 00:00:00")
+    assert kept.table.count() == 10 and len(kept._open_slots()) == 10
+    kept.take(source.withColumn("b", F.lit(1)), "2024-02-01 00:00:00")
+    assert kept.current().count() == 950 and kept.read().count() == 950 + source.where("b <> 1").count()
