@@ -97,6 +97,9 @@ def test_histories_of_the_warehouse(house, path):
     kept = house.histories(folder)
     assert kept["customers"].read().count() == house.stg_customers.count()
     assert kept["rides"].table.version() == 1
+    assert len(kept) == 7 and all(k.read().where("dbt_valid_to IS NOT NULL").isEmpty() for k in kept.values())
+    assert kept["ticket_sales_history"].read().count() == house.stg_tickets.count()
+    assert kept["product_pricing_history"].read().count() == house.stg_ticket_types.count()
 
 
 def test_rules_of_the_tables(house):

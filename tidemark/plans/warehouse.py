@@ -19,6 +19,26 @@ from tidemark.sources.readers import Sources
 from tidemark.sources.writers import clustered
 
 
+# Tracked tables: rows, key and how a change is seen. Prices are keyed by the name of their ticket type, as its number
+# is a rank that changes when a type is added.
+TRACKED = {
+    "customers": (lambda w: w.stg_customers, "customer_id", dict(check_columns=[
+        "first_name", "last_name", "email", "phone", "address", "city", "state", "zip_code", "is_vip_member",
+        "marketing_opt_in", "loyalty_points",
+    ], hard_deletes=True)),
+    "rides": (lambda w: w.stg_rides, "ride_id", dict(updated_at="updated_at")),
+    "employees": (lambda w: w.stg_employees, "employee_id", dict(updated_at="updated_at", hard_deletes=True)),
+    "haunted_house_attributes": (lambda w: w.stg_haunted_houses, "haunted_house_id", dict(
+        check_columns=["haunted_house_name", "capacity", "fear_level"])),
+    "product_pricing_history": (lambda w: w.stg_ticket_types, "ticket_type_name", dict(
+        check_columns=["price", "includes_fast_pass", "includes_vip_benefits", "fear_level", "duration_minutes"])),
+    "ticket_sales_history": (lambda w: w.stg_online_sales.unionByName(w.stg_physical_sales), "sale_id", dict(
+        check_columns=["ticket_price", "discount_percent", "payment_method"])),
+    "visitor_feedback_changes": (lambda w: w.stg_haunted_feedback, "feedback_id", dict(
+        check_columns=["satisfaction_rating", "would_recommend"])),
+}
+
+
 class Warehouse:
     """Lazy tables: `Warehouse(...).agg_daily_revenue` is a DataFrame. Ranked tables store blocks in the
     shared folder; nothing else is stored.
@@ -300,17 +320,12 @@ class Warehouse:
 
     def histories(self, folder: str) -> dict[str, History]:
         """Stored histories of the tables that are tracked, below `folder`."""
-        rules = {
-            "customers": ("customer_id", dict(check_columns=["email", "phone", "is_vip_member", "loyalty_points"], hard_deletes=True)),
-            "rides": ("ride_id", dict(updated_at="updated_at")),
-            "employees": ("employee_id", dict(updated_at="updated_at", hard_deletes=True)),
-        }
-        return {name: History(self.spark, f"{folder}/{name}", key, **rule) for name, (key, rule) in rules.items()}
+        return {name: History(self.spark, f"{folder}/{name}", key, **rule) for name, (_, key, rule) in TRACKED.items()}
 
     def take_histories(self, folder: str, as_of) -> None:
         """Bring all histories up to the staged tables."""
         for name, kept in self.histories(folder).items():
-            kept.take(getattr(self, f"stg_{name}"), as_of)
+            kept.take(TRACKED[name][0](self), as_of)
 
     @classmethod
     def names(cls) -> list[str]:
