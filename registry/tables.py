@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 
 from registry.base import AS_OF_EVENTS, avg_of, money, query, table
 from registry.inputs import feed
-from registry.models import calendar_sql, span_sql, stamp, stg_customers, stg_tickets, ticket_sales
+from registry.models import calendar_sql, fct_sales, span_sql, stamp, stg_customers, stg_tickets, ticket_sales
 from tidemark import history, incremental, publish
-from tidemark.functions import count_rows, money_sum
+from tidemark.functions import count_rows, money_sum, ratio
 from tidemark.operators import calendar as cal
 from tidemark.operators.quality import enforce_contract
 from tidemark.plans import demos, staging
 from tidemark.session import fresh_path
 from tidemark.sources.table import Table
-from tidemark.streaming.refresh import RefreshOptions, event_stream, keep_fresh, stream_into
+from tidemark.streaming.refresh import Part, RefreshOptions, event_stream, keep_fresh, stream_into
 
 PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
 NTZ = "timestamp_ntz"
@@ -326,8 +326,9 @@ def refreshed(spark, sf, mode: str):
         F.trunc("ts", "week").alias("week_start"), F.to_date("ts").alias("day"), "event_type",
         F.col("value").cast("decimal(10,2)").alias("amount"),
     )
-    target = new_table(spark, "fresh", "week_start")  # an update rewrites only the weeks it touches
-    measures = {"n": count_rows(), "total": money_sum("amount")}
+    # By day the aggregate is added up in slots; the full mode writes it anew at each trigger.
+    target = new_table(spark, "fresh", "week_start" if mode == "FULL" else "slot")
+    measures = {"n": Part(count_rows()), "total": Part(money_sum("amount"))}
     keep_fresh(rows, ["week_start", "day", "event_type"], measures, target, RefreshOptions("1 minute", mode), fresh_path(spark, "state"), once=True).awaitTermination()
     return target.read().select("day", "event_type", "n", "total")
 
@@ -335,6 +336,29 @@ def refreshed(spark, sf, mode: str):
 query("T16_refresh_incremental", FRESH)(lambda s, d: refreshed(s, d, "INCREMENTAL"))
 query("T16_refresh_full", FRESH)(lambda s, d: refreshed(s, d, "FULL"))
 
+
+@query("demo_27_outlets_kept_fresh", f"""
+SELECT visit_date, category, location, count(*) AS transaction_count, {money('sum(total_amount)')} AS total_revenue,
+  {avg_of('total_amount', None)} AS avg_transaction_value, min(total_amount) AS min_transaction_value,
+  max(total_amount) AS max_transaction_value FROM raw_pos GROUP BY ALL
+""")
+def outlets_kept_fresh(spark, sf):
+    """The same aggregate by outlet, added to file by file."""
+    folder = fresh_path(spark, "feed")
+    fct_sales(spark, sf).select("visit_date", "category", "location", "total_amount").repartition(3, "visit_date").write.parquet(folder)
+    schema = spark.read.parquet(folder).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    target = new_table(spark, "outlets", "slot")
+    measures = {
+        "transaction_count": Part(count_rows()), "total_revenue": Part(money_sum("total_amount")),
+        "min_transaction_value": Part(F.min("total_amount"), F.min), "max_transaction_value": Part(F.max("total_amount"), F.max),
+    }
+    keep_fresh(stream, ["visit_date", "category", "location"], measures, target, RefreshOptions("1 minute"),
+               fresh_path(spark, "state"), once=True, slots=8).awaitTermination()
+    average = ratio(F.col("total_revenue"), F.col("transaction_count")).alias("avg_transaction_value")
+    return target.read().select("visit_date", "category", "location", *measures, average)
+
+
 # === history ===============================================================================
 
 FIRST, SECOND = "2002-01-01 00:00:00", "2002-02-01 00:00:00"

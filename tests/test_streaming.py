@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import count_rows
 from tidemark.sources.table import Table
-from tidemark.streaming.refresh import RefreshOptions, event_day, event_stream, keep_fresh, stream_into
+from tidemark.streaming.refresh import Part, RefreshOptions, add_up, event_day, event_stream, keep_fresh, stream_into
 
 
 @pytest.fixture
@@ -69,3 +69,41 @@ def test_a_watermark_releases_state(spark, path, feed):
     days = target.read().count()
     assert held[-1] < days and held[-1] < max(held)
     assert sum(r.n for r in target.read().collect()) == 180
+
+
+def test_parts_are_added_up_in_slots(spark, path, feed):
+    make, folder = feed
+    target, checkpoint = Table(spark, path(), "slot"), path("state")
+    measures = {"n": Part(count_rows()), "low": Part(F.min("id"), F.min), "high": Part(F.max("id"), F.max)}
+
+    def refresh():
+        stream = event_stream(spark, folder, make(0, 1).schema, "ts", files_per_batch=1).withColumn("day", F.to_date("ts"))
+        keep_fresh(stream, ["day"], measures, target, RefreshOptions("DOWNSTREAM"), checkpoint, once=True, slots=8).awaitTermination()
+
+    refresh()
+    make(60, 100).write.mode("append").parquet(folder)
+    make(10, 20).write.mode("append").parquet(folder)  # late rows still count
+    refresh()
+    rows = make(0, 100).unionByName(make(10, 20))
+    wanted = rows.groupBy(F.to_date("ts").alias("day")).agg(count_rows().alias("n"), F.min("id"), F.max("id"))
+    assert sorted(map(tuple, target.read().select("day", "n", "low", "high").collect())) == sorted(map(tuple, wanted.collect()))
+    with pytest.raises(ValueError):
+        keep_fresh(make(0, 1), ["id"], measures, Table(spark, path()), RefreshOptions("DOWNSTREAM"), checkpoint)
+
+
+def test_a_trigger_rewrites_its_own_slots(spark, path, rows):
+    target, keys = Table(spark, path(), "slot"), {"k": F.col("k"), "g": F.col("g")}
+    parts = {"n": Part(count_rows()), "total": Part(F.sum("v"))}
+    first = spark.range(500).select((F.col("id") % 50).alias("k"), F.when(F.col("id") % 3 != 0, "x").alias("g"), F.col("id").alias("v"))
+    add_up(target, first, keys, parts, 16, ("stream", 0))
+    before, version = target.commit_info()["parts"], target.version()
+    assert len(before) == 16
+    one = rows("k long, g string, v long", (7, None, 5), (7, None, 6))
+    add_up(target, one, keys, parts, 16, ("stream", 1))
+    after = target.commit_info()["parts"]
+    assert sum(before[n] != after[n] for n in after) == 1 and target.version() == version + 1
+    assert add_up(target, one, keys, parts, 16, ("stream", 1)) == version + 1  # a replayed epoch
+    assert add_up(target, one, keys, parts, 16, ("other stream", 0)) == version + 2
+    wanted = first.unionByName(one).unionByName(one).groupBy("k", "g").agg(count_rows().alias("n"), F.sum("v").alias("total"))
+    key = lambda r: (r.k, r.g or "")
+    assert sorted(target.read().select("k", "g", "n", "total").collect(), key=key) == sorted(wanted.collect(), key=key)
