@@ -46,3 +46,16 @@ def test_sliced_arrow_columns_keep_their_place():
     column = pa.array(["a b", None, "c", "d e f"]).slice(2)
     _, bounds = arrays.Words(lower=False).hashes(arrays.Texts(column))
     assert bounds.tolist() == [0, 1, 4]
+
+
+def test_long_words_of_a_bad_build_keep_apart():
+    first, second = mirrored(1024)
+    for lower in (False, True):
+        hashes = arrays.Words(lower).hashes(arrays.Texts(pa.array([first, second, first, "A" * 65, "a" * 65])))[0]
+        assert hashes[0] == hashes[2] != hashes[1] and (hashes[3] == hashes[4]) == lower
+
+
+def mirrored(n):
+    """Two different words whose polynomial hashes modulo 2**64 are equal for any base."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)

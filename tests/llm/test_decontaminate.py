@@ -1,6 +1,7 @@
 import random
 
 import pyarrow as pa
+import pytest
 
 from tidemark.llm import decontaminate
 from tidemark.llm.arrays import Texts
@@ -69,3 +70,13 @@ def test_items_in_groups_and_empty_tables(spark, documents):
     assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(i, i) for i in range(20)]
     assert decontaminate.find(documents([]), bench).collect() == []
     assert decontaminate.find(docs, bench.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "decimal(10,0)"])
+def test_ids_of_any_type(spark, documents, kind):
+    item = "an item with enough letters to be found anywhere"
+    bench = spark.createDataFrame([(3, item), (None, "quite another question, found nowhere else")], "item_id int, text string").selectExpr(f"CAST(item_id AS {kind}) AS item_id", "text")
+    docs = documents([f"a {item} b"]).selectExpr(f"CAST(doc_id AS {kind}) AS doc_id", "text")
+    found = decontaminate.find(docs, bench)
+    assert [(str(r.doc_id), str(r.item_id)) for r in found.collect()] == [("0", "3")]
+    assert dict(found.dtypes)["item_id"] == kind

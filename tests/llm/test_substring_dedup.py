@@ -70,3 +70,12 @@ def test_empty_and_very_long(documents):
     long = " ".join(str(i % 977) for i in range(200_000))
     rows = {r.doc_id: r for r in substring_dedup.dedup(documents([long, long, "short"])).collect()}
     assert (rows[0].n_removed, rows[1].n_removed, rows[1].kept) == (0, 200_000, "")
+
+
+def test_words_that_hash_alike_are_no_repeat(documents):
+    from .test_arrays import mirrored
+
+    first, second = mirrored(1024)
+    around = [f"w{i}" for i in range(30)]
+    texts = [" ".join([*around, w, *reversed(around)]) for w in (first, second, first)]
+    assert result(documents(texts), 50) == brute(list(enumerate(texts)), 50)

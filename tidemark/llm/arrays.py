@@ -3,7 +3,8 @@
 A word is a run of bytes other than the six ASCII white-space bytes. These bytes never occur inside a
 multi-byte UTF-8 character, so words can be cut on bytes. Word hashes are 64-bit polynomial hashes read from
 one running sum, and hashes of n consecutive words are built from them in the same way, so the cost is a few
-passes over the bytes whatever n is.
+passes over the bytes whatever n is. Modulo 2**64 such a hash has equal values for long words of a certain build,
+whatever its base; words beyond LONG bytes are therefore hashed by xxhash.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 from tidemark.llm.shipping import shipped
 
@@ -20,6 +22,7 @@ shipped(__name__)
 
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 CHUNK = 1 << 20  # bytes handled at a time
+LONG = 64  # bytes; words of this build that differ but have equal polynomial hashes have 1024 bytes or more
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -85,6 +88,7 @@ class Words:
         if lower:
             table[65:91] = table[97:123]
         self.table, self.powers = table, Powers(int(constants(seed + 100, 1)[0]))
+        self.lower, self.seed = lower, seed
 
     def hashes(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """(hash of each word, index of the first word of each text and the end)."""
@@ -102,6 +106,9 @@ class Words:
                 run = np.zeros(len(chunk) + 1, np.uint64)
                 np.cumsum(self.table[chunk] * up[:-1], out=run[1:])
                 parts.append(mixed((run[ends] - run[starts]) * down[starts]))
+                for i in np.flatnonzero(ends - starts > LONG):
+                    word = chunk[starts[i] : ends[i]].tobytes()
+                    parts[-1][i] = xxhash.xxh64_intdigest(word.lower() if self.lower else word, self.seed)
                 begins.append(starts + base[0])
                 finishes.append(ends + base[0])
                 at = np.searchsorted(texts.offsets[first + 1 : last + 1], begins[-1], side="right") + first

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.arrays import Texts, code_points, constants, slices
 from tidemark.llm.shipping import shipped
@@ -234,6 +235,7 @@ def find(
     size = texts.agg(F.sum(F.octet_length("item"))).first()[0] or 0
     groups = max(1, -(-size // item_bytes))
     kinds = given.schema["id"].dataType.simpleString(), texts.schema["item_id"].dataType.simpleString()
+    name_type = to_arrow_type(texts.schema["item_id"].dataType)
     result = None
     for group in range(groups):
         own = texts.where(F.pmod(F.xxhash64("item"), F.lit(groups)) == group).orderBy("item_id", "item").collect()
@@ -241,7 +243,7 @@ def find(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             names, items = shared.value[0], Items(shared.value[1], rate)
-            names = pa.array(names, pa.int64() if kinds[1] == "bigint" else None)
+            names = pa.array(names, name_type)
             letters_of = Letters()
             for batch in batches:
                 for piece in slices(batch, 1, 2 << 20):

@@ -167,7 +167,8 @@ def windows(window: int, block: int, parts: int):
     """Map side of the second pass: whole windows around the hits, as 128-bit keys with their document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, runs, more = Words(lower=False), Runs(), Runs(seed=23)
+        words, runs = Words(lower=False), Runs()
+        others, more = Words(lower=False, seed=17), Runs(seed=23)  # the second half of a key shares nothing with the first
         for batch in (piece for whole in batches for piece in slices(whole.filter(whole.column(3).is_valid()), 1, SLICE)):
             docs = Documents(batch, words)
             total = int(docs.bounds[-1])
@@ -184,7 +185,8 @@ def windows(window: int, block: int, parts: int):
             places = np.flatnonzero((np.cumsum(marks[:-1]) > 0) & room)
             if not len(places):
                 continue
-            keys, second = runs.hashes(docs.words, window)[places], more.hashes(docs.words, window)[places]
+            keys = runs.hashes(docs.words, window)[places]
+            second = more.hashes(others.hashes(Texts(docs.batch.column(1)))[0], window)[places]
             owners = docs.ids[docs.owner(places)]
             order = np.argsort(keys, kind="stable")  # places of equal keys stay in the order of ids
             keys, second, places, owners = keys[order], second[order], places[order].astype(np.uint32), owners[order]
