@@ -762,6 +762,8 @@ def catalog(spark, sf) -> Catalog:
             Metric("total_sales", "sum", "total_amount", "sales"),
             Metric("total_items_sold", "sum", "quantity", "sales"),
             Metric("total_transactions", "count_distinct", "transaction_id", "sales"),
+            Metric("active_days", "count_distinct", "visit_date", "visits"),
+            Metric("sales_per_free_visit", "derived", "total_sales / (total_visits - total_visits)", inputs=("total_sales", "total_visits")),
             Metric("average_revenue_per_visit", "derived", "ticket_revenue / nullif(total_visits, 0)",
                    inputs=("ticket_revenue", "total_visits")),
             Metric("average_order_value", "derived", "total_sales / nullif(total_transactions, 0)",
@@ -792,6 +794,15 @@ query("M06_entity_join", f"""
 SELECT loyalty_tier, ticket_type, {MONEY20.format('sum(final_price)')} AS ticket_revenue
 FROM raw_tickets LEFT JOIN dim_customers_q USING (customer_id) WHERE age_group <> '55+' GROUP BY ALL
 """)(lambda s, d: catalog(s, d).query(["ticket_revenue"], ["loyalty_tier", "ticket_type"], where="age_group <> '55+'"))
+query("M06_distinct_through_entity", f"""
+SELECT loyalty_tier, count(DISTINCT visit_date) AS active_days, count(DISTINCT ticket_id) AS total_visits,
+  {MONEY20.format('sum(final_price)')} AS ticket_revenue
+FROM raw_tickets LEFT JOIN dim_customers_q USING (customer_id) WHERE ticket_type <> 'day_pass' GROUP BY ALL
+""")(lambda s, d: catalog(s, d).query(["active_days", "total_visits", "ticket_revenue"], ["loyalty_tier"], where="ticket_type <> 'day_pass'"))
+query("M05_zero_denominator", f"""
+SELECT CAST(date_trunc('year', visit_date) AS DATE) AS metric_time, {MONEY20.format('sum(total_amount)')} AS total_sales,
+  CAST(NULL AS DOUBLE) AS sales_per_free_visit FROM raw_pos GROUP BY ALL
+""")(lambda s, d: catalog(s, d).query(["total_sales", "sales_per_free_visit"], ["metric_time"], grain="year"))
 query("M07_multi_fact", f"""
 WITH v AS (SELECT CAST(date_trunc('quarter', visit_date) AS DATE) AS metric_time, loyalty_tier,
     sum(final_price) AS a, count(DISTINCT ticket_id) AS b

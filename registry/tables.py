@@ -247,6 +247,44 @@ def microbatch_hour(spark, sf):
     return target.read()
 
 
+# A source that changes between two runs: `value` is new, `old` is gone, event_id has become a text.
+def before_change(spark, sf):
+    return event_days(spark, sf).drop("value").withColumn("old", F.lit(1))
+
+
+def after_change(spark, sf):
+    return event_days(spark, sf).withColumn("event_id", F.col("event_id").cast("string"))
+
+
+@query("T11_microbatch_synced_columns", f"""
+SELECT event_id, ts, event_type, CASE WHEN ts >= DATE '2024-01-24' THEN value END AS value, event_date FROM ({EVENT_DAYS})
+""")
+def microbatch_synced(spark, sf):
+    """Days: the table takes the columns of the source; what is not loaded again has none of the new one."""
+    target = new_table(spark, "batches", "event_date")
+    begin, first_end, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 28), dt.datetime(2024, 2, 1)
+    incremental.microbatch(target, before_change(spark, sf), "ts", begin, first_end)
+    incremental.microbatch(target, after_change(spark, sf), "ts", begin, end, look_back=3)
+    return target.read()
+
+
+HOURS_AGAIN = "ts >= (SELECT date_trunc('hour', max(ts)) - INTERVAL 2 HOUR FROM events WHERE ts < TIMESTAMP '2024-01-20 07:00:00')"
+
+
+@query("T11_microbatch_hour_appended_columns", f"""
+SELECT *  REPLACE (CASE WHEN {HOURS_AGAIN} THEN value END AS value), CAST(CASE WHEN NOT {HOURS_AGAIN} THEN 1 END AS INT) AS old
+FROM ({EVENT_DAYS}) WHERE ts < TIMESTAMP '2024-01-20 12:00:00'
+""")
+def microbatch_hour_appended(spark, sf):
+    """Hours: new columns are added, lost ones stay and are empty from then on."""
+    target = new_table(spark, "batches", "event_date")
+    begin, first_end, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 20, 7), dt.datetime(2024, 1, 20, 12)
+    rule = dict(size="hour", on_schema_change="append_new_columns")
+    incremental.microbatch(target, before_change(spark, sf), "ts", begin, first_end, **rule)
+    incremental.microbatch(target, after_change(spark, sf), "ts", begin, end, look_back=2, **rule)
+    return target.read()
+
+
 @query("T11_microbatch_stream", "SELECT event_id, event_type, CAST(ts AS DATE) AS event_date FROM events")
 def microbatch_stream(spark, sf):
     schema = table(spark, sf, "events").schema

@@ -241,3 +241,30 @@ def test_microbatch_sizes(spark, rows, path):
         inc.microbatch(table, hours.withColumn("v", F.lit(1)), "ts", begin, end, look_back=look_back, size=size)
         assert (table.read().count(), table.read().where("v = 1").count()) == (24 * 40, renewed), size
     assert inc.microbatch(Table(spark, path(), "day"), hours, "ts", end, begin) == []
+
+
+@pytest.mark.parametrize("size", ["day", "hour"])
+def test_windows_follow_the_schema_policy(spark, rows, path, size):
+    import datetime as dt
+
+    def source(extra, *data):
+        return rows("k int, at string" + extra, *data).withColumn("at", F.col("at").cast("timestamp_ntz")).withColumn("day", F.to_date("at"))
+
+    begin, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3)
+    first = source(", gone int", (1, "2024-01-01 01:00:00", 5), (2, "2024-01-02 01:00:00", 6))
+    second = source(", extra string", (3, "2024-01-02 02:00:00", "x")).withColumn("k", F.col("k").cast("string"))
+    want = {
+        "sync_all_columns": [(1, None), (3, "x")] if size == "day" else [(1, None), (2, None), (3, "x")],
+        "append_new_columns": [(1, None, 5), (3, "x", None)] if size == "day" else [(1, None, 5), (2, None, 6), (3, "x", None)],
+    }
+    for policy, result in want.items():
+        table = Table(spark, path(), "day")
+        inc.microbatch(table, first, "at", begin, end, size=size, on_schema_change=policy)
+        start = dt.datetime(2024, 1, 2) if size == "day" else dt.datetime(2024, 1, 2, 2)
+        inc.load_window(table, second, "at", start, end, policy)
+        names = ["k", "extra"] + (["gone"] if policy == "append_new_columns" else [])
+        assert sorted(tuple(r[n] for n in names) for r in table.read().collect()) == result
+        assert ("gone" in table.read().columns) == (policy == "append_new_columns")
+        assert dict(table.read().dtypes)["k"] == "int"
+    with pytest.raises(ValueError):
+        inc.load_window(table, second.withColumn("more", F.lit(1)), "at", start, end, "fail")

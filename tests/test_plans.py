@@ -1,6 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from registry.base import QUERIES
 from __spark_entry__ import oracle_sql, queries
@@ -103,3 +104,20 @@ def test_metrics_are_added_up_before_dimensions_are_joined(spark, small):
 def test_no_plan_pairs_all_rows(spark, small, name):
     text = plan(QUERIES[name](spark, small))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_distinct_counts_meet_dimensions_after_the_fact_is_reduced(spark, rows):
+    from tidemark.metrics import Catalog, Metric, SemanticModel
+
+    visits = spark.range(1000).select((F.col("id") % 10).alias("who"), F.col("id").alias("visit"), (F.col("id") % 3).alias("ride"), F.lit(2).alias("paid"))
+    people = spark.range(10).select("id", F.when(F.col("id") % 2 == 0, "even").alias("kind"))
+    catalog = Catalog(
+        [SemanticModel("visits", visits, {"visit": "visit"}, {"person": "who"}), SemanticModel("people", people, {"person": "id"}, {}, ("kind",))],
+        [Metric("rides", "count_distinct", "ride", "visits"), Metric("paid", "sum", "paid", "visits"),
+         Metric("share", "derived", "paid / (rides - rides) + paid / rides", inputs=("paid", "rides"))],
+    )
+    result = catalog.query(["rides", "paid", "share"], ["kind"])
+    assert sorted(map(tuple, result.collect()), key=str) == [("even", 3, 1000, None), (None, 3, 1000, None)]
+    plan = catalog.query(["rides"], ["kind"])._jdf.queryExecution().optimizedPlan().toString()
+    fact = plan[plan.index("Join LeftOuter"):].splitlines()[1]
+    assert "Aggregate" in fact, plan

@@ -158,3 +158,9 @@ def test_parameters():
     with pytest.raises(ValueError):
         with_defaults({"look_back": 1})
     assert projection.feature_flag({"x": "True"}, "x") and not projection.feature_flag({}, "x")
+
+
+def test_no_checks_give_an_empty_report(rows):
+    report = q.run_checks(rows("a int", (1,)), [])
+    assert report.columns == ["check_name", "failures", "status"] and report.collect() == []
+    q.enforce(report)

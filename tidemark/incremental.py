@@ -82,11 +82,12 @@ def month_window(source: DataFrame, column: str, as_of=None, months_back: int =
 
 
 def evolve(current: StructType, incoming: StructType, policy: str) -> StructType:
-    """The target schema after a batch arrives."""
+    """The target schema after a batch arrives. A column keeps the type it was first stored with."""
     if policy not in SCHEMA_POLICIES:
         raise ValueError(f"schema policy must be one of {', '.join(SCHEMA_POLICIES)}, not {policy}")
     if policy == "sync_all_columns":
-        return incoming
+        known = {f.name: f for f in current}
+        return StructType([known.get(f.name, f) for f in incoming])
     new = [f for f in incoming if f.name not in current.fieldNames()]
     if new and policy == "fail":
         raise ValueError(f"new columns in the batch: {[f.name for f in new]}")
@@ -250,12 +251,14 @@ def batch_windows(begin: dt.datetime, end: dt.datetime, size: str = "day") -> It
         start = stop
 
 
-def load_window(table: Table, source: DataFrame, ts: str, start: dt.datetime, stop: dt.datetime) -> int:
+def load_window(
+    table: Table, source: DataFrame, ts: str, start: dt.datetime, stop: dt.datetime, on_schema_change: str = "sync_all_columns"
+) -> int:
     """Replace what the table holds of [start, stop) by what the source holds now; safe to repeat.
 
     The table is partitioned by day. Whole days are replaced as they are; of a day that the window cuts, the stored
     rows outside of it are written again. Consecutive windows may share one call: a backfill of many days is one
-    Spark job.
+    Spark job. Columns that the source gained, lost or changed in type go by the policy, whatever the window.
     """
     rows = event_window(source, ts, start, stop)
     if not table.exists():
@@ -263,12 +266,14 @@ def load_window(table: Table, source: DataFrame, ts: str, start: dt.datetime, st
     base, first = table.version(), start.date()
     last = (stop - dt.timedelta(microseconds=1)).date()
     days = [table.partition_name(first + dt.timedelta(days=i)) for i in range((last - first).days + 1)]
+    schema = _evolved(table, rows, on_schema_change)
+    rows = _conform(rows, schema)
     if start.time() == dt.time() and stop.time() == dt.time():
-        return table.replace_partitions(rows, replaced=days)
-    stored = table.read(only=set(days) & set(table.partitions()))
+        return table.publish(table.stage(rows), replaced=days, base=base)
+    stored = _conform(table.read(only=set(days) & set(table.partitions())), schema)
     low, high = (F.lit(str(t)).cast(stored.schema[ts].dataType) for t in (start, stop))
     outside = stored.where((F.col(ts) < low) | (F.col(ts) >= high))
-    return table.publish(table.stage(outside.unionByName(align(rows, table.schema()))), replaced=days, base=base)
+    return table.publish(table.stage(outside.unionByName(rows)), replaced=days, base=base)
 
 
 def floor_of(moment: dt.datetime, size: str) -> dt.datetime:
@@ -292,7 +297,8 @@ def batches_before(start: dt.datetime, n: int, size: str) -> dt.datetime:
 
 
 def microbatch(
-    table: Table, source: DataFrame, ts: str, begin: dt.datetime, end: dt.datetime, look_back: int = 0, size: str = "day"
+    table: Table, source: DataFrame, ts: str, begin: dt.datetime, end: dt.datetime, look_back: int = 0, size: str = "day",
+    on_schema_change: str = "sync_all_columns",
 ) -> list[tuple[dt.datetime, dt.datetime]]:
     """Load every window from `begin`, or from `look_back` batches before the last one that has rows.
 
@@ -303,12 +309,12 @@ def microbatch(
     if mark is None:
         windows = list(batch_windows(begin, end, size))
         if windows:
-            load_window(table, source, ts, windows[0][0], windows[-1][1])
+            load_window(table, source, ts, windows[0][0], windows[-1][1], on_schema_change)
         return windows
     reached = floor_of(dt.datetime.fromisoformat(mark), size)
     windows = list(batch_windows(max(begin, batches_before(reached, look_back, size)), end, size))
     for lo, hi in windows:
-        load_window(table, source, ts, lo, hi)
+        load_window(table, source, ts, lo, hi, on_schema_change)
     return windows
 
 

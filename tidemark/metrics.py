@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import full_outer_same, with_totals
 
+# What stands behind a division sign: a name, a number, a call or a bracket without brackets inside.
+DIVISOR = re.compile(r"/\s*(\w+(?:\.\d+)?(?:\([^()]*\))?|\([^()]*\))")
 GRAINS = ("day", "week", "month", "quarter", "year")
 
 
@@ -81,7 +83,7 @@ class Catalog:
         return found
 
     def _derived(self, rows: DataFrame, names: list[str]) -> DataFrame:
-        """Add derived metrics, inputs first. Inputs enter as doubles, so counts divide exactly."""
+        """Add derived metrics, inputs first. Inputs enter as doubles, so counts divide exactly; a quotient by zero is NULL."""
         for name in names:
             metric = self.metrics[name]
             if metric.agg != "derived":
@@ -91,7 +93,7 @@ class Catalog:
             text = metric.expr
             for i in sorted(metric.inputs, key=len, reverse=True):
                 text = re.sub(rf"\b{i}\b", f"{i}__in", text)
-            rows = doubles.withColumn(name, F.expr(text)).drop(*[f"{i}__in" for i in metric.inputs])
+            rows = doubles.withColumn(name, F.expr(DIVISOR.sub(r"/ nullif(\1, 0)", text))).drop(*[f"{i}__in" for i in metric.inputs])
         return rows
 
     def _aggregate(
@@ -113,19 +115,31 @@ class Catalog:
             rows = rows.where(where) if where else rows
             return rows.groupBy(*group_by).agg(*[_measure(m).alias(m.name) for m in metrics])
         plan = self._parents(model, fetched)
-        if all(_adds_up(m, model) for m in metrics):
-            # What the fact has is added up for each foreign key first: dimensions meet one row for each key and group.
-            keys = [key for key, _, _, _ in plan]
-            kept = [c for c in dict.fromkeys([*group_by, *used]) if c in own or c == "metric_time"]
-            kinds = dict(rows.agg(*[_measure(m).alias(m.name) for m in metrics]).dtypes)
-            rows = rows.groupBy(*dict.fromkeys([*kept, *keys])).agg(*[_measure(m).alias(m.name) for m in metrics])
-            measures = [F.sum(m.name).cast(kinds[m.name]).alias(m.name) for m in metrics]
-        else:
-            measures = [_measure(m).alias(m.name) for m in metrics]
-        for key, parent, entity, columns in plan:
-            dims = parent.df.select(F.col(parent.primary[entity]).alias("_entity"), *columns)
-            rows = rows.join(dims, F.col(key) == F.col("_entity"), "left").drop("_entity")
-        return (rows.where(where) if where else rows).groupBy(*group_by).agg(*measures)
+        kept = [c for c in dict.fromkeys([*group_by, *used]) if c in own or c == "metric_time"]
+        keys = list(dict.fromkeys([*kept, *(key for key, _, _, _ in plan)]))
+
+        def rolled_up(reduced: DataFrame, measures: list[Column]) -> DataFrame:
+            for key, parent, entity, columns in plan:
+                dims = parent.df.select(F.col(parent.primary[entity]).alias("_entity"), *columns)
+                reduced = reduced.join(dims, F.col(key) == F.col("_entity"), "left").drop("_entity")
+            return (reduced.where(where) if where else reduced).groupBy(*group_by).agg(*measures)
+
+        # A fact is reduced before dimensions meet it: what adds up to one row for each foreign key, a distinct count to
+        # one for each foreign key and value. Exact, whatever the type of the values; a bitmap for each key would hold
+        # 4 KB even for a single value.
+        parts = []
+        if adding := [m for m in metrics if _adds_up(m, model)]:
+            kinds = dict(rows.agg(*[_measure(m).alias(m.name) for m in adding]).dtypes)
+            reduced = rows.groupBy(*keys).agg(*[_measure(m).alias(m.name) for m in adding])
+            parts.append(rolled_up(reduced, [F.sum(m.name).cast(kinds[m.name]).alias(m.name) for m in adding]))
+        for m in metrics:
+            if m not in adding:
+                values = rows.select(*keys, F.expr(m.expr).alias("_value")).distinct()
+                parts.append(rolled_up(values, [F.count_distinct("_value").alias(m.name)]))
+        result = parts[0]
+        for part in parts[1:]:
+            result = full_outer_same(result, part, group_by) if group_by else with_totals(result, part)
+        return result
 
     def _dimensions(self) -> list[str]:
         return list(dict.fromkeys(d for m in self.models.values() for d in (*m.dimensions, *m.times)))

@@ -181,6 +181,8 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     for check in checks:
         if check.rows is not None:
             results.append(entry(check, check.findings(df).agg(F.count(F.lit(1)).alias("failures"))))
+    if not results:
+        return df.sparkSession.createDataFrame([], "check_name string, failures long, status string")
     report = results[0]
     for more in results[1:]:
         report = report.unionByName(more)
