@@ -164,3 +164,29 @@ def test_no_checks_give_an_empty_report(rows):
     report = q.run_checks(rows("a int", (1,)), [])
     assert report.columns == ["check_name", "failures", "status"] and report.collect() == []
     q.enforce(report)
+
+
+def test_row_rules_are_audited_by_the_write_itself(spark, rows, path, monkeypatch):
+    table, jobs = Table(spark, path()), spark.sparkContext.statusTracker()
+    rules = lambda df: [
+        Check("positive", breaks=F.col("v") <= 0, where="k <> 'skip'", warn_if=1, error_if=2),
+        Check("there", breaks=q.breaks_not_null("v")),
+    ]
+    monkeypatch.setattr(publish, "run_checks", lambda *a: pytest.fail("the candidate was read again"))
+    schema = "k string, v int"
+    spark.sparkContext.setJobGroup("audit", "audit")
+    publish.write_audit_publish(table, rows(schema, ("a", 1), ("skip", -1)), rules)
+    assert len(jobs.getJobIdsForGroup("audit")) == 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    with pytest.warns(UserWarning, match="positive"):
+        publish.write_audit_publish(table, rows(schema, ("a", 1), ("b", 0)), rules)
+    for bad in ([("a", 0), ("b", 0)], [("a", None)]):
+        with pytest.raises(q.QualityError):
+            publish.write_audit_publish(table, rows(schema, *bad), rules)
+    assert table.version() == 2 and table.read().count() == 2
+    publish.write_audit_publish(table, rows(schema, ("a", 1)).limit(0), rules)
+    assert table.read().count() == 0
+    monkeypatch.undo()
+    grouped = lambda df: [*rules(df), Check("once", rows=q.unique(df, "k"))]
+    with pytest.raises(q.QualityError, match="once"):
+        publish.write_audit_publish(table, rows(schema, ("a", 1), ("a", 2)), grouped)

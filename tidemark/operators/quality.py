@@ -145,15 +145,27 @@ class Check:
         return found if self.where is None else found.where(self.where)
 
 
+REPORT_SCHEMA = "check_name string, failures long, status string"
+
+
+def findings_of(check: Check) -> Column:
+    """The number of rows that break a row rule, as an aggregate."""
+    scope = F.lit(True) if check.where is None else F.expr(check.where)
+    return F.count_if(scope & check.breaks)
+
+
+def outcome(check: Check, failures: int) -> str:
+    """What a number of findings means."""
+    if check.severity == "error" and failures >= check.error_if:
+        return "error"
+    return "warn" if failures >= check.warn_if else "pass"
+
+
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """(check_name, failures, status) for every check.
 
     All row rules of the table are counted in one pass over it; grouped rules bring their own.
     """
-    def counted(check: Check) -> Column:
-        scope = F.lit(True) if check.where is None else F.expr(check.where)
-        return F.count_if(scope & check.breaks)
-
     def status(check: Check) -> Column:
         n = F.col("failures")
         bad = F.when(n >= check.error_if, F.lit("error")) if check.severity == "error" else F.when(F.lit(False), F.lit(""))
@@ -168,7 +180,7 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     row_checks = [c for c in checks if c.breaks is not None]
     results = []
     if row_checks:
-        one_row = df.agg(*[counted(c).alias(f"n{i}") for i, c in enumerate(row_checks)])
+        one_row = df.agg(*[findings_of(c).alias(f"n{i}") for i, c in enumerate(row_checks)])
         entries = [
             F.struct(F.lit(c.name).alias("check_name"), F.col(f"n{i}").alias("failures"), F.lit(i).alias("_i"))
             for i, c in enumerate(row_checks)
@@ -182,7 +194,7 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
         if check.rows is not None:
             results.append(entry(check, check.findings(df).agg(F.count(F.lit(1)).alias("failures"))))
     if not results:
-        return df.sparkSession.createDataFrame([], "check_name string, failures long, status string")
+        return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
     report = results[0]
     for more in results[1:]:
         report = report.unionByName(more)
@@ -195,11 +207,15 @@ def store_failures(findings: DataFrame, path: str) -> None:
 
 def enforce(report: DataFrame) -> None:
     """Raise on errors, warn on warnings. The report has one row per check."""
-    bad = report.where(F.col("status") != "pass").collect()
-    errors = [f"{r.check_name}: {r.failures}" for r in bad if r.status == "error"]
-    for row in bad:
-        if row.status == "warn":
-            warnings.warn(f"{row.check_name}: {row.failures} findings", stacklevel=2)
+    judge([tuple(r) for r in report.where(F.col("status") != "pass").select("check_name", "failures", "status").collect()])
+
+
+def judge(report: list[tuple[str, int, str]]) -> None:
+    """`enforce` for rows (check_name, failures, status) that are at hand."""
+    errors = [f"{name}: {n}" for name, n, status in report if status == "error"]
+    for name, n, status in report:
+        if status == "warn":
+            warnings.warn(f"{name}: {n} findings", stacklevel=3)
     if errors:
         raise QualityError("; ".join(errors))
 

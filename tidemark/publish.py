@@ -10,22 +10,31 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import seconds_between
-from tidemark.operators.quality import Check, enforce, run_checks
+from tidemark.operators.quality import Check, enforce, findings_of, judge, outcome, run_checks
 from tidemark.sources.table import Table
 
 
 def write_audit_publish(table: Table, df: DataFrame, checks: Callable[[DataFrame], list[Check]]) -> int:
     """Write a candidate, test what was written, and only then make it visible. A refused candidate is deleted.
 
-    The former version stays available to `Table.restore`.
+    Findings of row rules are counted by the write itself; only rules that group or join, or store their findings,
+    read the candidate again. The former version stays available to `Table.restore`.
     """
     base = table.version()
-    staged = table.stage(df)
-    candidate = staged.read()
+    by_row = {i: c for i, c in enumerate(checks(df)) if c.breaks is not None and c.store is None}
+    seen = Observation()
+    counted = [findings_of(c).alias(f"n{i}") for i, c in by_row.items()]
+    staged = table.stage(df.observe(seen, *counted) if counted else df)
     try:
-        rules = checks(candidate)
-        if rules:
-            enforce(run_checks(candidate, rules))
+        report = []
+        if counted:
+            counts = seen.get
+            report = [(c.name, n, outcome(c, n)) for i, c in by_row.items() for n in [counts.get(f"n{i}", 0)]]
+        candidate = staged.read()
+        rest = [c for i, c in enumerate(checks(candidate)) if i not in by_row]
+        judge(report)
+        if rest:
+            enforce(run_checks(candidate, rest))
     except Exception:
         staged.discard()
         raise
