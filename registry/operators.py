@@ -716,6 +716,27 @@ query("U03_differing_rows", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 3 THEN 'only_a' ELSE 'changed' END AS status FROM orders WHERE o_orderkey % 10 IN (3, 4)
 """)(lambda s, d: compare.differing_rows(table(s, d, "orders"), changed_orders(s, d), ["o_orderkey"]))
 
+
+def corrected_orders(spark, sf):
+    """The orders after a small correction: few keys differ."""
+    status = F.when(F.col("o_orderkey") % 501 == 4, "X").otherwise(F.col("o_orderstatus"))
+    return table(spark, sf, "orders").where("o_orderkey % 500 <> 3").withColumn("o_orderstatus", status)
+
+
+query("U03_compare_by_key", """
+WITH b AS (SELECT * REPLACE (CASE WHEN o_orderkey % 501 = 4 THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM orders WHERE o_orderkey % 500 <> 3),
+r AS (SELECT in_a, in_b, count(*) AS count FROM (
+  SELECT true AS in_a, true AS in_b, t.* FROM (FROM orders INTERSECT FROM b) t
+  UNION ALL SELECT true, false, t.* FROM (FROM orders EXCEPT FROM b) t
+  UNION ALL SELECT false, true, t.* FROM (FROM b EXCEPT FROM orders) t) GROUP BY ALL)
+""" + f"SELECT *, {rd('count * 100', '(SELECT sum(count) FROM r)')} AS percent_of_total FROM r")(
+    lambda s, d: compare.compare_relations(table(s, d, "orders"), corrected_orders(s, d), key=["o_orderkey"])
+)
+query("U03_differing_by_digest", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 500 = 3 THEN 'only_a' ELSE 'changed' END AS status FROM orders
+WHERE o_orderkey % 500 = 3 OR (o_orderkey % 501 = 4 AND o_orderstatus <> 'X')
+""")(lambda s, d: compare.differing_rows(table(s, d, "orders"), corrected_orders(s, d), ["o_orderkey"], buckets=compare.BUCKETS))
+
 # === physical layout =======================================================================
 
 
