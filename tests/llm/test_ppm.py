@@ -15,121 +15,115 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-class Spelling:
-    """The trie of bytes with explicit exclusion sets."""
-
-    def __init__(self, words):
-        self.nodes = defaultdict(Counter)
-        for word in words:
-            context = [32]
-            for x in self.symbols(word):
-                for k in range(min(ppm.DEPTH, len(context)) + 1):
-                    self.nodes[tuple(context[len(context) - k :])][x] += 1
-                context.append(x)
-
-    def symbols(self, word):
-        return [10] if word is None else [*word.encode(), 32]
-
-    def chances(self, context):
-        """Probability of every byte after the context."""
-        out, excluded, escape = {}, set(), 1.0
-        for k in range(min(ppm.DEPTH, len(context)), -1, -1):
-            node = self.nodes.get(tuple(context[len(context) - k :]))
-            if not node:
-                continue
-            left = {x: c for x, c in node.items() if x not in excluded}
-            total = sum(left.values())
-            for x, c in left.items():
-                out[x] = escape * (2 * c - 1) / (2 * total)
-            if left:
-                escape *= len(left) / (2 * total)
-            excluded |= set(node)
-        return out, escape / max(ppm.SYMBOLS - len(excluded), 1)
-
-    def probability(self, word):
-        context, p = [32], 1.0
-        for x in self.symbols(word):
-            known, other = self.chances(context)
-            p *= known.get(x, other)
-            context.append(x)
-        return p
-
-
-def discounted(c, counts):
-    total = sum(counts.values())
-    if not counts:
-        return 0.0, 1.0
-    d = min(max(sum(n == 1 for n in counts.values()), 0.5) / len(counts), 0.9)
-    return max(c - d, 0) / total, d * len(counts) / total
-
-
-def brute(rows, mixture):
-    """rows (id, text, train) -> {id: (n_tokens, n_known, train_tokens, base, score)}"""
-    tokens = [[*WORD.findall((t or "").translate(LOWER)), None] for _, t, _ in rows]
-    words = sorted({w for ws in tokens for w in ws if w})
-    key = dict(zip(words, Words(True).hashes(Texts(pa.array(words, pa.string())))[0].tolist()))
-    fits = {int(k): mixture.table[i] for i, k in enumerate(mixture.keys)}
-    group = [
-        int(np.argmax(np.log(mixture.shares) + sum((fits[key[w]] for w in ws if w and key[w] in fits), np.zeros(len(mixture.shares)))))
-        for ws in tokens
-    ]
-    counts = [Counter() for _ in mixture.shares]
-    for (_, _, train), ws, z in zip(rows, tokens, group):
-        if train:
-            counts[z].update(ws)
-    corpus = sum(counts, Counter())
-    total, distinct = sum(corpus.values()), len(corpus)
-    spelling = Spelling(corpus)
-    spelled = sum(spelling.probability(w) for w in corpus)
-
-    def whole(w):
-        own, escape = discounted(corpus[w], corpus)
-        return own if corpus[w] else escape * spelling.probability(w) / max(1 - spelled, 1e-9)
-
-    out = {}
-    for (i, _, _), ws in zip(rows, tokens):
-        many, fits_ = Counter(ws), []
-        for z, share in enumerate(mixture.shares):
-            fit = math.log(share) + math.lgamma(ppm.WEIGHT) - math.lgamma(ppm.WEIGHT + len(ws))
-            for w, n in many.items():
-                own, escape = discounted(counts[z][w], counts[z])
-                p = ppm.WEIGHT * (own + escape * whole(w))
-                fit += math.lgamma(p + n) - math.lgamma(p)
-            fits_.append(fit)
-        best = max(fits_)
-        base = sum(math.log10((corpus[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in ws)
-        score = (best + math.log(sum(math.exp(f - best) for f in fits_))) / math.log(10)
-        out[i] = (len(ws), sum(corpus[w] > 0 for w in ws), total, base, score)
-    return out
-
-
-@pytest.mark.parametrize(("seed", "classes"), [(0, 1), (1, 3)])
-def test_equals_brute_force(spark, with_clashes, seed, classes):
+def words_of(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def symbols(text):
+    return [x for w in words_of(text) for x in [*w.encode(), 32]] + [10]
+
+
+class Trie:
+    """Contexts as tuples of bytes, with escapes and exclusion sets made explicit."""
+
+    def __init__(self, texts):
+        self.nodes = [defaultdict(Counter) for _ in range(ppm.DEPTH + 1)]
+        for text in texts:
+            context = (32,) * ppm.DEPTH
+            for x in symbols(text):
+                self.nodes[ppm.DEPTH][context][x] += 1
+                context = (*context, x)[1:]
+        for k in range(ppm.DEPTH, 0, -1):  # a shorter context counts a byte once for each longer one
+            for context, seen in self.nodes[k].items():
+                self.nodes[k - 1][context[1:]].update(list(seen))
+        self.taken = []
+        for nodes in self.nodes:
+            counts = Counter(n for seen in nodes.values() for n in seen.values())
+            n = [max(counts[i], 1) for i in (1, 2, 3, 4)]
+            y = n[0] / (n[0] + 2 * n[1])
+            free = [1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1], 3 - 4 * y * n[3] / n[2]]
+            self.taken.append([min(max(d, ppm.MARGIN), i + 1 - ppm.MARGIN) for i, d in enumerate(free)])
+
+    def chances(self, context, k=ppm.DEPTH):
+        """Probability of every symbol after the context."""
+        if k < 0:
+            return dict.fromkeys(ALPHABET, 1 / ppm.SYMBOLS)
+        lower = self.chances(context[1:], k - 1)
+        seen = self.nodes[k].get(context)
+        if not seen:
+            return lower
+        total = sum(seen.values())
+        off = {x: self.taken[k][min(n, 3) - 1] for x, n in seen.items()}
+        free, inherited = sum(off.values()) / total, sum(lower[x] for x in seen)
+        escape = free * (1 - inherited)
+        out = {x: (n - off[x]) / total + free * lower[x] for x, n in seen.items()}
+        for x in lower.keys() - out.keys():  # the seen ones are excluded from what the shorter context predicts
+            out[x] = escape * lower[x] / (1 - inherited)
+        return out
+
+    def score(self, text):
+        context, out = (32,) * ppm.DEPTH, 0.0
+        for x in symbols(text):
+            out += math.log10(self.chances(context)[x])
+            context = (*context, x)[1:]
+        return out
+
+
+ALPHABET = [x for x in range(256) if x not in (9, 11, 12, 13)]
+
+
+def corpus(seed):
     draw = random.Random(seed)
-    pools = [["the", "of", "cat", "Running", "naïve", "a" * 40, "x.y"], ["der", "die", "und", "Straße", "gehen", "漢字"]]
+    pools = [["the", "of", "cat", "Running", "naïve", "a" * 40, "x.y", "\x00"], ["der", "die", "und", "Straße", "gehen", "漢字"]]
     texts = [None, "", "  ", "the", "THE the unseen", "unseen straßen " * 30]
     for _ in range(40):
         pool = draw.choice(pools)
         texts.append(draw.choice([" ", "\n"]).join(draw.choice(pool) + draw.choice(["", "", "s", "ing"]) for _ in range(draw.randrange(30))))
-    docs = with_clashes(texts)
-    train = F.col("doc_id") % 3 != 1
-    given = docs.select(F.col("doc_id").alias("id"), "text", train.alias("train"))
-    mixture = ppm.fitted(given, classes)
-    want = brute([(i, t, i % 3 != 1) for i, t in enumerate(texts)], mixture)
-    rows = ppm.scored(docs, train, classes=classes).collect()
-    assert len(rows) == len(texts)
-    for r in rows:
-        assert (r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:3]
-        assert r.base_score == pytest.approx(want[r.doc_id][3], rel=1e-9)
-        assert r.score == pytest.approx(want[r.doc_id][4], rel=1e-9)
-
-
-def test_spelling_gives_one_to_all_bytes():
-    spelling = Spelling(["abc", "abd", "b", None, "abcabc"])
-    for context in ([32], [32, 97], [32, 97, 98], [32, 97, 98, 99, 97, 98, 99]):
-        known, other = spelling.chances(context)
-        seen = set().union(*(spelling.nodes.get(tuple(context[len(context) - k :]), ()) for k in range(min(6, len(context)) + 1)))
-        assert sum(known.values()) + other * (ppm.SYMBOLS - len(seen)) == pytest.approx(1)
+    return texts
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_equals_brute_force(spark, with_clashes, seed):
+    texts = corpus(seed)
+    trains = [t for i, t in enumerate(texts) if i % 3 != 1]
+    tokens = Counter(w for t in trains for w in [*words_of(t), None])
+    total, distinct, trie = sum(tokens.values()), len(tokens), Trie(trains)
+    found = ppm.scored(with_clashes(texts), F.col("doc_id") % 3 != 1).collect()
+    assert sorted(r.doc_id for r in found) == list(range(len(texts)))
+    for r in found:
+        own = [*words_of(texts[r.doc_id]), None]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(tokens[w] > 0 for w in own), total)
+        assert r.base_score == pytest.approx(sum(math.log10((tokens[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in own), rel=1e-9)
+        assert r.score == pytest.approx(trie.score(texts[r.doc_id]), rel=1e-5)
+
+
+def test_all_bytes_after_a_context_sum_to_one():
+    trie = Trie(corpus(2))
+    for text in ("", "the", "the ca", "die unge", "漢"):
+        context = ((32,) * ppm.DEPTH + tuple(text.encode()))[-ppm.DEPTH :]
+        assert sum(trie.chances(context).values()) == pytest.approx(1)
+    assert len(ALPHABET) == ppm.SYMBOLS
+
+
+def test_runs_hold_the_bytes_before():
+    texts = ["Ab c", None, "é"]
+    codes, sizes, _, _ = ppm.predicted(Texts(pa.array(texts, pa.string())), Words(True))
+    assert sizes.tolist() == [len(symbols(t)) for t in texts]
+    want = []
+    for text in texts:
+        stream = [32] * ppm.DEPTH + symbols(text)
+        want += [bytes([0, *stream[i - ppm.DEPTH : i][::-1], stream[i]]) for i in range(ppm.DEPTH, len(stream))]
+    assert [int(c).to_bytes(8, "big") for c in codes] == want
+
+
+def test_order_of_words_matters(documents):
+    draw = random.Random(5)
+    line = "one two three four five six seven eight nine ten".split()
+    texts = [" ".join(line)] * 20 + [" ".join(draw.sample(line, len(line))) for _ in range(5)]
+    docs = documents(texts)
+    by_id = {r.doc_id: r for r in ppm.scored(docs, F.col("doc_id") < 19).collect()}
+    assert all(by_id[19].score > by_id[i].score + 3 for i in range(20, 25) if texts[i] != texts[0])
+    assert all(by_id[19].base_score == pytest.approx(by_id[i].base_score) for i in range(20, 25))
 
 
 def test_repeated_null_and_untrained_rows(documents):
@@ -137,11 +131,26 @@ def test_repeated_null_and_untrained_rows(documents):
     rows = sorted((r.doc_id, r.n_known, r.train_tokens, r.score) for r in ppm.scored(docs, F.lit(True)).collect())
     assert [r[:3] for r in rows] == [(1, 3, 10), (1, 3, 10), (2, 2, 10)] and rows[0] == rows[1]
     untrained = ppm.scored(docs, F.lit(None).cast("boolean")).collect()
-    assert {(r.n_known, r.train_tokens) for r in untrained} == {(0, 0)} and all(math.isfinite(r.score) for r in untrained)
+    assert {(r.n_known, r.train_tokens) for r in untrained} == {(0, 0)}
+    assert sorted(r.score for r in untrained) == pytest.approx([-math.log10(ppm.SYMBOLS) * n for n in (5, 5, 3)], rel=1e-5)
     assert ppm.scored(documents([]), F.lit(True)).collect() == []
 
 
-def test_rising_factorial():
-    base, n = np.array([0.001, 0.5, 3.0, 7000.0]), np.array([1, 9, 50, 4000])
-    want = [math.lgamma(b + m) - math.lgamma(b) for b, m in zip(base, n)]
-    assert ppm.rising(base, n) == pytest.approx(want, rel=1e-10)
+def test_very_long_texts_and_words(documents):
+    texts = ["ab" * 300_000, "word " * 100_000, "ab word"]
+    by_id = {r.doc_id: r for r in ppm.scored(documents(texts), F.col("doc_id") < 2).collect()}
+    assert (by_id[0].n_tokens, by_id[1].n_tokens, by_id[2].n_known) == (2, 100_001, 2)
+    assert all(math.isfinite(r.score) for r in by_id.values())
+
+
+def test_parts_added_up_equal_the_whole(monkeypatch):
+    monkeypatch.setattr(ppm, "PENDING", 10)
+    draw = np.random.default_rng(0)
+    parts = [(np.unique(draw.integers(0, 99, 30).astype(np.uint64)), None) for _ in range(20)]
+    parts = [(k, draw.integers(0, 9, len(k))) for k, _ in parts]
+    keys, counts = ppm.added(iter(parts))
+    want = Counter()
+    for k, c in parts:
+        for x, n in zip(k.tolist(), c.tolist()):
+            want[x] += n
+    assert dict(zip(keys.tolist(), counts.tolist())) == dict(want) and keys.tolist() == sorted(want)

@@ -1,35 +1,40 @@
 """Language-model scores by prediction by partial matching over bytes.
 
-The model predicts a text token by token: a word with the white space that ends it, or the end of the text. Whole
-tokens are predicted from three contexts in turn: the text so far (adaptive: a token's count there, against a fixed
-weight for the escape), the training texts of its class, and all training texts. The two pretrained ones discount
-their counts; the discounts make up the escape, which is the share of tokens seen once. Classes are those of a
-small mixture of word distributions (in a corpus of several languages, the languages); a text's probability is the
-sum over its possible classes. A token that training has not seen is spelled: each byte is predicted from the up to six bytes
-before it in the token, its start included, and a byte that a context has not seen escapes to the context one byte
-shorter, where the bytes that the longer one has seen are excluded. Estimates there are those of method D, (2 c - 1) /
-2 T for a byte and distinct / 2 T for the escape. Counts of the shorter contexts are updated by new paths only, as is
-usual (update exclusion): every distinct word counts once. The seen paths are excluded from spelling, by dividing by
-what the spelling would give to all others.
-
-A token's probability depends on the token alone, so it is worked out once for each distinct word, and a byte's once
-for each distinct run of seven bytes. Words are dealt by hash, runs by the three bytes before the predicted one: all
-contexts of three bytes or more that predict it are then in one place. The tables of shorter contexts hold at most
-256^3 counts whatever the corpus, and are shipped. Nothing else is.
+A text is read as its words in lower case, a space behind each, and one end. Every byte of it is predicted from the up
+to six bytes before it, across word borders; six spaces stand before the first. All training texts are counted, byte by
+byte, in the trie of these contexts, so the order of words matters, and words that training has not seen are spelled by
+the same trie.
+
+Counts. The longest contexts count occurrences. A shorter context counts a byte once for each longer context that it
+followed (update exclusion: longer contexts that know the byte do not pass its repetitions on).
+
+Escapes. A context with T counts takes a discount d from each byte it has seen; d depends on the order and on whether
+the count is 1, 2 or more, and is estimated from the numbers of counts 1 to 4 in the whole trie (`discounts`). The mass
+L / T that this frees is shared by what the next shorter context q predicts: a seen byte inherits L / T q(byte), and the
+escape is L / T (1 - sum of q over the seen bytes). After an escape the seen bytes are excluded, that is, the others
+keep their shares of q, divided by 1 - sum of q over the seen bytes. The two sums cancel, so an unseen byte has
+probability L / T q(byte), and the trie is evaluated from the shortest context up without holding exclusion sets.
+Without any context all SYMBOLS are alike. The probabilities of all bytes after a context sum to 1.
+
+In Spark. A byte's probability depends on the run of seven bytes that it ends, so a slice of texts is reduced to its
+distinct runs with training counts. Runs are dealt by the NEAR bytes before the predicted one: all contexts of three
+bytes or more that predict it meet in one bucket. Shorter contexts hold at most 256^3 counts whatever the corpus, and
+are shipped. A bucket prices its runs and answers each slice; a text's score is the sum over its bytes. Texts meet
+nothing but the answers to their slice. A bucket keeps the runs that slices sent compressed, and adds them up a part
+at a time, so its memory follows the distinct runs.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import Texts, Words, mixed, pack, scaled, slices, steps, unpack
+from tidemark.llm.arrays import Texts, Words, mixed, pack, scaled, slices, unpack
 from tidemark.llm.shipping import shipped
 from tidemark.llm.storage import buckets, stored
 
@@ -37,24 +42,20 @@ shipped(__name__)
 
 DEPTH = 6  # bytes of the longest context
 NEAR = 3  # bytes before the predicted one that runs are dealt by
-CLASSES = 6
-SAMPLE, COMMON = 2000, 400  # texts, and their commonest words, that the classes are fitted on, at most
-WEIGHT = 5000.0  # tokens that the pretrained model counts for beside the text so far
 SYMBOLS = 252  # 250 bytes that words can hold, the end of a word and the end of a text
 SLICE = 4 << 20  # bytes of text counted together
-START, END = 0x20, 0x0A  # stand for the start and end of a word, and for the end of a text
-ROW = pa.schema([("place", pa.int64()), ("other", pa.int64()), ("kind", pa.int8()), ("blob", pa.binary())])
-ROW_SQL = "place long, other long, kind tinyint, blob binary"
-TEXTS, WORDS, RUNS, LOW, TOTALS, PRICES, ANSWERS, SPELLED = range(8)
-
-
-def rows(found: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([dict(zip(("place", "other", "kind", "blob"), r)) for r in found], ROW)
-
-
-def limited(batch: Iterator[tuple[int, int, int, bytes]], n: int = 64) -> Iterator[pa.RecordBatch]:
-    held = []
-    for row in batch:
+PENDING = 1 << 20  # runs that a bucket holds before it adds them up, at least
+SPACE, END = 0x20, 0x0A
+MARGIN = 0.05  # a discount stays this far from nothing and from the whole count
+ROW = pa.schema([("place", pa.int64()), ("other", pa.int64()), ("kind", pa.int8()), ("runs", pa.binary()), ("words", pa.binary())])
+ROW_SQL = "place long, other long, kind tinyint, runs binary, words binary"
+TEXTS, ASKED, LOW, TOTALS, ANSWERS = range(5)
+Found = tuple[int, int, int, bytes, bytes]
+
+
+def limited(found: Iterable[Found], n: int = 64) -> Iterator[pa.RecordBatch]:
+    held: list[Found] = []
+    for row in found:
         held.append(row)
         if len(held) == n:
             yield rows(held)
@@ -63,7 +64,19 @@ def limited(batch: Iterator[tuple[int, int, int, bytes]], n: int = 64) -> Iterat
         yield rows(held)
 
 
-# --- words -------------------------------------------------------------------------------------
+def rows(found: list[Found]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([dict(zip(ROW.names, r)) for r in found], ROW)
+
+
+def squeezed(blob: bytes) -> bytes:
+    return len(blob).to_bytes(8, "little") + pa.compress(blob, "zstd", asbytes=True)
+
+
+def released(blob: bytes) -> bytes:
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True)
+
+
+# --- texts as runs of bytes ----------------------------------------------------------------------
 
 
 def lowered() -> np.ndarray:
@@ -79,213 +92,69 @@ def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     total = int(stops[-1]) if len(stops) else 0
     source = np.repeat(starts - (stops - sizes), sizes) + np.arange(total)
     out = data[np.minimum(source, max(len(data) - 1, 0))] if total else np.empty(0, np.uint8)
-    out[stops - 1] = START
+    out[stops - 1] = SPACE
     return out
 
 
-@dataclass
-class Classes:
-    """A mixture of distributions over a few common words; it names the class of a text."""
-
-    keys: np.ndarray  # of the words, ascending
-    table: np.ndarray  # word x class, natural log of the probability
-    shares: np.ndarray  # of the classes
-
-    @staticmethod
-    def fit(cells: list[tuple[int, int, int]], number: int, rounds: int = 40) -> Classes:
-        """cells: (text, word key, count)."""
-        keys = np.unique(np.array([c[1] for c in cells], np.int64).astype(np.uint64))
-        names = np.unique(np.array([c[0] for c in cells], np.int64))
-        matrix = np.zeros((len(names), len(keys)))
-        for text, key, n in cells:
-            matrix[np.searchsorted(names, text), np.searchsorted(keys, np.uint64(key % (1 << 64)))] = n
-        number = max(1, min(number, len(names)))
-        if not len(names):
-            return Classes(keys, np.zeros((len(keys), 1)), np.ones(1))
-        unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-        centres: list[int] = []
-        alike, nearest = unit @ unit.T, np.zeros(len(names))
-        while len(centres) < number:  # each next one brings the most texts nearer to a centre
-            centres.append(int(np.argmax(np.maximum(alike, nearest[:, None]).sum(0))))
-            nearest = np.maximum(nearest, alike[:, centres[-1]])
-        weights = np.exp(20 * (unit @ unit[centres].T))
-        for _ in range(rounds):
-            weights /= weights.sum(1, keepdims=True)
-            shares = (weights.sum(0) + 1) / (len(names) + number)
-            words = weights.T @ matrix + 0.1
-            table = np.log(words / words.sum(1, keepdims=True)).T
-            fit = matrix @ table + np.log(shares)
-            weights = np.exp(np.maximum(fit - fit.max(1, keepdims=True), -700))
-        return Classes(keys, table, shares)
-
-    def of(self, n: int, owner: np.ndarray, keys: np.ndarray, amounts: np.ndarray) -> np.ndarray:
-        """The class of each of n texts, from (text, word key, count); the first class without common words."""
-        at = _find(self.keys, keys)
-        own = at >= 0
-        fits = [np.bincount(owner[own], weights=amounts[own] * column[at[own]], minlength=n) for column in self.table.T]
-        return np.argmax(np.array(fits) + np.log(self.shares)[:, None], axis=0)
-
-
-def cells_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, word key, count) of (text number, text)."""
-    splitter = Words(lower=True)
-    for batch in batches:
-        for piece in slices(batch, 1, SLICE):
-            hashes, bounds = splitter.hashes(Texts(piece.column(1)))
-            for i, name in enumerate(piece.column(0).to_pylist()):
-                keys, counts = np.unique(hashes[bounds[i] : bounds[i + 1]], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), name)), pa.array(keys.astype(np.int64)), pa.array(counts)], ["text", "key", "n"])
-
-
-def fitted(given: DataFrame, number: int) -> Classes:
-    """Classes of a bounded sample of the training texts (id, text, train), drawn in the order of a hash of the id."""
-    order = F.xxhash64(F.lit("classes"), "id")
-    ids = given.where("train").select("id").orderBy(order, "id").limit(SAMPLE).distinct()
-    sample = given.where("train").join(F.broadcast(ids), "id").select(F.xxhash64("id", "text").alias("name"), "text")
-    cells = stored(sample.mapInArrow(cells_of_words, "text long, key long, n long"), "class-words")
-    common = cells.groupBy("key").agg(F.countDistinct("text").alias("texts")).orderBy(F.desc("texts"), "key").limit(COMMON)
-    found = cells.join(F.broadcast(common.select("key")), "key").groupBy("text", "key").agg(F.max("n").alias("n"))
-    return Classes.fit(sorted((r["text"], r["key"], r["n"]) for r in found.collect()), number)
-
-
-def counted(parts: int, classes_of):
-    """For each slice of (id, text, train): its texts as counts over its distinct words, and the words for each bucket
-    with their training counts in each class.
-
-    A text's end is the word of the single byte END.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, table = Words(lower=True), lowered()
-        end = int(splitter_end(splitter))
-        classes = Classes(*classes_of.value)
-        number = len(classes.shares)
-        for batch in batches:
-            for piece in slices(batch, 1, SLICE):
-                texts = Texts(piece.column(1))
-                n = len(texts)
-                hashes, bounds, begins, finishes = splitter.located(texts)
-                owner = np.repeat(np.arange(n), np.diff(bounds))
-                keys = np.concatenate([hashes, np.full(n, end, np.uint64)])
-                unique, first, word = np.unique(keys, return_index=True, return_inverse=True)
-                owner = np.concatenate([owner, np.arange(n)])
-                cells, amounts = np.unique(owner * len(unique) + word, return_counts=True)
-                owner, word = cells // len(unique), cells % len(unique)
-                starts = np.searchsorted(owner, np.arange(n + 1))
-                train = piece.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-                group = classes.of(n, owner, unique[word], amounts)[owner]
-                weights, size = amounts * train[owner], len(unique) * number
-                seen = np.bincount(word * number + group, weights=weights, minlength=size).astype(np.uint32).reshape(-1, number)
-                # The bytes of each distinct word; the end's lie behind all texts.
-                data = np.append(table[texts.data], np.uint8(END))
-                begin = np.append(begins, np.full(n, len(data) - 1))[first]
-                finish = np.append(finishes, np.full(n, len(data)))[first]
-                cuts = np.searchsorted(scaled(unique, parts), np.arange(parts + 1, dtype=np.uint64) << np.uint64(32))
-                ids = piece.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                name = int((mixed(unique).sum(dtype=np.uint64) ^ mixed(ids.astype(np.uint64) + np.uint64(n)).sum(dtype=np.uint64)).astype(np.int64))
-
-                def answer() -> Iterator[tuple[int, int, int, bytes]]:
-                    yield name, 0, TEXTS, pack(ids, starts[1:]) + pack(steps(word.astype(np.uint32)), amounts.astype(np.uint32))
-                    for b in np.flatnonzero(np.diff(cuts)):
-                        own = slice(cuts[b], cuts[b + 1])
-                        yield int(b), name, WORDS, pack_counts(seen[own]) + joined(data, begin[own], finish[own]).tobytes()
-
-                yield from limited(answer())
+def predicted(texts: Texts, splitter: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(run of each predicted byte, number of them in each text, hash of each word, first word of each text and the end).
 
-    return run
+    A run is one integer: the byte in the lowest eight bits, the nearest byte before it in the highest.
+    """
+    n = len(texts)
+    hashes, bounds, begins, finishes = splitter.located(texts)
+    size = len(texts.data)
+    data = np.concatenate([lowered()[texts.data], np.array([END] + [SPACE] * (DEPTH - 1), np.uint8)])
+    words = np.diff(bounds)
+    place = np.arange(len(hashes)) + 2 * np.repeat(np.arange(n), words) + 1  # each text has its margin before and its end behind
+    first = bounds[:-1] + 2 * np.arange(n)
+    starts, ends = np.empty(len(hashes) + 2 * n, np.int64), np.empty(len(hashes) + 2 * n, np.int64)
+    starts[place], ends[place] = begins, finishes
+    starts[first], ends[first] = size + 1, size + DEPTH
+    last = first + words + 1
+    starts[last], ends[last] = size, size + 1
+    stream = joined(data, starts, ends)
+    stops = np.cumsum(ends - starts + 1)
+    begin, finish = stops[first], stops[last] - 1  # of the predicted bytes of each text
+    keep = np.zeros(len(stream) + 1, np.int8)
+    keep[begin] = 1
+    keep[finish] -= 1
+    keep = np.cumsum(keep[:-1], dtype=np.int8).view(bool)
+    codes = stream.astype(np.uint64)
+    for back in range(1, DEPTH + 1):
+        codes[back:] |= stream[:-back].astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - back))
+    return codes[keep], finish - begin, hashes, bounds
+
+
+def dealt(codes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the codes by bucket, cuts between buckets); codes ascend, and so do those of a bucket."""
+    near = codes >> np.uint64(8 * (DEPTH + 1 - NEAR))
+    bucket = (scaled(mixed(near), parts) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(parts + 1))
 
 
-def pack_counts(counts: np.ndarray) -> bytes:
-    """Counts of words in classes, one column after the other."""
-    return np.array([counts.shape[1]], np.int64).tobytes() + pack(*(counts[:, z].copy() for z in range(counts.shape[1])))
+def cut_words(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Cuts between the buckets of ascending word keys."""
+    return np.searchsorted(scaled(keys, parts), np.arange(parts + 1, dtype=np.uint64) << np.uint64(32))
 
 
-def unpack_counts(blob: bytes) -> tuple[np.ndarray, bytes]:
-    """The counts and the bytes behind them."""
-    number = int(np.frombuffer(blob, np.int64, 1)[0])
-    columns = unpack(blob[8:], *[np.uint32] * number)
-    return np.stack(columns, axis=1), blob[16 + 4 * number * len(columns[0]) :]
+def end_key(splitter: Words) -> np.uint64:
+    """The key of the end of a text: no word hashes to it but by chance."""
+    return mixed(np.array([0xE4D], np.uint64) + splitter.table[97:98])[0]
 
 
-def splitter_end(words: Words) -> np.uint64:
-    """The key of the end of a text: no word hashes to it but by chance."""
-    return mixed(np.array([0xE4D], np.uint64) + words.table[97:98])[0]
-
-
-@dataclass
-class Vocabulary:
-    """The distinct words of a bucket with their counts, in the order of their keys."""
-
-    data: np.ndarray
-    starts: np.ndarray
-    ends: np.ndarray
-    by_class: np.ndarray  # word x class
-    counts: np.ndarray
-    index: list[tuple[int, np.ndarray]]  # (slice, places of its words here)
-
-    @staticmethod
-    def gather(given: list[dict]) -> Vocabulary:
-        given = [r for r in given if r["kind"] == WORDS]
-        splitter = Words(lower=False)
-        table = splitter.table
-        parts, blobs, counts = [], [], []
-        for r in given:
-            own, text = unpack_counts(r["blob"])
-            blobs.append(text)
-            counts.append(own)
-            parts.append((r["other"], len(own)))
-        data = np.frombuffer(b"".join(blobs), np.uint8)
-        # Every word ends with a space; the text's end is a byte that no word holds.
-        stops = np.flatnonzero(data == START)
-        begins = np.concatenate([[0], stops[:-1] + 1]) if len(stops) else stops
-        up, down = splitter.powers.get(len(data) + 1)
-        run = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(table[data] * up[: len(data)], out=run[1:])
-        keys = mixed((run[stops] - run[begins]) * down[begins])
-        keys[data[begins] == END] = splitter_end(splitter) if len(begins) else 0
-        unique, first, place = np.unique(keys, return_index=True, return_inverse=True)
-        every = np.concatenate(counts) if counts else np.empty((0, 1), np.uint32)
-        columns = [np.bincount(place, weights=every[:, z], minlength=len(unique)) for z in range(every.shape[1])]
-        by_class = np.stack(columns, axis=1).astype(np.int64)
-        index, at = [], 0
-        for name, n in parts:
-            index.append((name, place[at : at + n]))
-            at += n
-        return Vocabulary(data, begins[first], stops[first], by_class, by_class.sum(1), index)
-
-
-# --- runs of bytes -----------------------------------------------------------------------------
-
-
-def coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(run, word) of every predicted byte: its context and itself as one integer, the number of bytes in the top byte.
-
-    A word is predicted as its bytes and a space; the end of a text as the single byte END.
-    """
-    ended = data[starts] == END
-    sizes = ends - starts + 2  # with the start before it and the space behind
-    stops = np.cumsum(sizes)
-    total = int(stops[-1]) if len(stops) else 0
-    local = np.arange(total) - np.repeat(stops - sizes, sizes)
-    word = np.repeat(np.arange(len(starts)), sizes)
-    source = np.repeat(starts - 1, sizes) + local
-    text = np.where((local == 0) | (local == sizes[word] - 1), START, data[np.clip(source, 0, max(len(data) - 1, 0))] if total else 0).astype(np.uint64)
-    code = np.zeros(total, np.uint64)
-    for back in range(DEPTH + 1):
-        own = np.flatnonzero(local >= back)
-        code[own] |= text[own - back] << np.uint64(8 * back)
-    length = np.minimum(local + 1, DEPTH + 1).astype(np.uint64)
-    keep = (local > 0) & ~(ended[word] & (local == sizes[word] - 1))
-    return (code | length << np.uint64(56))[keep], word[keep]
+# --- the trie ------------------------------------------------------------------------------------
 
 
-def length_of(codes: np.ndarray) -> np.ndarray:
-    return (codes >> np.uint64(56)).astype(np.int64)
+def edge(codes: np.ndarray, k: int) -> np.ndarray:
+    """The nearest k bytes of the context and the predicted byte."""
+    return ((codes >> np.uint64(8 * (DEPTH + 1 - k))) << np.uint64(8)) | (codes & np.uint64(255))
 
 
-def tail(codes: np.ndarray, n: int) -> np.ndarray:
-    """The last n bytes."""
-    return codes & np.uint64((1 << (8 * n)) - 1)
+def shorter(edges: np.ndarray) -> np.ndarray:
+    """Edges without the farthest byte of their contexts."""
+    return ((edges >> np.uint64(16)) << np.uint64(8)) | (edges & np.uint64(255))
 
 
 def summed(keys: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -293,28 +162,51 @@ def summed(keys: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return unique, np.bincount(place, weights=amounts, minlength=len(unique)).astype(np.int64)
 
 
+def added(pairs: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of all keys; holds little more than the distinct ones."""
+    total = (np.empty(0, np.uint64), np.empty(0, np.int64))
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for pair in pairs:
+        held.append(pair)
+        size += len(pair[0])
+        if size > max(PENDING, len(total[0])):
+            total, held, size = summed(*(np.concatenate(c) for c in zip(total, *held))), [], 0
+    return summed(*(np.concatenate(c) for c in zip(total, *held))) if held else total
+
+
+def spread(counts: np.ndarray) -> np.ndarray:
+    """How many counts are 1, 2, 3 and 4."""
+    return np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype(np.int64)
+
+
+def discounts(ones: np.ndarray) -> np.ndarray:
+    """What a context takes from a count of 1, 2 and more, by the numbers of counts 1 to 4 of its order (the usual
+    leaving-one-out estimates, kept inside (0, count))."""
+    n = [max(int(x), 1) for x in ones]
+    share = n[0] / (n[0] + 2 * n[1])
+    return np.array([min(max(i - (i + 1) * share * n[i] / n[i - 1], MARGIN), i - MARGIN) for i in (1, 2, 3)])
+
+
 class Order:
-    """Counts of (context of k bytes, byte), and for each context what is left when a byte escapes from it."""
+    """The contexts of one length: their counts, discounts and the mass that the discounts free."""
 
-    def __init__(self, edges: np.ndarray, counts: np.ndarray, shorter: Order | None):
-        self.edges, self.counts = edges, counts
+    def __init__(self, edges: np.ndarray, counts: np.ndarray, taken: np.ndarray):
+        self.edges = edges
         self.nodes, node = np.unique(edges >> np.uint64(8), return_inverse=True)
-        n = len(self.nodes)
-        self.total, self.distinct = np.bincount(node, weights=counts, minlength=n), np.bincount(node, minlength=n).astype(float)
-        self.left_total, self.left_distinct = np.zeros(n), np.zeros(n)
-        if shorter is not None and n:
-            k = shorter.width
-            at = shorter.find(tail(edges, k + 1))
-            below = shorter.node(tail(self.nodes, k))
-            self.left_total = shorter.total[below] - np.bincount(node, weights=shorter.counts[at], minlength=n)
-            self.left_distinct = shorter.distinct[below] - self.distinct
-        self.width = 0 if shorter is None else shorter.width + 1
-
-    def find(self, edges: np.ndarray) -> np.ndarray:
-        return _find(self.edges, edges)
+        off = taken[np.minimum(counts, 3) - 1] if len(counts) else np.empty(0)
+        total = np.bincount(node, weights=counts, minlength=len(self.nodes))
+        self.own = (counts - off) / total[node]
+        self.free = np.bincount(node, weights=off, minlength=len(self.nodes)) / total
 
-    def node(self, contexts: np.ndarray) -> np.ndarray:
-        return _find(self.nodes, contexts)
+    def probability(self, keys: np.ndarray, below: np.ndarray) -> np.ndarray:
+        """Of the byte of each edge, given its probability after the next shorter context."""
+        node, seen = _find(self.nodes, keys >> np.uint64(8)), _find(self.edges, keys)
+        known = node >= 0
+        out = below.copy()  # a context that training has not seen leaves it to the shorter one
+        out[known] *= self.free[node[known]]
+        out[seen >= 0] += self.own[seen[seen >= 0]]
+        return out
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -326,148 +218,123 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def orders(edges: list[tuple[np.ndarray, np.ndarray]]) -> list[Order]:
-    out: list[Order] = []
-    for keys, counts in edges:
-        out.append(Order(keys, counts, out[-1] if out else None))
+def levels(edges: np.ndarray, counts: np.ndarray, top: int, bottom: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Edges and counts of the orders from top down to bottom; an edge counts the longer ones that end in it."""
+    out = {top: (edges, counts)}
+    for k in range(top - 1, bottom - 1, -1):
+        out[k] = np.unique(shorter(out[k + 1][0]), return_counts=True)
     return out
 
 
-def edges_of(codes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The (context of k bytes, byte) counts in runs that have that many bytes and were seen."""
-    own = (length_of(codes) > k) & (counts > 0)
-    return summed(tail(codes[own], k + 1), counts[own])
-
-
-def prices(codes: np.ndarray, trie: list[Order]) -> np.ndarray:
-    """log10 of the probability of the last byte of each run after the others."""
-    out = np.zeros(len(codes))
-    open_ = np.ones(len(codes), bool)
-    left_total, left_distinct = np.zeros(len(codes)), np.zeros(len(codes))  # after an escape
-    escaped = np.zeros(len(codes), bool)
-    for order in reversed(trie):
-        k = order.width
-        rows_ = np.flatnonzero(open_ & (length_of(codes) > k))
-        node = order.node(tail(codes[rows_], k + 1) >> np.uint64(8))
-        rows_, node = rows_[node >= 0], node[node >= 0]
-        total = np.where(escaped[rows_], left_total[rows_], order.total[node])
-        distinct = np.where(escaped[rows_], left_distinct[rows_], order.distinct[node])
-        edge = order.find(tail(codes[rows_], k + 1))
-        seen = edge >= 0
-        hit = rows_[seen]
-        out[hit] += np.log10((2 * order.counts[edge[seen]] - 1) / (2 * total[seen]))
-        open_[hit] = False
-        lost, distinct, total = rows_[~seen], distinct[~seen], total[~seen]
-        costly = distinct > 0  # nothing left to escape from costs nothing
-        out[lost[costly]] += np.log10(distinct[costly] / (2 * total[costly]))
-        escaped[lost] = True
-        left_total[lost], left_distinct[lost] = order.left_total[node[~seen]], order.left_distinct[node[~seen]]
-    known = trie[0].distinct[0] if trie and len(trie[0].distinct) else 0
-    out[open_] -= math.log10(max(SYMBOLS - known, 1))
-    return out
+def probabilities(codes: np.ndarray, trie: dict[int, Order]) -> np.ndarray:
+    """Of the last byte of each distinct run after the others."""
+    below, before = np.full(1, 1 / SYMBOLS), np.zeros(1, np.uint64)  # the keys of the order below, and their probabilities
+    for k in range(DEPTH + 1):
+        keys = codes if k == DEPTH else np.unique(edge(codes, k))
+        lower = below[np.searchsorted(before, shorter(keys))] if k else np.full(len(keys), below[0])
+        before, below = keys, trie[k].probability(keys, lower)
+    return below
 
 
-def home(codes: np.ndarray, parts: int) -> np.ndarray:
-    """The bucket of each run that has NEAR bytes of context, by the last NEAR of them."""
-    near = tail(codes, NEAR + 1) >> np.uint64(8)
-    return (scaled(mixed(near), parts) >> np.uint64(32)).astype(np.int64)
+# --- jobs ----------------------------------------------------------------------------------------
 
 
-def dealt(vocabulary: Vocabulary, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct runs of the words, those with NEAR bytes of context in the order of their bucket: (runs, counts, cuts
-    between buckets, place of each predicted byte's run, its word, number of dealt runs)."""
-    codes, word = coded(vocabulary.data, vocabulary.starts, vocabulary.ends)
-    unique, place = np.unique(codes, return_inverse=True)
-    counts = np.bincount(place, weights=vocabulary.counts[word] > 0, minlength=len(unique)).astype(np.int64)
-    bucket = np.where(length_of(unique) > NEAR, home(unique, parts), parts)
-    order = np.argsort(bucket, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return unique[order], counts[order], np.searchsorted(bucket[order], np.arange(parts + 1)), rank[place], word
+def counted(parts: int):
+    """For each slice of (id, text, train): its texts, and for each bucket its distinct runs and words with their
+    training counts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter = Words(lower=True)
+        for batch in batches:
+            for piece in slices(batch, 1, SLICE):
+                if piece.num_rows:
+                    yield from limited(of_slice(piece, splitter, parts))
 
-# --- jobs --------------------------------------------------------------------------------------
+    return run
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> list[dict]:
+def of_slice(piece: pa.RecordBatch, splitter: Words, parts: int) -> Iterator[Found]:
+    texts = Texts(piece.column(1))
+    codes, sizes, hashes, bounds = predicted(texts, splitter)
+    ids = piece.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    train = piece.column(2).to_numpy(zero_copy_only=False).astype(bool)
+    data = texts.data[texts.offsets[0] : texts.offsets[-1]].tobytes()
+    stops = texts.offsets[1:] - texts.offsets[0]
+    head = pack(ids, stops, train.astype(np.int64))
+    name = int(np.uint64(xxhash.xxh64_intdigest(data, xxhash.xxh64_intdigest(head))).astype(np.int64))
+    yield name, 0, TEXTS, squeezed(pack(ids, stops) + data), b""
+    # Sorted with the mark of training in the lowest bits, so that one plain sort gives the distinct runs and their counts.
+    codes <<= np.uint64(8)
+    codes |= np.repeat(train, sizes).astype(np.uint64)
+    codes.sort()
+    marks = (codes & np.uint64(1)).astype(np.uint32)
+    codes >>= np.uint64(8)
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))  # every text has its end
+    unique, seen = codes[first], np.add.reduceat(marks, first).astype(np.uint32)
+    del codes, marks, first
+    order, cuts = dealt(unique, parts)
+    unique, seen = unique[order], seen[order]
+    keys, word = np.unique(np.concatenate([hashes, np.full(len(ids), end_key(splitter))]), return_inverse=True)
+    weights = np.concatenate([np.repeat(train, np.diff(bounds)), train])
+    amounts = np.bincount(word, weights=weights, minlength=len(keys)).astype(np.uint32)
+    word_cuts = cut_words(keys, parts)
+    for b in np.flatnonzero((np.diff(cuts) > 0) | (np.diff(word_cuts) > 0)):
+        own, mine = slice(cuts[b], cuts[b + 1]), slice(word_cuts[b], word_cuts[b + 1])
+        yield int(b), name, ASKED, squeezed(pack(unique[own], seen[own])), squeezed(pack(keys[mine], amounts[mine]))
+
+
+def pairs(held: list[dict], column: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for row in held:
+        keys, counts = unpack(released(row[column]), np.uint64, np.uint32)
+        yield keys, counts.astype(np.int64)
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> list[dict]:
     return [row for batch in batches for row in batch.to_pylist()]
 
 
-def runs_of_words(parts: int):
-    """A bucket of words -> its distinct runs for each bucket of runs, its counts of short contexts, its totals."""
+def trained(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return keys[counts > 0], counts[counts > 0]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = _gathered(batches)
-        if not given:
-            return
-        bucket, vocabulary = given[0]["place"], Vocabulary.gather(given)
-        codes, counts, cuts, _, _ = dealt(vocabulary, parts)
 
-        def answer() -> Iterator[tuple[int, int, int, bytes]]:
-            # Distinct tokens, tokens, and those seen once: of all and of each class.
-            every = np.concatenate([vocabulary.counts[:, None], vocabulary.by_class], axis=1)
-            yield 0, bucket, TOTALS, np.stack([(every > 0).sum(0), every.sum(0), (every == 1).sum(0)]).astype(np.int64).tobytes()
-            for k in range(NEAR):
-                yield k, bucket, LOW, pack(*edges_of(codes, counts, k))
-            for b in np.flatnonzero(np.diff(cuts)):
-                own = slice(cuts[b], cuts[b + 1])
-                yield int(b), bucket, RUNS, pack(codes[own], counts[own])
+def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A bucket -> its counts of the contexts of NEAR - 1 bytes, its number of tokens and of distinct ones, and for each
+    longer order the numbers of counts 1 to 4."""
+    held = gathered(batches)
+    if not held:
+        return
+    tokens = added(pairs(held, "words"))[1]
+    trie = levels(*trained(*added(pairs(held, "runs"))), DEPTH, NEAR - 1)
+    numbers = np.concatenate([[tokens.sum(), (tokens > 0).sum()], *(spread(trie[k][1]) for k in range(NEAR, DEPTH + 1))])
+    yield rows([(0, held[0]["place"], TOTALS, numbers.astype(np.int64).tobytes(), b""), (0, 0, LOW, squeezed(pack(*trie[NEAR - 1])), b"")])
 
-        yield from limited(answer())
 
-    return run
+def low_added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = added(unpack(released(row["runs"]), np.uint64, np.int64) for batch in batches for row in batch.to_pylist())
+    yield rows([(0, 0, LOW, squeezed(pack(*found)), b"")])
 
 
-def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of short contexts, one packed row for each length."""
-    found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            own = unpack(row["blob"], np.uint64, np.int64)
-            before = found.get(row["place"], (np.empty(0, np.uint64), np.empty(0, np.int64)))
-            found[row["place"]] = summed(*(np.concatenate(c) for c in zip(before, own)))
-    yield rows([(k, 0, LOW, pack(*own)) for k, own in found.items()])
-
-
-def priced(low_of) -> object:
-    """A bucket of runs -> the price of each, for the buckets of words that asked."""
+def answered(shared):
+    """A bucket -> for each slice that asked: the log10 probabilities of its runs and the counts of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = [r for r in _gathered(batches) if r["kind"] == RUNS]
-        if not given:
+        held = gathered(batches)
+        if not held:
             return
-        asked = [(r["other"], *unpack(r["blob"], np.uint64, np.int64)) for r in given]
-        codes, place = np.unique(np.concatenate([a[1] for a in asked]), return_inverse=True)
-        counts = np.bincount(place, weights=np.concatenate([a[2] for a in asked]), minlength=len(codes)).astype(np.int64)
-        edges = [*low_of.value, *(edges_of(codes, counts, k) for k in range(NEAR, DEPTH + 1))]
-        price, at, out = prices(codes, orders(edges)), 0, []
-        for other, own, _ in asked:
-            out.append((other, given[0]["place"], PRICES, pack(price[place[at : at + len(own)]])))
-            at += len(own)
-        yield from limited(iter(out))
-
-    return run
+        low, taken = shared.value
+        bucket = held[0]["place"]
+        keys, tokens = added(pairs(held, "words"))
+        codes, counts = added(pairs(held, "runs"))
+        found = {**levels(*low, NEAR - 1, 0), **levels(*trained(codes, counts), DEPTH, NEAR)}
+        price = np.log10(probabilities(codes, {k: Order(*found[k], taken[k]) for k in found})) if len(codes) else np.empty(0)
 
+        def answers() -> Iterator[Found]:
+            for row, (asked, _), (words, _) in zip(held, pairs(held, "runs"), pairs(held, "words")):
+                prices = price[np.searchsorted(codes, asked)].astype(np.float32)
+                own = tokens[np.searchsorted(keys, words)]
+                yield row["other"], bucket, ANSWERS, squeezed(pack(prices)), squeezed(pack(own))
 
-def words_priced(parts: int, low_of):
-    """A bucket of words and the prices of its runs -> count and price of each word, for the slices that hold it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = _gathered(batches)
-        if not given:
-            return
-        bucket, vocabulary = given[0]["place"], Vocabulary.gather(given)
-        codes, _, cuts, place, word = dealt(vocabulary, parts)
-        price = np.zeros(len(codes))
-        for r in given:
-            if r["kind"] == PRICES:
-                price[cuts[r["other"]] : cuts[r["other"] + 1]] = unpack(r["blob"], np.float64)[0]
-        price[cuts[-1] :] = prices(codes[cuts[-1] :], orders(low_of.value))
-        total = np.bincount(word, weights=price[place], minlength=len(vocabulary.counts))
-        spelled = np.power(10, total[vocabulary.counts > 0]).sum()
-        yield rows([(0, bucket, SPELLED, np.array([spelled]).tobytes())])
-        counts = vocabulary.by_class.astype(np.uint32)
-        yield from limited((name, bucket, ANSWERS, pack(total[own]) + pack_counts(counts[own])) for name, own in vocabulary.index)
+        yield from limited(answers())
 
     return run
 
@@ -475,116 +342,70 @@ def words_priced(parts: int, low_of):
 SCORES = "id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def rising(base: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Natural log of base (base + 1) ... (base + n - 1)."""
-    out, first = np.zeros(len(base)), 8
-    for j in range(min(int(n.max()) if len(n) else 0, first)):
-        own = np.flatnonzero(n > j)
-        out[own] += np.log(base[own] + j)
-    own = np.flatnonzero(n > first)
-
-    def gamma(x: np.ndarray) -> np.ndarray:  # Stirling's series; x is 8 or more
-        return (x - 0.5) * np.log(x) - x + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7) + 1 / (1188 * x**9)
-
-    out[own] += gamma(base[own] + n[own]) - gamma(base[own] + first)
-    return out
-
-
-def discounted(counts: np.ndarray, distinct: float, tokens: float, once: float) -> tuple[np.ndarray, float]:
-    """(probability of tokens with these counts, probability of the escape); the two sum to 1 over the vocabulary."""
-    if not distinct:
-        return np.zeros(len(counts)), 1.0
-    discount = min(max(once, 0.5) / distinct, 0.9)
-    return np.maximum(counts - discount, 0) / tokens, discount * distinct / tokens
-
-
-def texts_scored(totals: np.ndarray, spelled: float, shares: np.ndarray):
-    """The texts of a slice and the answers of all buckets -> scores.
-
-    totals: distinct tokens, tokens and tokens seen once, of all and of each class; spelled: what spelling gives to
-    all training tokens.
-    """
-    distinct, tokens = int(totals[0][0]), int(totals[1][0])
+def texts_scored(parts: int, tokens: int, distinct: int):
+    """The texts of a slice and the answers of all buckets -> scores."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         given = table.to_pylist()
-        pieces = {r["other"]: r["blob"] for r in given if r["kind"] == ANSWERS}  # equal slices ask twice and get the same answer
-        spelling, by_class = [], []
-        for _, blob in sorted(pieces.items()):
-            (own,) = unpack(blob, np.float64)
-            spelling.append(own)
-            by_class.append(unpack_counts(blob[8 + 8 * len(own) :])[0])
-        spelling, by_class = np.concatenate(spelling), np.concatenate(by_class).astype(np.float64)
-        counts = by_class.sum(1)
-        base = np.log10((counts + 0.5) / (tokens + 0.5 * (distinct + 1)))
-        corpus, escape = discounted(counts, *totals[:, 0])
-        corpus += np.where(counts > 0, 0, escape * 10**spelling / max(1 - spelled, 1e-9))
-        corpus = np.maximum(corpus, 1e-290)
-        out = []
+        pieces = {r["other"]: r for r in given if r["kind"] == ANSWERS}  # equal slices ask twice and get the same answer
+        answers = [pieces[b] for b in sorted(pieces)]
+        price = np.concatenate([unpack(released(r["runs"]), np.float32)[0] for r in answers])
+        counts = np.concatenate([unpack(released(r["words"]), np.int64)[0] for r in answers])
+        texts, splitter, out = Texts(pa.array([], pa.string())), Words(lower=True), []
         for r in given:
             if r["kind"] != TEXTS:
                 continue
-            ids, stops = unpack(r["blob"], np.int64, np.int64)
-            word, amounts = unpack(r["blob"][8 + 16 * len(ids) :], np.uint32, np.uint32)
-            word, starts = np.cumsum(word, dtype=np.uint32), np.concatenate([[0], stops[:-1]]).astype(np.int64)
-            add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has at least its end
-            many = amounts.astype(np.int64)
-            sizes = add(many)
-            fits = []
-            for z, share in enumerate(shares):
-                own, escape = discounted(by_class[:, z], *totals[:, z + 1])
-                price = own + escape * corpus
-                fits.append(math.log(share) + add(rising(WEIGHT * price[word], many)) - rising(np.full(len(ids), WEIGHT), sizes))
-            best = np.max(fits, axis=0)
-            score = (best + np.log(np.exp(np.array(fits) - best).sum(0))) / math.log(10)
-            out.append([ids, sizes, add(many * (counts[word] > 0)), np.full(len(ids), tokens), add(many * base[word]), score])
+            blob = released(r["runs"])
+            ids, stops = unpack(blob, np.int64, np.int64)
+            texts.offsets, texts.data = np.concatenate([[0], stops]), np.frombuffer(blob, np.uint8)[8 + 16 * len(ids) :]
+            codes, sizes, hashes, bounds = predicted(texts, splitter)
+            unique, place = np.unique(codes, return_inverse=True)
+            order, _ = dealt(unique, parts)
+            prices = np.empty(len(unique))
+            prices[order] = price
+            ends = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            score = np.add.reduceat(prices[place], ends)  # every text has its end
+            _, word = np.unique(np.concatenate([hashes, np.full(len(ids), end_key(splitter))]), return_inverse=True)
+            owner = np.concatenate([np.repeat(np.arange(len(ids)), np.diff(bounds)), np.arange(len(ids))])
+            base = np.log10((counts + 0.5) / (tokens + 0.5 * (distinct + 1)))
+            known = np.bincount(owner, weights=counts[word] > 0, minlength=len(ids)).astype(np.int64)
+            out.append([ids, np.diff(bounds) + 1, known, np.full(len(ids), tokens), np.bincount(owner, weights=base[word]), score])
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 4 + [np.empty(0)] * 2
         return pa.table([pa.array(c) for c in columns], ["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return run
 
 
-def scored(
-    docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES,
-) -> DataFrame:
+def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) for every row with an id.
 
     The model learns from the rows where `train` is true (null: not). Tokens are words (anything but the six ASCII
     white-space characters, A-Z in lower case) and one end for each text; a null or empty text is only its end.
     base_score sums log10((c + 0.5) / (N + 0.5 (V + 1))) over the tokens; n_known counts those with c > 0; score is the
-    model's log10 probability of the tokens. The classes are fitted on at most SAMPLE training rows, everything else counts
-    all of them; without any training row all bytes are alike. Ids are integers, rows
-    with a null id are not scored but teach like others; repeated rows are scored alike. Other columns are not
-    returned.
+    model's log10 probability of the bytes of the tokens, each byte's rounded to single precision. All training rows
+    count whole; without any training row all bytes are alike. Ids are integers, rows with a null id are not scored but
+    teach like others; repeated rows are scored alike, and each teaches. Other columns are not returned.
     """
     spark = docs.sparkSession
-    given = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train")
+    named = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"),
+        F.col(text_col).cast("string").alias("text"),
+        F.coalesce(train, F.lit(False)).alias("train"),
     )
-    parts = buckets(spark, given.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    named = given.withColumn("id", F.coalesce("id", F.lit(-(2**63))))
-    mixture = fitted(named, classes)
-    classes_of = spark.sparkContext.broadcast((mixture.keys, mixture.table, mixture.shares))
-    parsed = stored(named.mapInArrow(counted(parts, classes_of), ROW_SQL), "word-counts", by="kind")
-    words = parsed.where(F.col("kind") == WORDS)
-
-    def by_bucket(rows_: DataFrame) -> DataFrame:
-        return rows_.repartitionById(parts, F.col("place").cast("int"))
-
-    asked = stored(by_bucket(words).mapInArrow(runs_of_words(parts), ROW_SQL), "byte-runs", by="kind")
-    found = asked.where(F.col("kind") == TOTALS).select("blob").collect()  # a few numbers from each bucket
-    totals = sum((np.frombuffer(r["blob"], np.int64).reshape(3, -1) for r in found), np.zeros((3, 1 + len(mixture.shares)), np.int64))
+    parts = buckets(spark, named.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    parsed = stored(named.mapInArrow(counted(parts), ROW_SQL), "byte-runs", by="kind")
+    asked = parsed.where(F.col("kind") == ASKED).repartitionById(parts, F.col("place").cast("int"))
+    about = stored(asked.mapInArrow(summaries, ROW_SQL), "byte-counts", by="kind")
+    found = about.where(F.col("kind") == TOTALS).select("runs").collect()  # a few numbers from each bucket
+    numbers = sum((np.frombuffer(r["runs"], np.int64) for r in found), np.zeros(2 + 4 * (DEPTH + 1 - NEAR), np.int64))
+    tokens, distinct = int(numbers[0]), int(numbers[1])
     # At most 256^3 counts: contexts of under NEAR bytes.
-    short = asked.where(F.col("kind") == LOW).coalesce(16).mapInArrow(added, ROW_SQL)
-    short = short.repartitionById(NEAR, F.col("place").cast("int")).mapInArrow(added, ROW_SQL).collect()
-    none = (np.empty(0, np.uint64), np.empty(0, np.int64))
-    merged = {r["place"]: tuple(unpack(r["blob"], np.uint64, np.int64)) for r in short}
-    low = [merged.get(k, none) for k in range(NEAR)]
-    low_of = spark.sparkContext.broadcast(low)
-    answers = by_bucket(asked.where(F.col("kind") == RUNS)).mapInArrow(priced(low_of), ROW_SQL)
-    both = stored(by_bucket(words.unionByName(answers)).mapInArrow(words_priced(parts, low_of), ROW_SQL), "word-prices", by="kind")
-    sums = both.where(F.col("kind") == SPELLED).select("blob").collect()  # one number from each bucket
-    spelled = math.fsum(sorted(float(np.frombuffer(r["blob"], np.float64)[0]) for r in sums))
-    texts = parsed.where(F.col("kind") == TEXTS).unionByName(both.where(F.col("kind") == ANSWERS))
-    result = texts.groupBy("place").applyInArrow(texts_scored(totals, spelled, mixture.shares), SCORES)
+    short = about.where(F.col("kind") == LOW).coalesce(16).mapInArrow(low_added, ROW_SQL)
+    (one,) = short.repartition(1).mapInArrow(low_added, ROW_SQL).collect()
+    low = tuple(unpack(released(one["runs"]), np.uint64, np.int64))
+    spreads = [spread(counts) for _, counts in (levels(*low, NEAR - 1, 0)[k] for k in range(NEAR))]
+    taken = [discounts(n) for n in [*spreads, *numbers[2:].reshape(-1, 4)]]
+    answers = asked.mapInArrow(answered(spark.sparkContext.broadcast((low, taken))), ROW_SQL)
+    texts = parsed.where(F.col("kind") == TEXTS).unionByName(answers)
+    result = texts.groupBy("place").applyInArrow(texts_scored(parts, tokens, distinct), SCORES)
     return result.where(F.col("id") != F.lit(-(2**63))).withColumnRenamed("id", id_col)
