@@ -154,3 +154,13 @@ def test_parts_added_up_equal_the_whole(monkeypatch):
         for x, n in zip(k.tolist(), c.tolist()):
             want[x] += n
     assert dict(zip(keys.tolist(), counts.tolist())) == dict(want) and keys.tolist() == sorted(want)
+
+
+def test_pieces_and_slices_do_not_change_scores(documents, monkeypatch):
+    docs = documents(corpus(3))
+    score = lambda: sorted((r.doc_id, r.n_known, round(r.score, 4)) for r in ppm.scored(docs, F.col("doc_id") % 3 != 1).collect())
+    whole = score()
+    for piece, size in ((100, 1 << 20), (50, 300), (1, 1)):
+        monkeypatch.setattr(ppm, "PIECE", piece)
+        monkeypatch.setattr(ppm, "SLICE", size)
+        assert score() == whole

@@ -75,6 +75,12 @@ class Texts:
         self.offsets = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8) if len(column) else np.zeros(1, np.int64)
         self.data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
 
+    @classmethod
+    def of(cls, offsets: np.ndarray, data: np.ndarray) -> Texts:
+        texts = cls.__new__(cls)
+        texts.offsets, texts.data = offsets, data
+        return texts
+
     def __len__(self) -> int:
         return len(self.offsets) - 1
 

@@ -43,7 +43,8 @@ shipped(__name__)
 DEPTH = 6  # bytes of the longest context
 NEAR = 3  # bytes before the predicted one that runs are dealt by
 SYMBOLS = 252  # 250 bytes that words can hold, the end of a word and the end of a text
-SLICE = 4 << 20  # bytes of text counted together
+PIECE = 4 << 20  # bytes of text handled at a time
+SLICE = 16 << 20  # bytes of text whose distinct runs are sent together
 PENDING = 1 << 20  # runs that a bucket holds before it adds them up, at least
 SPACE, END = 0x20, 0x0A
 MARGIN = 0.05  # a discount stays this far from nothing and from the whole count
@@ -244,43 +245,60 @@ def counted(parts: int):
     training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = Words(lower=True)
+        splitter, held, size = Words(lower=True), [], 0
         for batch in batches:
-            for piece in slices(batch, 1, SLICE):
-                if piece.num_rows:
-                    yield from limited(of_slice(piece, splitter, parts))
+            for piece in slices(batch, 1, PIECE):
+                offsets = Texts(piece.column(1)).offsets
+                held.append(piece)
+                size += int(offsets[-1] - offsets[0])
+                if size >= SLICE:
+                    yield from limited(of_slice(held, splitter, parts))
+                    held, size = [], 0
+        if any(piece.num_rows for piece in held):
+            yield from limited(of_slice(held, splitter, parts))
 
     return run
 
 
-def of_slice(piece: pa.RecordBatch, splitter: Words, parts: int) -> Iterator[Found]:
-    texts = Texts(piece.column(1))
-    codes, sizes, hashes, bounds = predicted(texts, splitter)
-    ids = piece.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    train = piece.column(2).to_numpy(zero_copy_only=False).astype(bool)
-    data = texts.data[texts.offsets[0] : texts.offsets[-1]].tobytes()
-    stops = texts.offsets[1:] - texts.offsets[0]
-    head = pack(ids, stops, train.astype(np.int64))
-    name = int(np.uint64(xxhash.xxh64_intdigest(data, xxhash.xxh64_intdigest(head))).astype(np.int64))
-    yield name, 0, TEXTS, squeezed(pack(ids, stops) + data), b""
-    # Sorted with the mark of training in the lowest bits, so that one plain sort gives the distinct runs and their counts.
+def distinct_runs(codes: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and how often they occur in training; changes the codes in place.
+
+    They are sorted with the mark of training in the lowest bits, so that one plain sort gives both.
+    """
     codes <<= np.uint64(8)
-    codes |= np.repeat(train, sizes).astype(np.uint64)
+    codes |= train.astype(np.uint64)
     codes.sort()
-    marks = (codes & np.uint64(1)).astype(np.uint32)
+    marks = (codes & np.uint64(1)).astype(np.int64)
     codes >>= np.uint64(8)
-    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))  # every text has its end
-    unique, seen = codes[first], np.add.reduceat(marks, first).astype(np.uint32)
-    del codes, marks, first
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return codes[first], np.add.reduceat(marks, first)
+
+
+def of_slice(pieces: list[pa.RecordBatch], splitter: Words, parts: int) -> Iterator[Found]:
+    ids, sizes, data, runs, words = [], [], [], [], []
+    for piece in pieces:
+        if not piece.num_rows:
+            continue
+        texts = Texts(piece.column(1))
+        codes, many, hashes, bounds = predicted(texts, splitter)
+        train = piece.column(2).to_numpy(zero_copy_only=False).astype(bool)
+        runs.append(distinct_runs(codes, np.repeat(train, many)))
+        keys, word = np.unique(np.concatenate([hashes, np.full(len(train), end_key(splitter))]), return_inverse=True)
+        words.append((keys, np.bincount(word, weights=np.concatenate([np.repeat(train, np.diff(bounds)), train]), minlength=len(keys))))
+        ids.append(piece.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        sizes.append(np.diff(texts.offsets))
+        data.append(texts.data[texts.offsets[0] : texts.offsets[-1]].tobytes())
+    blob = pack(np.concatenate(ids), np.concatenate(sizes)) + b"".join(data)
+    name = int(np.array([xxhash.xxh64_intdigest(blob)], np.uint64).view(np.int64)[0])
+    yield name, 0, TEXTS, squeezed(blob), b""
+    unique, seen = added(runs)
     order, cuts = dealt(unique, parts)
-    unique, seen = unique[order], seen[order]
-    keys, word = np.unique(np.concatenate([hashes, np.full(len(ids), end_key(splitter))]), return_inverse=True)
-    weights = np.concatenate([np.repeat(train, np.diff(bounds)), train])
-    amounts = np.bincount(word, weights=weights, minlength=len(keys)).astype(np.uint32)
+    unique, seen = unique[order], seen[order].astype(np.uint32)
+    keys, amounts = added(words)
     word_cuts = cut_words(keys, parts)
     for b in np.flatnonzero((np.diff(cuts) > 0) | (np.diff(word_cuts) > 0)):
         own, mine = slice(cuts[b], cuts[b + 1]), slice(word_cuts[b], word_cuts[b + 1])
-        yield int(b), name, ASKED, squeezed(pack(unique[own], seen[own])), squeezed(pack(keys[mine], amounts[mine]))
+        yield int(b), name, ASKED, squeezed(pack(unique[own], seen[own])), squeezed(pack(keys[mine], amounts[mine].astype(np.uint32)))
 
 
 def pairs(held: list[dict], column: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -342,6 +360,31 @@ def answered(shared):
 SCORES = "id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+def bytes_scored(blob: bytes, price: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts of a slice and the prices of its runs -> (ids, tokens of each text, place of each token's key among
+    the distinct ones, score of each text)."""
+    splitter = Words(lower=True)
+    ids, sizes = unpack(blob, np.int64, np.int64)
+    stops, data = np.cumsum(sizes), np.frombuffer(blob, np.uint8)[8 + 16 * len(ids) :]
+    pieces, tokens, many = [], [], []
+    at = 0
+    while at < len(ids):
+        begin = int(stops[at] - sizes[at])
+        stop = max(at + 1, int(np.searchsorted(stops, begin + PIECE, side="right")))
+        codes, length, hashes, bounds = predicted(Texts.of(np.concatenate([[0], stops[at:stop] - begin]), data[begin : stops[stop - 1]]), splitter)
+        unique, place = np.unique(codes, return_inverse=True)
+        pieces.append((unique, place.astype(np.uint32), np.concatenate([[0], np.cumsum(length)[:-1]])))
+        tokens.append(np.insert(hashes, bounds[1:], end_key(splitter)))
+        many.append(np.diff(bounds) + 1)
+        at = stop
+    every = np.unique(np.concatenate([p[0] for p in pieces]))
+    prices = np.empty(len(every))
+    prices[dealt(every, parts)[0]] = price
+    # Every text has its end, so no sum is over nothing.
+    score = [np.add.reduceat(prices[np.searchsorted(every, unique)][place], first) for unique, place, first in pieces]
+    return ids, np.concatenate(many), np.unique(np.concatenate(tokens), return_inverse=True)[1], np.concatenate(score)
+
+
 def texts_scored(parts: int, tokens: int, distinct: int):
     """The texts of a slice and the answers of all buckets -> scores."""
 
@@ -351,25 +394,14 @@ def texts_scored(parts: int, tokens: int, distinct: int):
         answers = [pieces[b] for b in sorted(pieces)]
         price = np.concatenate([unpack(released(r["runs"]), np.float32)[0] for r in answers])
         counts = np.concatenate([unpack(released(r["words"]), np.int64)[0] for r in answers])
-        texts, splitter, out = Texts(pa.array([], pa.string())), Words(lower=True), []
+        base = np.log10((counts + 0.5) / (tokens + 0.5 * (distinct + 1)))
+        out = []
         for r in given:
-            if r["kind"] != TEXTS:
-                continue
-            blob = released(r["runs"])
-            ids, stops = unpack(blob, np.int64, np.int64)
-            texts.offsets, texts.data = np.concatenate([[0], stops]), np.frombuffer(blob, np.uint8)[8 + 16 * len(ids) :]
-            codes, sizes, hashes, bounds = predicted(texts, splitter)
-            unique, place = np.unique(codes, return_inverse=True)
-            order, _ = dealt(unique, parts)
-            prices = np.empty(len(unique))
-            prices[order] = price
-            ends = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            score = np.add.reduceat(prices[place], ends)  # every text has its end
-            _, word = np.unique(np.concatenate([hashes, np.full(len(ids), end_key(splitter))]), return_inverse=True)
-            owner = np.concatenate([np.repeat(np.arange(len(ids)), np.diff(bounds)), np.arange(len(ids))])
-            base = np.log10((counts + 0.5) / (tokens + 0.5 * (distinct + 1)))
-            known = np.bincount(owner, weights=counts[word] > 0, minlength=len(ids)).astype(np.int64)
-            out.append([ids, np.diff(bounds) + 1, known, np.full(len(ids), tokens), np.bincount(owner, weights=base[word]), score])
+            if r["kind"] == TEXTS:
+                ids, many, place, score = bytes_scored(released(r["runs"]), price, parts)
+                owner = np.repeat(np.arange(len(ids)), many)
+                known = np.bincount(owner, weights=counts[place] > 0, minlength=len(ids)).astype(np.int64)
+                out.append([ids, many, known, np.full(len(ids), tokens), np.bincount(owner, weights=base[place], minlength=len(ids)), score])
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 4 + [np.empty(0)] * 2
         return pa.table([pa.array(c) for c in columns], ["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
