@@ -748,6 +748,19 @@ def cluster_by(spark, sf):
     return target.read()
 
 
+@query("L01_cluster_by_curve", """
+SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderpriority FROM orders
+WHERE o_custkey BETWEEN (SELECT CAST(max(o_custkey) // 4 AS BIGINT) FROM orders) AND (SELECT CAST(max(o_custkey) // 3 AS BIGINT) FROM orders)
+""")
+def cluster_by_curve(spark, sf):
+    """A filter on the second of three columns that the files are laid out by."""
+    rows = orders(spark, sf).select("o_orderkey", "o_custkey", "day", "o_orderpriority")
+    target = Table(spark, fresh_path(spark, "curve"))
+    target.overwrite(writers.interleaved(rows, "day", "o_custkey", "o_orderpriority", files=64, bits=4))
+    last = rows.agg(F.max("o_custkey")).first()[0] or 0
+    return target.read().where(F.col("o_custkey").between(last // 4, last // 3))
+
+
 @query("L02_partition_config", """
 SELECT l_orderkey, l_linenumber, l_quantity, CAST(date_trunc('year', l_shipdate) AS DATE) AS ship_period
 FROM lineitem
