@@ -26,8 +26,16 @@ COVERAGE = 0.8
 STRETCH = 1.5  # words of a region for each word of the template
 FILTER_BITS = 20
 
-# Notices as their licenses state them.
+# Short lines as they are in use, notices in full as their licenses state them.
 TEMPLATES = {
+    "AGPL-3.0 header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+        "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero "
+        "General Public License for more details. You should have received a copy of the GNU Affero General Public License "
+        "along with this program. If not, see <https://www.gnu.org/licenses/>."
+    ),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0 header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
@@ -36,12 +44,37 @@ TEMPLATES = {
         "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
         "specific language governing permissions and limitations under the License."
     ),
-    "BSD": (
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS "
+        "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, "
+        "INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+        "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+        "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN "
+        "ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
-        "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
-        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
-        "distribution."
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS "
+        "PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT "
+        "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN "
+        "NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+        "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+        "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+        "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "BSL-1.0 header": (
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+        "https://www.boost.org/LICENSE_1_0.txt)"
     ),
     "CC-BY-4.0": "Licensed under CC BY 4.0",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
@@ -52,11 +85,25 @@ TEMPLATES = {
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
         "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
         "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
-        "License for more details."
+        "License for more details. You should have received a copy of the GNU General Public License along with this "
+        "program. If not, see <https://www.gnu.org/licenses/>."
     ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        "PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN "
+        "AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "LGPL-3.0 header": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+        "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser "
+        "General Public License for more details. You should have received a copy of the GNU Lesser General Public License "
+        "along with this library. If not, see <https://www.gnu.org/licenses/>."
     ),
     "MIT": "Released under the MIT License",
     "MIT text": (
@@ -64,9 +111,17 @@ TEMPLATES = {
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
         "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
         "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
-        "notice and this permission notice shall be included in all copies or substantial portions of the Software."
+        "notice and this permission notice shall be included in all copies or substantial portions of the Software. THE "
+        "SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS "
+        "OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "MPL-2.0 header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
 }
 
 
@@ -182,7 +237,7 @@ class Templates:
                 begin, end = start + pairs[0][0], start + pairs[-1][0] + 1
                 found.append((len(pairs), -(end - begin), begin, end, i))
                 at = max(int(np.searchsorted(own, end)), at + 1)
-        found.sort(key=lambda f: (-f[0], -f[1], f[2], f[4]))
+        found.sort(key=lambda f: (-f[0], -f[1], len(self.words[f[4]]), f[2], f[4]))
         kept: list[tuple[int, int, int, int, int]] = []
         for hit in found:
             if all(hit[3] <= other[2] or hit[2] >= other[3] for other in kept):
@@ -209,7 +264,7 @@ def scanned(
     Words are runs of ASCII letters, digits and other than ASCII letters, A-Z in lower case; start and end count words
     of the text. A region of at most 1.5 words for each word of the template is reported if its alignment matches
     `coverage` of the template's words. Of overlapping regions the one with the most matched words stays, then the
-    shorter one. Null and empty texts and templates have none; repeated rows are reported alike; other columns are
+    shorter one, then that of the shorter template, then the earlier one, then that of the first template. Null and empty texts and templates have none; repeated rows are reported alike; other columns are
     not returned. The templates are a parameter of the job and are shipped with it.
     """
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
