@@ -190,3 +190,41 @@ def test_row_rules_are_audited_by_the_write_itself(spark, rows, path, monkeypatc
     grouped = lambda df: [*rules(df), Check("once", rows=q.unique(df, "k"))]
     with pytest.raises(q.QualityError, match="once"):
         publish.write_audit_publish(table, rows(schema, ("a", 1), ("a", 2)), grouped)
+
+
+def test_many_keys_are_checked_in_one_scan(spark, rows, path):
+    schema = "a int, b string, c int, v int"
+    data = [(1, "x", 1, 1), (2, "x", 1, 2), (2, None, 1, 3), (None, None, 2, 4), (None, "y", 2, 5), (3, "y", 2, 6)]
+    where = path()
+    rows(schema, *data).write.parquet(where)
+    df = spark.read.parquet(where)
+    checks = [
+        Check("a", unique=("a",)), Check("b", unique=("b",)), Check("v", unique=("v",)), Check("a again", unique=("a",), where="a > 2"),
+        Check("a and c", unique=("a", "c")), Check("c and a", unique=("c", "a"), severity="warn"), Check("b, c", unique=("b", "c")),
+    ]
+    report = q.run_checks(df, checks)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1
+    assert {r.check_name: r.failures for r in report.collect()} == {c.name: c.findings(df).count() for c in checks}
+    assert {r.check_name: (r.failures, r.status) for r in report.collect()} == {
+        "a": (1, "error"), "b": (2, "error"), "v": (0, "pass"), "a again": (0, "pass"), "a and c": (2, "error"), "c and a": (2, "warn"),
+        "b, c": (2, "error"),
+    }
+    found = {(r._set, r.a, r.b, r.row_count) for r in q.repeated_keys(df, [("a",), ("b", "c")]).collect()}
+    assert found == {(0, 2, None, 2), (1, None, "x", 2), (1, None, "y", 2)}
+
+
+def test_key_checks_read_the_table_twice(spark, rows, path):
+    where = path()
+    rows("k int, a int, b int", (1, 1, 1), (2, 2, 1), (2, 3, None)).write.parquet(where)
+    df = spark.read.parquet(where)
+    report = q.run_checks(df, q.key_checks(df, "k", ["a", "b"], ["b"]))
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert {r.check_name: r.failures for r in report.collect()} == {
+        "not_null b": 1, "primary_key not_null k": 0, "primary_key unique k": 1, "unique a": 0, "unique b": 1,
+    }
+
+
+def test_a_key_of_an_empty_table(rows):
+    df = rows("k int", (1,)).limit(0)
+    assert [tuple(r) for r in q.run_checks(df, [Check("k", unique=("k",))]).collect()] == [("k", 0, "pass")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,6 +86,27 @@ def unique_combination(df: DataFrame, keys: list[str]) -> DataFrame:
     return duplicates(df, keys)
 
 
+def repeated_keys(df: DataFrame, key_sets: list[tuple[str, ...]]) -> DataFrame:
+    """Keys of several sets that occur more than once, from one scan: (_set, key columns, row_count).
+
+    `_set` is the number of the set in `key_sets`; columns outside of it are NULL. Counts are combined before the one
+    shuffle, so a hot value moves as one row for each task. As in `unique`, a set of one column leaves NULL out.
+    """
+    if len({frozenset(keys) for keys in key_sets}) < len(key_sets):
+        raise ValueError("two of the keys have the same columns")
+    columns = list(dict.fromkeys(c for keys in key_sets for c in keys))
+    counted = df.groupingSets([[F.col(c) for c in keys] for keys in key_sets], *[F.col(c) for c in columns]).agg(
+        F.grouping_id().alias("_grouping"), F.count(F.lit(1)).alias("row_count")
+    )
+    number, keep = F, F.col("row_count") > 1
+    for i, keys in enumerate(key_sets):
+        absent = sum(1 << (len(columns) - 1 - at) for at, c in enumerate(columns) if c not in keys)
+        number = number.when(F.col("_grouping") == absent, F.lit(i))
+        if len(keys) == 1:
+            keep = keep & ((F.col("_grouping") != absent) | F.col(keys[0]).isNotNull())
+    return counted.where(keep).select(number.alias("_set"), *columns, "row_count")
+
+
 def values_between(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
     return df.where(breaks_between(column, low, high))
 
@@ -126,14 +148,15 @@ def rows_exist(df: DataFrame) -> DataFrame:
 class Check:
     """A named rule with its options.
 
-    `breaks` is a row condition; `rows` a DataFrame of findings for rules that need grouping
-    or a join. `warn_if` and `error_if` are limits on the number of findings. With `store`, a path, the findings are
+    `breaks` is a row condition; `unique` the columns of a key, whose repeated values are the findings; `rows` a
+    DataFrame of findings for rules that need another grouping or a join. `warn_if` and `error_if` are limits on the number of findings. With `store`, a path, the findings are
     written there when the checks run.
     """
 
     name: str
     breaks: Column | None = None
     rows: DataFrame | None = None
+    unique: tuple[str, ...] = ()
     severity: str = "error"
     where: str | None = None
     warn_if: int = 1
@@ -141,7 +164,10 @@ class Check:
     store: str | None = None
 
     def findings(self, df: DataFrame) -> DataFrame:
-        found = self.rows if self.breaks is None else df.where(self.breaks)
+        if self.unique:
+            found = unique(df, *self.unique) if len(self.unique) == 1 else unique_combination(df, list(self.unique))
+        else:
+            found = self.rows if self.breaks is None else df.where(self.breaks)
         return found if self.where is None else found.where(self.where)
 
 
@@ -164,41 +190,45 @@ def outcome(check: Check, failures: int) -> str:
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """(check_name, failures, status) for every check.
 
-    All row rules of the table are counted in one pass over it; grouped rules bring their own.
+    All row rules of the table are counted in one pass over it and all its keys in another; other grouped rules bring
+    their own.
     """
     def status(check: Check) -> Column:
         n = F.col("failures")
         bad = F.when(n >= check.error_if, F.lit("error")) if check.severity == "error" else F.when(F.lit(False), F.lit(""))
         return bad.when(n >= check.warn_if, F.lit("warn")).otherwise(F.lit("pass"))
 
-    def entry(check: Check, counts: DataFrame) -> DataFrame:
-        return counts.select(F.lit(check.name).alias("check_name"), "failures").withColumn("status", status(check))
+    def listed(counted: DataFrame, several: list[Check]) -> DataFrame:
+        """A row with a count for each check (n0, n1, ...) as one row for each check."""
+        entries = [
+            F.struct(F.lit(c.name).alias("check_name"), F.col(f"n{i}").alias("failures"), F.lit(i).alias("_i"))
+            for i, c in enumerate(several)
+        ]
+        picked = F
+        for i, c in enumerate(several):
+            picked = picked.when(F.col("_i") == i, status(c))
+        return counted.select(F.inline(F.array(*entries))).withColumn("status", picked).drop("_i")
 
     for check in checks:
         if check.store is not None:
             store_failures(check.findings(df), check.store)
-    row_checks = [c for c in checks if c.breaks is not None]
     results = []
-    if row_checks:
-        one_row = df.agg(*[findings_of(c).alias(f"n{i}") for i, c in enumerate(row_checks)])
-        entries = [
-            F.struct(F.lit(c.name).alias("check_name"), F.col(f"n{i}").alias("failures"), F.lit(i).alias("_i"))
-            for i, c in enumerate(row_checks)
+    if row_checks := [c for c in checks if c.breaks is not None]:
+        counts = [findings_of(c).alias(f"n{i}") for i, c in enumerate(row_checks)]
+        results.append(listed(df.agg(*counts), row_checks))
+    if keyed := [c for c in checks if c.unique]:
+        sets = list(dict.fromkeys(tuple(sorted(set(c.unique))) for c in keyed))
+        scope = [F.lit(True) if c.where is None else F.expr(c.where) for c in keyed]
+        counts = [
+            F.count_if((F.col("_set") == sets.index(tuple(sorted(set(c.unique))))) & scope[i]).alias(f"n{i}") for i, c in enumerate(keyed)
         ]
-        counts = one_row.select(F.inline(F.array(*entries)))
-        picked = F
-        for i, c in enumerate(row_checks):
-            picked = picked.when(F.col("_i") == i, status(c))
-        results.append(counts.withColumn("status", picked).drop("_i"))
+        results.append(listed(repeated_keys(df, sets).agg(*counts), keyed))
     for check in checks:
         if check.rows is not None:
-            results.append(entry(check, check.findings(df).agg(F.count(F.lit(1)).alias("failures"))))
+            results.append(listed(check.findings(df).agg(F.count(F.lit(1)).alias("n0")), [check]))
     if not results:
         return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
-    report = results[0]
-    for more in results[1:]:
-        report = report.unionByName(more)
-    return report
+    return reduce(DataFrame.unionByName, results)
 
 
 def store_failures(findings: DataFrame, path: str) -> None:
@@ -269,8 +299,8 @@ def key_checks(
     checks = [Check(f"not_null {c}", breaks=breaks_not_null(c)) for c in not_null_columns]
     if primary_key:
         checks.append(Check(f"primary_key not_null {primary_key}", breaks=breaks_not_null(primary_key)))
-        checks.append(Check(f"primary_key unique {primary_key}", rows=unique(df, primary_key)))
-    checks += [Check(f"unique {c}", rows=unique(df, c)) for c in unique_keys]
+        checks.append(Check(f"primary_key unique {primary_key}", unique=(primary_key,)))
+    checks += [Check(f"unique {c}", unique=(c,)) for c in unique_keys]
     checks += [
         Check(f"foreign_key {fk}", rows=relationships(df, fk, parent, key)) for fk, parent, key in foreign_keys
     ]

@@ -28,7 +28,7 @@ class Rules:
         found += [Check(f"{c} in range", breaks=quality.breaks_between(c, *limits)) for c, limits in self.between.items()]
         found += [Check(f"{a} not after {b}", breaks=quality.breaks_order(a, b), severity="warn") for a, b in self.ordered]
         if self.key:
-            found.append(Check(f"{self.key} unique", rows=quality.unique(df, self.key)))
+            found.append(Check(f"{self.key} unique", unique=(self.key,)))
         for fk, (parent, key) in self.parents.items():
             found.append(Check(f"{fk} in {parent}", rows=quality.relationships(df, fk, table(parent), key), severity="warn"))
         return found
