@@ -78,6 +78,17 @@ query("Q11_required_when", "SELECT feedback_id, ride_id FROM raw_feedback WHERE
 query("Q12_where_clause", "SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice < 5000")(
     lambda s, d: q.failing_within(table(s, d, "orders"), "o_orderpriority = '1-URGENT'", "o_totalprice < 5000").select("o_orderkey")
 )
+@query("Q05_many_keys", """
+WITH a AS (SELECT l_partkey, l_suppkey, count(*) AS row_count FROM lineitem GROUP BY ALL HAVING count(*) > 1),
+b AS (SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY ALL HAVING count(*) > 1)
+SELECT 0 AS key_number, l_partkey, l_suppkey, CAST(NULL AS BIGINT) AS l_orderkey, CAST(NULL AS INT) AS l_linenumber, row_count FROM a
+UNION ALL SELECT 1, NULL, NULL, l_orderkey, l_linenumber, row_count FROM b
+""")
+def many_keys(spark, sf):
+    repeated = q.repeated_keys(table(spark, sf, "lineitem"), [("l_partkey", "l_suppkey"), ("l_orderkey", "l_linenumber")])
+    return repeated.withColumnRenamed("_set", "key_number")
+
+
 query("Q13_no_duplicate_combination", "SELECT l_orderkey, l_partkey, count(*) AS row_count FROM lineitem GROUP BY ALL HAVING count(*) > 1")(
     lambda s, d: projection.duplicates(lines(s, d), ["l_orderkey", "l_partkey"])
 )

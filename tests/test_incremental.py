@@ -110,6 +110,42 @@ def test_delete_insert_replaces_all_rows_of_a_key(start, rows):
         assert len(state(table)) == 41
 
 
+def test_delete_insert_rewrites_only_touched_partitions(start, rows):
+    table = start()
+    before = table.commit_info()["parts"]
+    inc.delete_insert(table, rows(SCHEMA, (2, day(9), 0, 9), (7, day(3), 0, 9), (None, day(9), 0, 9)), "k")
+    after = table.commit_info()["parts"]
+    assert sorted(n for n in after if before.get(n) != after[n]) == ["day=2024-01-03", "day=2024-01-09"]
+    assert len(table.read().where("k IN (2, 7)").collect()) == 2 and table.read().count() == 51
+    parts = table.commit_info()["parts"]
+    inc.delete_insert(table, rows(SCHEMA, (500, day(1), 0, 9)), "k")
+    assert {n: d for n, d in table.commit_info()["parts"].items() if n != "day=2024-01-01"} == {
+        n: d for n, d in parts.items() if n != "day=2024-01-01"
+    }
+    assert table.read().where("day = DATE '2024-01-01'").count() == 11
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "double", "date", "timestamp_ntz", "timestamp", "binary", "decimal(9,2)"])
+def test_keys_of_any_type_meet_within_their_bounds(start, rows, kind):
+    def typed(df):
+        k = F.date_add(F.lit("2024-01-01").cast("date"), F.col("k")) if kind in ("date", "timestamp_ntz", "timestamp") else F.col("k")
+        return df.withColumn("k", (k.cast("string") if kind == "binary" else k).cast(kind))
+
+    stored = typed(rows(SCHEMA, *[(i, day(1), i, 1) for i in range(50)]))
+    batch = typed(rows(SCHEMA, (7, day(1), 0, 1), (30, day(1), 0, 1), (99, day(1), 0, 1)))
+    assert inc.between_keys(stored, batch, "k").join(batch.select("k"), "k", "left_semi").count() == 2
+
+
+def test_bounds_of_the_keys_reach_the_scan(start, rows):
+    table, batch = start(), rows(SCHEMA, (3, day(4), 300, 2), (8, day(4), 300, 2))
+    plan = inc.between_keys(table.read(), batch, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,3)" in plan and "LessThanOrEqual(k,8)" in plan
+    # Text keys against stored numbers: the order of the texts is not that of the numbers.
+    texts = batch.withColumn("k", F.col("k").cast("string"))
+    assert inc.between_keys(table.read(), texts, "k").count() == 50
+    assert inc.between_keys(table.read(), batch.limit(0), "k").count() == 0
+
+
 def test_insert_overwrite_modes(start, rows):
     batch = rows(SCHEMA, (1000, day(2), 0, 9))
     table = start()

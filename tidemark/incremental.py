@@ -8,13 +8,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, NumericType, StringType, StructType, TimestampNTZType
 
 from tidemark.operators.projection import as_of_day
 from tidemark.session import cut
 from tidemark.sources.readers import event_window
 from tidemark.sources.table import Table, align
 
+# Types whose text gives the value back, so that bounds can become literals.
+BOUNDED_TYPES = (NumericType, StringType, DateType, TimestampNTZType)
 SCHEMA_POLICIES = ("fail", "append_new_columns", "sync_all_columns")
 
 
@@ -130,6 +132,33 @@ def latest_per_key(batch: DataFrame, key: str, stamp: str) -> DataFrame:
     return picked.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in batch.columns])
 
 
+def between_keys(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Stored rows from the smallest to the largest key of the batch.
+
+    The two bounds are literals, so a scan skips files and row groups whose keys all lie outside; a feed with rising
+    keys reads the newest files alone. Keys of another type than the stored ones are compared by the join only.
+    """
+    kind = batch.schema[key].dataType
+    if stored.schema[key].dataType != kind or not isinstance(kind, BOUNDED_TYPES):
+        return stored
+    low, high = batch.agg(F.min(key).cast("string"), F.max(key).cast("string")).first()
+    return stored.where(F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+
+
+def touched_partitions(table: Table, names: list[str], batch: DataFrame, key: str) -> list[str]:
+    """Those of the named partitions that hold a key of the batch; all of them if the table is not partitioned."""
+    if table.partition_by is None:
+        return names
+    stored = between_keys(table.read(only=names), batch, key)
+    hit = stored.select(*{table.partition_by, key}).join(batch.select(key), key, "left_semi")
+    # At most one value per partition of the table, as the text that names it.
+    values = [r[0] for r in hit.select(F.col(table.partition_by).cast("string")).distinct().collect()]
+    touched = [table.partition_name(v) for v in values]
+    if unknown := set(touched) - set(names):
+        raise ValueError(f"no directory for the partitions {sorted(unknown)}")
+    return touched
+
+
 def merge(
     table: Table,
     batch: DataFrame,
@@ -158,20 +187,12 @@ def merge(
     keys = batch.select(key)
 
     if outside == "raise" and len(inside) < len(names):
-        older = table.read(only=set(names) - set(inside)).select(key).join(keys, key, "left_semi").head(3)
+        outer = between_keys(table.read(only=set(names) - set(inside)), batch, key)
+        older = outer.select(key).join(keys, key, "left_semi").head(3)
         if older:
             raise OutsideWindow(f"keys stored before {since}, e.g. {[r[0] for r in older]}")
 
-    if table.partition_by is None:
-        touched = names
-    else:
-        hit = table.read(only=inside).select(table.partition_by, key).join(keys, key, "left_semi")
-        # At most one value per partition of the table, as the text that names it.
-        values = [r[0] for r in hit.select(F.col(table.partition_by).cast("string")).distinct().collect()]
-        touched = [table.partition_name(v) for v in values]
-        if unknown := set(touched) - set(inside):
-            raise ValueError(f"no directory for the partitions {sorted(unknown)}")
-
+    touched = names if table.partition_by is None else touched_partitions(table, inside, batch, key)
     stored = _conform(table.read(only=touched), schema)
     incoming = _conform(batch, schema)
     if update_columns is None:
@@ -207,7 +228,10 @@ def append(table: Table, batch: DataFrame, on_schema_change: str = "append_new_c
 
 
 def delete_insert(table: Table, batch: DataFrame, key: str, on_schema_change: str = "sync_all_columns") -> int:
-    """Delete every stored row whose key value occurs in the batch, then insert the batch."""
+    """Delete every stored row whose key value occurs in the batch, then insert the batch.
+
+    Only partitions that hold such a row are rewritten.
+    """
     if not table.exists():
         return table.overwrite(batch)
     schema = _evolved(table, batch, on_schema_change)
@@ -216,8 +240,9 @@ def delete_insert(table: Table, batch: DataFrame, key: str, on_schema_change: st
         return table.replace_partitions(rows)
     base = table.version()
     batch = cut(rows)
-    kept = _conform(table.read(), schema).join(batch.select(key).distinct(), key, "left_anti")
-    return table.publish(table.stage(kept.unionByName(batch)), base=base)
+    touched = touched_partitions(table, table.partitions(), batch, key)
+    kept = _conform(table.read(only=touched), schema).join(batch.select(key).distinct(), key, "left_anti")
+    return table.publish(table.stage(kept.unionByName(batch)), replaced=touched, base=base)
 
 
 def insert_overwrite(
