@@ -24,6 +24,7 @@ from pyspark.sql.types import AtomicType, BinaryType, StringType, TimestampType
 
 from tidemark.functions import as_col
 from tidemark.operators.joins import join_same
+from tidemark.session import cut
 
 Order = dict[str, Callable[[str], Column]]
 BLOCK = "_block"
@@ -58,12 +59,11 @@ def _literal(df: DataFrame, column: str) -> Column:
     return F.concat(F.lit("CAST("), F.coalesce(text, F.lit("NULL")), F.lit(f" AS {kind.simpleString()})"))
 
 
-def _borders(df: DataFrame, sorting: Order, rows: int) -> list[str]:
+def _borders(df: DataFrame, sorting: Order, rows: int, n: int) -> list[str]:
     """SQL texts of the tuples at which a new block begins, in the order of `sorting`; none if one block holds all rows.
 
     Equal rows never lie on both sides of a border. The driver sees one tuple for each block.
     """
-    n = df.count()
     blocks = min(math.ceil(n / rows), 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if blocks < 2:
         return []
@@ -106,10 +106,10 @@ def _block(borders: list[str], sorting: Order) -> Column:
 class Blocks:
     """How the rows of a frame are cut into consecutive blocks of (keys, order)."""
 
-    def __init__(self, df: DataFrame, keys: list[str], order: Order, rows: int | None = None):
+    def __init__(self, df: DataFrame, keys: list[str], order: Order, rows: int | None = None, n: int | None = None):
         self.df, self.keys, self.order = df, keys, order
         sorting = _sorting(keys, order)
-        self.borders = _borders(df, sorting, rows or BLOCK_ROWS)
+        self.borders = _borders(df, sorting, rows or BLOCK_ROWS, df.count() if n is None else n)
         self.number = _block(self.borders, sorting) if self.borders else F.lit(0)
 
     def shifts(self, amount: Column) -> DataFrame:
@@ -160,18 +160,19 @@ def rank_many(df: DataFrame, ranks: dict[str, Order], keys: list[str] | None = N
     """Several ranks over the same columns in different orders, named by `ranks`.
 
     Only the distinct (group, order) tuples are scanned, with their counts; repeats collapse
-    in the partial aggregate before the shuffle. Borders and shifts come from the tuples, not
-    from the ranks before.
+    in the partial aggregate before the shuffle. The tuples are stored (narrow, one row for each),
+    so the input is read once for them and once for the join back.
     """
     keys = keys or []
     columns = list(dict.fromkeys([*keys, *[c for order in ranks.values() for c in order]]))
-    tuples = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+    tuples = cut(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows")))
     step = F.lit(1).cast("long") if dense else F.col("_rows")
+    n = tuples.count()
     ranked = tuples
     for out, order in ranks.items():
         if set(order) | set(keys) != set(columns):
             raise ValueError("the orders must use the same columns")
-        reached = Blocks(tuples, keys, order).scan(ranked, step, "_reached")
+        reached = Blocks(tuples, keys, order, n=n).scan(ranked, step, "_reached")
         rank = F.col("_reached") if dense else F.col("_reached") - F.col("_rows") + 1
         ranked = reached.withColumn(out, rank).drop("_reached")
     return join_same(df, ranked.drop("_rows"), columns)
