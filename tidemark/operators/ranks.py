@@ -110,7 +110,10 @@ class Blocks:
         self.df, self.keys, self.order = df, keys, order
         sorting = _sorting(keys, order)
         self.borders = _borders(df, sorting, rows or BLOCK_ROWS, df.count() if n is None else n)
-        self.number = _block(self.borders, sorting) if self.borders else F.lit(0)
+        if self.borders:
+            self.number = _block(self.borders, sorting)
+        else:  # one block; without keys not a literal, which would be folded and leave a window without partitions
+            self.number = F.lit(0) if keys else F.pmod(F.hash(*sorting), F.lit(1))
 
     def shifts(self, amount: Column) -> DataFrame:
         """What precedes a block in its group, for all blocks of a group but the first."""
