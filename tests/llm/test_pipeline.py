@@ -1,12 +1,14 @@
 """The pipeline beside a plain version of its stages that follows toxicity, whose scores are held-out tested apart."""
 
 import random
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import queries, toxicity
+from tidemark.llm import queries, storage, toxicity
 
 from .test_decontaminate import edits
 from .test_minhash_join import brute as near
@@ -73,3 +75,17 @@ def test_stages_keep_the_columns(spark, folder):
     empty = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, path).collect() == [], name
+
+
+def test_results_of_stages_are_stored_in_small_row_groups(spark, documents, monkeypatch):
+    monkeypatch.setattr(storage, "GROUP", 1 << 20, raising=False)
+    draw = random.Random(3)
+    docs = documents([draw.randbytes(4000).hex() for _ in range(1200)]).coalesce(1)
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("as_it_is", lambda spark, docs, sf_dir: docs)])
+    out = corpus_pipeline.run(spark, "")
+    assert out.count() == 1200
+    found = [pq.ParquetFile(Path(f.removeprefix("file://"))).metadata for f in out.inputFiles()]
+    groups = [m.row_group(i).total_byte_size for m in found for i in range(m.num_row_groups)]
+    assert sum(groups) > 8 * storage.GROUP
+    assert max(groups) <= 2 * storage.GROUP
